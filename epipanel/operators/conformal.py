@@ -7,15 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.operators.ranks import constant_level, quantiles, value_counts
-from epipanel.session import require_columns
+from epipanel.session import reliable_checkpoint, require_columns
 
 MIN_SCORES = 30
 
 
-def adaptive_epsilon(df: DataFrame, epsilon_min: float) -> Column:
-    """max(floor, 10th percentile of the predictions) as a scalar subquery."""
+def adaptive_epsilon(df: DataFrame, epsilon_min: float) -> float:
+    """max(floor, 10th percentile of the predictions): one number on the driver."""
     p10 = quantiles(value_counts(df, [], "prediction"), [], "prediction", {"p10": constant_level(0.10)})
-    return F.greatest(F.lit(epsilon_min), p10.select("p10").scalar())
+    return max(epsilon_min, p10.select("p10").first()[0])
 
 
 def conformal_level(alpha: float):
@@ -23,8 +23,8 @@ def conformal_level(alpha: float):
     return lambda n: F.least(F.lit(1.0), F.ceil((n + 1) * F.lit(1.0 - alpha)) / n)
 
 
-def nonconformity(df: DataFrame, epsilon: Column) -> Column:
-    return F.abs(F.col("cases") - F.col("prediction")) / (F.col("prediction") + epsilon)
+def nonconformity(epsilon: float) -> Column:
+    return F.abs(F.col("cases") - F.col("prediction")) / (F.col("prediction") + F.lit(epsilon))
 
 
 def pool_horizons(counts: DataFrame, horizon: str = "horizon", min_scores: int = MIN_SCORES) -> DataFrame:
@@ -46,22 +46,30 @@ def calibrate(
     df: DataFrame, alpha: float = 0.10, epsilon_min: float = 0.10, horizon: str = "horizon",
     min_scores: int = MIN_SCORES,
 ) -> DataFrame:
-    """(horizon, n, level, q, epsilon, alpha): one row per calibrated horizon."""
+    """(horizon, n, level, q, epsilon, alpha): one row per calibrated horizon.
+
+    The calibration rows feed several passes, so they are written once to the
+    shared checkpoint folder instead of being derived again for each.
+    """
     require_columns(df, "cases", "prediction", horizon)
-    clean = df.dropna(subset=["cases", "prediction", horizon])
+    clean = df.select("cases", "prediction", F.col(horizon).cast("int").alias(horizon)).dropna()
+    clean = reliable_checkpoint(clean)
+    if clean.isEmpty():
+        raise ValueError("no complete calibration rows")
     epsilon = adaptive_epsilon(clean, epsilon_min)
-    scored = clean.select(F.col(horizon).cast("int").alias(horizon), nonconformity(clean, epsilon).alias("score"))
+    scored = clean.select(horizon, nonconformity(epsilon).alias("score"))
     pooled = pool_horizons(value_counts(scored, [horizon], "score"), horizon, min_scores)
     level = conformal_level(alpha)
-    cuts = quantiles(pooled, [horizon], "score", {"q": level})
-    return cuts.select(
+    cuts = quantiles(reliable_checkpoint(pooled), [horizon], "score", {"q": level})
+    table = cuts.select(
         horizon,
         "n",
         level(F.col("n").cast("double")).alias("level"),
         "q",
-        epsilon.alias("epsilon"),
+        F.lit(epsilon).alias("epsilon"),
         F.lit(alpha).alias("alpha"),
     )
+    return reliable_checkpoint(table)
 
 
 def apply_bands(df: DataFrame, calibration: DataFrame, horizon: str = "horizon") -> DataFrame:
@@ -85,11 +93,12 @@ def apply_bands(df: DataFrame, calibration: DataFrame, horizon: str = "horizon")
 
 def bands_or_null(df: DataFrame, calibration_rows: DataFrame, alpha: float = 0.10, horizon: str = "horizon") -> DataFrame:
     """Calibrate and apply; an empty calibration set gives null bands, no failure."""
-    usable = calibration_rows.dropna(subset=["cases", "prediction", horizon])
-    if usable.isEmpty():
+    try:
+        table = calibrate(calibration_rows, alpha, horizon=horizon)
+    except ValueError:
         blank = F.lit(None).cast("double")
         return df.withColumns({"lower_ci": blank, "upper_ci": blank})
-    return apply_bands(df, calibrate(usable, alpha, horizon=horizon), horizon)
+    return apply_bands(df, table, horizon)
 
 
 def save_calibration(calibration: DataFrame, path: str) -> None:
@@ -118,7 +127,7 @@ def rolling_calibration(df: DataFrame, weeks_back: int, alpha: float = 0.10, eps
     it can serve, a fixed fan-out of ``weeks_back``.
     """
     scored = df.dropna(subset=["cases", "prediction"]).select(
-        week, nonconformity(df, F.lit(epsilon)).alias("score")
+        week, nonconformity(epsilon).alias("score")
     )
     counts = value_counts(scored, [week], "score")
     steps = F.explode(F.sequence(F.lit(1), F.lit(weeks_back)))

@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epipanel.session import reliable_checkpoint
+
 BUCKETS_PER_E_FOLD = 2000
 SMALLEST = 1e-9
 
@@ -103,13 +105,18 @@ def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, rank: str
 
 
 def spearman(pairs: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Spearman correlation per key over complete pairs, from joint counts."""
+    """Spearman correlation per key over complete pairs, from joint counts.
+
+    The joint counts serve both rankings and the final sums, so they are
+    written once.
+    """
     keys = list(keys)
     joint = (
         pairs.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(*keys, x, y)
         .agg(F.count("*").cast("double").alias("n"))
     )
+    joint = reliable_checkpoint(joint)
 
     def marginal(col: str, name: str) -> DataFrame:
         counts = joint.groupBy(*keys, col).agg(F.sum("n").alias("n"))
