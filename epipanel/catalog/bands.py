@@ -8,6 +8,7 @@ from epipanel.catalog.registry import define, query, r6, rounded, s6, with_ctes
 from epipanel.operators import conformal, series, splits
 from epipanel.operators.ranks import value_counts
 from epipanel.plans import bindings as b
+from epipanel.session import reliable_checkpoint
 
 define("preds52all", """select * from (select epi_sunday, ra, cases, lag(cases, 52) over (partition by ra order by epi_sunday) as prediction from grid)
     where prediction is not null""", "grid")
@@ -48,7 +49,7 @@ def q_c1(spark, sf):
 
 @query("j12_pooled_scores", with_ctes("pooled") + f"select cast(horizon as integer) as horizon, {s6('score', 'score')}, cast(count(*) as double) as n from pooled group by horizon, score")
 def q_j12(spark, sf):
-    rows = calibration_rows(spark, sf)
+    rows = reliable_checkpoint(calibration_rows(spark, sf).select("horizon", "cases", "prediction"))
     eps = conformal.adaptive_epsilon(rows, 0.10)
     scored = rows.select("horizon", conformal.nonconformity(eps).alias("score"))
     return rounded(conformal.pool_horizons(value_counts(scored, ["horizon"], "score")), "score")

@@ -1 +1,52 @@
-"""Placeholder."""
+"""Per-series forecasts on the hierarchy nodes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from epipanel.catalog.hierarchies import nodes
+from epipanel.catalog.registry import define, query, r6, rounded, s6, with_ctes
+from epipanel.operators import perseries, series
+
+H = 52
+define("train", "select * exclude (rn) from (select *, row_number() over (partition by unique_id order by ds desc) as rn from nodes) where rn > 52", "nodes")
+define("snaive", """select unique_id, ds + 364 as ds, cast(53 - rn as integer) as h, y as seasonal_naive from
+    (select *, row_number() over (partition by unique_id order by ds desc) as rn from train) where rn <= 52""", "train")
+
+
+def _split(spark, sf):
+    return series.holdout_tail(nodes(spark, sf), ["unique_id"], "ds", H)
+
+
+@query("m13_seasonal_naive", with_ctes("snaive") + "select unique_id, ds, h, seasonal_naive from snaive")
+def q_m13_snaive(spark, sf):
+    return perseries.seasonal_naive(_split(spark, sf)[0], H)
+
+
+@query(
+    "m13_drift",
+    with_ctes("train") + f"""select unique_id, d + cast(h * 7 as integer) as ds, cast(h as integer) as h, {s6('yn + (yn - y1) / (n - 1) * h', 'drift')} from
+      (select unique_id, arg_min(y, ds) as y1, arg_max(y, ds) as yn, max(ds) as d, count(*) as n from train group by 1) cross join (select unnest(range(1, 53)) as h)""",
+)
+def q_m13_drift(spark, sf):
+    return rounded(perseries.drift(_split(spark, sf)[0], H), "drift")
+
+
+@query("m13_smoothing")
+def q_m13_smoothing(spark, sf):
+    return perseries.smoothing_forecasts(_split(spark, sf)[0], H)
+
+
+@query("d21_holt_winters")
+def q_d21(spark, sf):
+    return perseries.holt_winters(_split(spark, sf)[0], H)
+
+
+@query(
+    "j7_forecast_actuals",
+    with_ctes("snaive") + "select s.unique_id, s.ds, s.seasonal_naive, n.y from snaive s join nodes n on n.unique_id = s.unique_id and n.ds = s.ds",
+)
+def q_j7(spark, sf):
+    train, test = _split(spark, sf)
+    ahead = perseries.seasonal_naive(train, H).drop("h")
+    return ahead.join(test.select("unique_id", "ds", "y"), ["unique_id", "ds"])

@@ -69,11 +69,6 @@ def q_e7(spark, sf):
     return _banded(spark, sf).groupBy("ra").agg(r6(metrics.coverage()).alias("coverage"))
 
 
-@query("e7_coverage_missing_bands", "select cast(null as double) as coverage")
-def q_e7_null(spark, sf):
-    return metrics.interval_coverage(b.naive_predictions(spark, sf, 52), strict=False)
-
-
 @query("e8_wis", with_ctes("band52") + f"select ra, {s6(WIS, 'wis')} from band52 group by ra")
 def q_e8(spark, sf):
     return _banded(spark, sf).groupBy("ra").agg(r6(metrics.interval_score(0.1)).alias("wis"))
