@@ -1 +1,111 @@
-"""Placeholder."""
+"""Model and experiment queries on the panel. Tree counts are small here; the
+operators' own defaults are the full-size ones."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from epipanel.catalog.forecasts import _split
+from epipanel.catalog.registry import query, r6, s6, with_ctes
+from epipanel.operators import experiments, learners, recursion
+from epipanel.plans import bindings as b
+from epipanel.plans.features import feature_set
+from epipanel.session import reliable_checkpoint
+
+RF = {"n_estimators": 10, "max_depth": 5}
+BOOST = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}
+YEAR = b.TEST_YEAR
+
+
+def _panel(spark, sf):
+    return reliable_checkpoint(b.full_panel(spark, sf))
+
+
+@query("m1_encoded_features")
+def q_m1(spark, sf):
+    out = learners.design_matrix(b.full_panel(spark, sf), feature_set("lag+clima+RA"))
+    return out.select("ra", "epi_sunday", vector_to_array(learners.VECTOR).alias("features"), "y")
+
+
+@query(
+    "m2_target_transform",
+    with_ctes("grid") + f"select ra, epi_sunday, {s6('ln(1 + cases)', 'target')}, {s6('greatest(exp(ln(1 + cases) * 0.9::double) - 1, 0)', 'restored')} from grid",
+)
+def q_m2(spark, sf):
+    target = F.log1p("cases")
+    restored = learners.to_cases(target * 0.9, feature_set("lag-only"))
+    return b.grid(spark, sf).select("ra", "epi_sunday", r6(target).alias("target"), r6(restored).alias("restored"))
+
+
+@query("m3_aligned_design_matrix")
+def q_m3(spark, sf):
+    labels = [f"NATION_{i}" for i in range(20)]
+    out = learners.design_matrix(b.full_panel(spark, sf), feature_set("lag+clima+RA"), labels)
+    return out.select("ra", "epi_sunday", F.size(vector_to_array(learners.VECTOR)).alias("width"), "y")
+
+
+@query("m5_fit_predict")
+def q_m5(spark, sf):
+    return learners.fit_and_predict(_panel(spark, sf), feature_set("lag-only"), "RF", RF, YEAR).predictions
+
+
+@query("m6_rate_to_cases")
+def q_m6(spark, sf):
+    features = feature_set("lag+clima+RA+incid-target")
+    return learners.fit_and_predict(_panel(spark, sf), features, "XGB", BOOST, YEAR).predictions
+
+
+@query("m7_cv_score")
+def q_m7(spark, sf):
+    """One row per model: mean validation RMSE over the expanding folds."""
+    train = _panel(spark, sf).filter(F.year("epi_sunday") < YEAR)
+    rows = [(m, experiments.cv_score(train, feature_set("lag-only"), m, p, 3)) for m, p in (("RF", RF), ("XGB", BOOST))]
+    return spark.createDataFrame(rows, "modelo string, cv_rmse double")
+
+
+@query("m8_tuning")
+def q_m8(spark, sf):
+    grids = {"RF": {"n_estimators": [5], "max_depth": [3, 5]}, "XGB": {"n_estimators": [3], "max_depth": [3]}}
+    return experiments.tune(b.full_panel(spark, sf), "lag-only", grids, YEAR, n_splits=2)[0]
+
+
+@query("m9_ablation")
+def q_m9(spark, sf):
+    out = experiments.ablation(b.full_panel(spark, sf), YEAR, {"RF": RF, "XGB": BOOST})
+    return out["summary"]
+
+
+@query("m10_rolling_validation")
+def q_m10(spark, sf):
+    return experiments.rolling_validation(b.full_panel(spark, sf), YEAR, params=RF)["metrics"]
+
+
+@query("m11_recursive_forecast")
+def q_m11(spark, sf):
+    panel, features = _panel(spark, sf), feature_set("lag-only")
+    fitted = learners.fit(panel.filter(F.year("epi_sunday") < YEAR), features, "RF", RF)
+    return recursion.recursive_forecast(panel, fitted, features, YEAR)
+
+
+@query("m12_direct_multihorizon")
+def q_m12(spark, sf):
+    return experiments.direct_multihorizon(b.full_panel(spark, sf), "lag-only", "RF", 4, YEAR, RF)["metrics"]
+
+
+@query("m14_global_model")
+def q_m14(spark, sf):
+    train = reliable_checkpoint(_split(spark, sf)[0].select("unique_id", "ds", "y"))
+    return recursion.global_model(train, 52, BOOST)[1]
+
+
+@query("m18_legacy_evaluation")
+def q_m18(spark, sf):
+    return experiments.legacy_evaluation(b.full_panel(spark, sf), YEAR, {"RF": RF, "XGB": BOOST})
+
+
+@query("k6_importances")
+def q_k6(spark, sf):
+    features = feature_set("lag+clima+RA")
+    fitted = learners.fit(_panel(spark, sf).filter(F.year("epi_sunday") < YEAR), features, "RF", RF)
+    return spark.createDataFrame(learners.importances(fitted, features), "feature string, importance double")
