@@ -50,26 +50,34 @@ def word_count(col) -> Column:
 def tokens(col, pattern: str = r"(?U)\w+", stop_words: list[str] | None = None) -> Column:
     """Lower-case tokens of the whole text, minus stop words."""
     found = F.regexp_extract_all(F.lower(col), F.lit(f"({pattern})"), F.lit(1))
-    if not stop_words:
-        return found
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(found, lambda w: ~F.array_contains(stops, w))
+    return F.filter(found, lambda w: ~w.isin(stop_words)) if stop_words else found
+
+
+def joined_runs(items: Column, n: int, sep: str) -> Column:
+    """Every run of ``n`` neighbours of an array, joined.
+
+    The array is bound to a lambda variable, so its expression is evaluated once
+    per row and not once per run.
+    """
+    if n == 1:
+        return items
+
+    def runs(a: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(a) - n)
+        made = F.transform(starts, lambda i: F.concat_ws(sep, *[F.get(a, i + j) for j in range(n)]))
+        return F.when(F.size(a) >= n, made).otherwise(F.array().cast("array<string>"))
+
+    return F.get(F.transform(F.array(items), runs), F.lit(0))
 
 
 def word_ngrams(toks: Column, n: int) -> Column:
     """Array of ``n``-word grams joined by one blank."""
-    if n == 1:
-        return toks
-    starts = F.sequence(F.lit(1), F.size(toks) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(toks, i, n), " "))
-    return F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>"))
+    return joined_runs(toks, n, " ")
 
 
 def char_ngrams(col, n: int) -> Column:
-    """Array of all ``n``-character grams of a text."""
-    starts = F.sequence(F.lit(1), F.length(col) - (n - 1))
-    grams = F.transform(starts, lambda i: F.substring(col, i, F.lit(n)))
-    return F.when(F.length(col) >= n, grams).otherwise(F.array().cast("array<string>"))
+    """Array of all ``n``-character grams of a text, in linear time."""
+    return joined_runs(F.filter(F.split(col, ""), lambda c: F.length(c) > 0), n, "")
 
 
 def english_stop_words() -> list[str]:
