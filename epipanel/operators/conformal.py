@@ -104,7 +104,7 @@ def bands_or_null(df: DataFrame, calibration_rows: DataFrame, alpha: float = 0.1
 def save_calibration(calibration: DataFrame, path: str) -> None:
     """One JSON object per calibration, horizons as a map."""
     doc = calibration.groupBy("alpha", "epsilon").agg(
-        F.map_from_entries(F.collect_list(F.struct("horizon", "q"))).alias("quantiles"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("horizon").cast("string").alias("k"), "q"))).alias("quantiles"),
         F.struct(F.sum("n").alias("n_scores"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("made_at")).alias("metadata"),
     )
     doc.coalesce(1).write.mode("overwrite").json(path)
@@ -112,12 +112,15 @@ def save_calibration(calibration: DataFrame, path: str) -> None:
 
 def load_calibration(spark: SparkSession, path: str) -> DataFrame | None:
     """Calibration rows back from JSON; ``None`` if nothing was saved there."""
-    schema = "alpha double, epsilon double, quantiles map<int,double>, metadata struct<n_scores:long,made_at:string>"
+    schema = "alpha double, epsilon double, quantiles map<string,double>, metadata struct<n_scores:long,made_at:string>"
     try:
         doc = spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return doc.select("alpha", "epsilon", F.explode("quantiles").alias("horizon", "q"))
+    rows = doc.select("alpha", "epsilon", F.explode("quantiles").alias("horizon", "q"))
+    return rows.withColumn("horizon", F.col("horizon").cast("int"))
 
 
 def rolling_calibration(df: DataFrame, weeks_back: int, alpha: float = 0.10, epsilon: float = 0.10, week: str = "epi_sunday") -> DataFrame:
