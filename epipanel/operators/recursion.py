@@ -21,7 +21,7 @@ from epipanel.operators.splits import last_weeks, year_split
 from epipanel.plans.features import FeatureSet
 from epipanel.session import reliable_checkpoint
 
-CUT_EVERY = 8
+CUT_EVERY = 13
 
 
 def recent_values(train: DataFrame, key: str, week: str, value: str, count: int) -> DataFrame:
