@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from epipanel.functions.calendar import season_angles
 from epipanel.functions.scalars import fill_zero, per_100k
 from epipanel.operators.series import add_lags, add_trend
+from epipanel.session import reliable_checkpoint
 
 CLIMATE_COLS = ("precip_sum", "temp_mean", "umidmed")
 CLIMATE_LAGS = range(2, 9)
@@ -34,8 +35,12 @@ def dense_counts(counts: DataFrame, regions: DataFrame, first_week=None, as_of=N
     """Grid with zero for weeks without cases.
 
     ``first_week`` / ``as_of`` default to the span of the counts, so the output
-    does not depend on the day it is run.
+    does not depend on the day it is run. Reading the span from the counts would
+    scan the source a second time, so in that case the counts (one row per week
+    and region) are written first.
     """
+    if first_week is None or as_of is None:
+        counts = reliable_checkpoint(counts)
     first = counts.agg(F.min("epi_sunday")).scalar() if first_week is None else F.lit(first_week).cast("date")
     last = counts.agg(F.max("epi_sunday")).scalar() if as_of is None else F.lit(as_of).cast("date")
     grid = week_region_grid(regions, first, last)

@@ -63,28 +63,26 @@ def stratified_split(df: DataFrame, key: str, stratum: str, share: float = 0.8,
 
     Rows are ordered by a seeded hash of the key. Hash slots are counted first;
     only the single slot where a stratum's quota ends is ordered row by row, so
-    a large stratum is never sorted in one task.
+    a large stratum is never sorted in one task. The quota's last row then cuts
+    the input by comparison.
     """
     hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn(
-        "_slot", F.pmod("_h", F.lit(slots))
+        "_slot", F.coalesce(F.pmod("_h", F.lit(slots)), F.lit(0))
     )
-    slot_sizes = hashed.groupBy(stratum, "_slot").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(stratum).orderBy("_slot")
+    sizes = hashed.groupBy(stratum, "_slot").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(stratum).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     quota = F.floor(F.sum("_n").over(Window.partitionBy(stratum)) * share + 0.5)
-    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    room = slot_sizes.select(stratum, "_slot", "_n", (quota - before).alias("_room"))
-    placed = hashed.join(room, [stratum, "_slot"])
-    cut = (F.col("_room") > 0) & (F.col("_room") < F.col("_n"))
-    border = placed.filter(cut).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(stratum, "_slot").orderBy("_h", key))
+    room = sizes.withColumn("_room", quota - F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    last = room.filter("_room > 0").groupBy(stratum).agg(
+        F.max("_slot").alias("_cut_slot"), F.max_by(F.least("_room", "_n"), "_slot").alias("_need")
     )
-    extra = ["_h", "_slot", "_n", "_room"]
-    train = (
-        placed.filter(F.col("_room") >= F.col("_n")).drop(*extra)
-        .unionByName(border.filter(F.col("_rank") <= F.col("_room")).drop("_rank", *extra))
+    last = last.withColumn("_slot", F.col("_cut_slot"))
+    edge = hashed.join(last, [stratum, "_slot"]).select(stratum, "_cut_slot", "_need", F.struct("_h", key).alias("_at"))
+    rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_at"))
+    cut = edge.withColumn("_r", rank).filter(F.col("_r") == F.col("_need")).select(stratum, "_cut_slot", "_at")
+    placed = hashed.join(cut, stratum, "left")
+    inside = (F.col("_slot") < F.col("_cut_slot")) | (
+        (F.col("_slot") == F.col("_cut_slot")) & (F.struct("_h", key) <= F.col("_at"))
     )
-    rest = (
-        placed.filter(F.col("_room") <= 0).drop(*extra)
-        .unionByName(border.filter(F.col("_rank") > F.col("_room")).drop("_rank", *extra))
-    )
-    return train, rest
+    inside = F.coalesce(inside, F.lit(False))
+    return placed.filter(inside).select(*df.columns), placed.filter(~inside).select(*df.columns)

@@ -50,7 +50,9 @@ def code_set(codes: Column, first: list[int], fallback: list[int], source: DataF
 
     The choice is made once over the whole input, as a scalar subquery.
     """
-    has_first = source.agg(F.bool_or(F.coalesce(codes.isin(*first), F.lit(False)))).scalar()
-    has_fallback = source.agg(F.bool_or(F.coalesce(codes.isin(*fallback), F.lit(False)))).scalar()
-    use_fallback = ~has_first & has_fallback
+    seen = source.agg(
+        F.bool_or(F.coalesce(codes.isin(*first), F.lit(False))).alias("first"),
+        F.bool_or(F.coalesce(codes.isin(*fallback), F.lit(False))).alias("fallback"),
+    )
+    use_fallback = seen.select(~F.col("first") & F.col("fallback")).scalar()
     return source.filter(F.when(use_fallback, codes.isin(*fallback)).otherwise(codes.isin(*first)))
