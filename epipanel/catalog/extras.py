@@ -270,9 +270,28 @@ def _series(spark, sf):
     return b.grid(spark, sf).select(F.col("ra").alias("unique_id"), F.col("epi_sunday").alias("ds"), F.col("cases").alias("y"))
 
 
-@query("d15_local_level")
+def _recursive(names: str, *parts: str) -> str:
+    """``with recursive`` over the dense grid: ``s`` holds numbered series."""
+    numbered = "s as (select ra, epi_sunday, cases as y, row_number() over (partition by ra order by epi_sunday) as i from grid)"
+    return with_ctes("grid").rstrip().replace("with ", "with recursive ", 1) + ",\n" + ",\n".join([numbered, *parts]) + names
+
+
+LEVEL = (
+    """o as (select ra, greatest(var_pop(d) / 2, 1e-6) as obs from (select ra, y - lag(y) over (partition by ra order by i) as d from s) where d is not null group by ra)""",
+    """f as (select s.ra, 0::bigint as i, y as m, obs as c from s join o using (ra) where s.i = 1 union all
+        select s.ra, s.i, f.m + (f.c / 0.9::double) / (f.c / 0.9::double + obs) * (s.y - f.m), (f.c / 0.9::double) * (1 - (f.c / 0.9::double) / (f.c / 0.9::double + obs))
+        from f join s on s.ra = f.ra and s.i = f.i + 1 join o on o.ra = s.ra)""",
+    """g as (select f.ra, f.i, f.m as sm from f join (select ra, max(i) as n from f group by ra) l on l.ra = f.ra and l.n = f.i union all
+        select f.ra, f.i, f.m + 0.9::double * (g.sm - f.m) from g join f on f.ra = g.ra and f.i = g.i - 1 where f.i >= 1)""",
+)
+
+
+@query(
+    "d15_local_level",
+    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.m', 'level')}, {s6('f.c', 'level_var')}, {s6('g.sm', 'smoothed')} from s join f on f.ra = s.ra and f.i = s.i join g on g.ra = s.ra and g.i = s.i", *LEVEL),
+)
 def q_d15_level(spark, sf):
-    return filters.local_level(_series(spark, sf))
+    return rounded(filters.local_level(_series(spark, sf)), "level", "level_var", "smoothed")
 
 
 @query("d15_trend_season_climate")
@@ -281,11 +300,33 @@ def q_d15_states(spark, sf):
     return filters.trend_season_climate(_series(spark, sf).join(wet, "ds", "left"), "temp_mean")
 
 
-@query("d15_poisson_filter")
+POISSON = """f as (select ra, 0::bigint as i, 1.0::double as a, 1.0::double as b, 0.0::double as expected, 0.0::double as v from s where i = 1 union all
+    select s.ra, s.i, 0.9::double * f.a + s.y, 0.9::double * f.b + 1, f.a / f.b, 0.9::double * f.a / pow(0.9::double * f.b, 2) from f join s on s.ra = f.ra and s.i = f.i + 1)"""
+
+
+@query(
+    "d15_poisson_filter",
+    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.expected', 'expected')}, {s6('f.v', 'rate_var')}, {s6('f.a / f.b', 'rate')} from s join f on f.ra = s.ra and f.i = s.i", POISSON),
+)
 def q_d15_poisson(spark, sf):
-    return filters.poisson_filter(_series(spark, sf))
+    return rounded(filters.poisson_filter(_series(spark, sf)), "expected", "rate_var", "rate")
+
+
+ALARM = (
+    "o as (select ra, greatest(var_pop(y), 1e-6) as obs from s group by ra)",
+    """f as (select s.ra, 0::bigint as i, y as lv, 1.0::double as vr, 1.0::double as run, 0.0::double as bf, false as alarm from s where i = 1 union all
+      select ra, i, lv + p / (p + obs) * (y - lv), p * (1 - p / (p + obs)), case when alarm then 1.0::double else run2 end, bf, alarm from (
+        select *, run2 < 0.1 as alarm, case when run2 < 0.1 then prior * 4 else prior end as p from (
+          select *, case when run < 1 then bf * run else bf end as run2 from (
+            select s.ra, s.i, s.y, f.lv, f.run, obs, f.vr / 0.9::double as prior,
+              exp(greatest(-50, least(50, 0.5::double * (pow((s.y - f.lv) / sqrt(f.vr / 0.9::double + obs) - 2, 2) - pow((s.y - f.lv) / sqrt(f.vr / 0.9::double + obs), 2))))) as bf
+            from f join s on s.ra = f.ra and s.i = f.i + 1 join o on o.ra = s.ra))))""",
+)
 
 
-@query("d15_alarm_monitor")
+@query(
+    "d15_alarm_monitor",
+    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.bf', 'bayes_factor')}, f.alarm from s join f on f.ra = s.ra and f.i = s.i", *ALARM),
+)
 def q_d15_alarm(spark, sf):
-    return filters.alarm_monitor(_series(spark, sf))
+    return rounded(filters.alarm_monitor(_series(spark, sf)), "bayes_factor")

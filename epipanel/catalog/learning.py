@@ -22,10 +22,35 @@ def _panel(spark, sf):
     return reliable_checkpoint(b.full_panel(spark, sf))
 
 
-@query("m1_encoded_features")
+COMPLETE = " and ".join(f"{c} is not null" for c in feature_set("lag+clima+RA").numeric_columns())
+
+
+def _hot(width: int):
+    """Where the region's 1 sits in the vector and how wide the vector is."""
+    v = vector_to_array(learners.VECTOR)
+    tail = F.slice(v, width + 1, F.size(v) - width)
+    return [F.size(v).alias("width"), F.aggregate(tail, F.lit(0.0), lambda a, x: a + x).alias("hot"), v[0].alias("first_lag"), r6("y").alias("y")]
+
+
+@query(
+    "m1_encoded_features",
+    with_ctes("panel") + f"select ra, epi_sunday, cast(32 + (select count(*) from nation) as integer) as width, 1.0::double as hot, cases_lag_1 as first_lag, {s6('ln(1 + cases)', 'y')} from panel where {COMPLETE}",
+)
 def q_m1(spark, sf):
-    out = learners.design_matrix(b.full_panel(spark, sf), feature_set("lag+clima+RA"))
-    return out.select("ra", "epi_sunday", vector_to_array(learners.VECTOR).alias("features"), "y")
+    features = feature_set("lag+clima+RA")
+    out = learners.design_matrix(b.full_panel(spark, sf), features)
+    return out.select("ra", "epi_sunday", *_hot(len(features.numeric_columns())))
+
+
+@query(
+    "m3_aligned_design_matrix",
+    with_ctes("panel") + f"select ra, epi_sunday, cast(52 as integer) as width, case when cast(replace(ra, 'NATION_', '') as integer) < 20 then 1.0::double else 0.0::double end as hot, cases_lag_1 as first_lag, {s6('ln(1 + cases)', 'y')} from panel where {COMPLETE}",
+)
+def q_m3(spark, sf):
+    features = feature_set("lag+clima+RA")
+    labels = [f"NATION_{i}" for i in range(20)]
+    out = learners.design_matrix(b.full_panel(spark, sf), features, labels)
+    return out.select("ra", "epi_sunday", *_hot(len(features.numeric_columns())))
 
 
 @query(
@@ -38,13 +63,6 @@ def q_m2(spark, sf):
     return b.grid(spark, sf).select("ra", "epi_sunday", r6(target).alias("target"), r6(restored).alias("restored"))
 
 
-@query("m3_aligned_design_matrix")
-def q_m3(spark, sf):
-    labels = [f"NATION_{i}" for i in range(20)]
-    out = learners.design_matrix(b.full_panel(spark, sf), feature_set("lag+clima+RA"), labels)
-    return out.select("ra", "epi_sunday", F.size(vector_to_array(learners.VECTOR)).alias("width"), "y")
-
-
 @query("m5_fit_predict")
 def q_m5(spark, sf):
     return learners.fit_and_predict(_panel(spark, sf), feature_set("lag-only"), "RF", RF, YEAR).predictions
