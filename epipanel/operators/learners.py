@@ -78,10 +78,12 @@ def fit(train: DataFrame, features: FeatureSet, model: str, params: dict | None
     return Pipeline(stages=[*encoder_stages(features), make_regressor(model, params)]).fit(labelled)
 
 
-def to_cases(raw: Column, features: FeatureSet, population: str = "populacao") -> Column:
+def to_cases(raw: Column, features: FeatureSet, population: Column | None = None) -> Column:
     """Model output back to non-negative cases."""
     value = F.greatest(F.expm1(null_nan(raw)), F.lit(0.0))
-    return rate_to_count(value, F.col(population)) if features.is_rate else value
+    if not features.is_rate:
+        return value
+    return rate_to_count(value, F.col("populacao") if population is None else population)
 
 
 def predict(model: PipelineModel, df: DataFrame, features: FeatureSet) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,35 +34,37 @@ def recent_values(train: DataFrame, key: str, week: str, value: str, count: int)
 
 def unroll(
     state: DataFrame,
-    keep: list[str],
+    key: str,
     steps: int,
     inputs: Callable[[Column, Column], dict[str, Column]],
-    stages: list,
-    value: Callable[[Column], Column],
+    regressor: Transformer,
+    value: Callable[[Column, Column], Column],
+    fixed: str | None = None,
 ) -> DataFrame:
     """Advance every series ``steps`` times; adds array column ``preds``.
 
-    ``state`` has ``keep`` columns, ``hist`` (recent values) and ``fut`` (array
-    of structs, one per step). A step whose inputs are incomplete predicts null
-    and leaves the history as it is.
+    ``state`` has ``key``, ``hist`` (recent values) and ``fut`` (array of
+    structs, one per step); ``fixed`` names an array of inputs that do not
+    change. A step whose inputs are incomplete predicts null and leaves the
+    history as it is.
     """
+    keep = [key, "fut", *([fixed] if fixed else [])]
     state = state.withColumn("preds", F.array().cast("array<double>"))
     for k in range(steps):
-        row, hist = F.get("fut", F.lit(k)), F.col("hist")
-        cols = inputs(row, hist)
+        row = F.get("fut", F.lit(k))
+        cols = [c.cast("double") for c in inputs(row, F.col("hist")).values()]
         ready = row.isNotNull()
-        for c in cols.values():
+        for c in cols:
             ready = ready & c.isNotNull()
-        step = state.withColumns({**{n: c.cast("double") for n, c in cols.items()}, "_ready": ready})
-        for stage in stages:
-            step = stage.transform(step)
-        step = step.withColumn("_p", F.when(F.col("_ready"), value(F.col(RAW))))
-        moved = F.concat(F.slice("hist", 2, F.size("hist") - 1), F.array("_p"))
-        state = step.select(
+        values = F.array(*[F.coalesce(c, F.lit(0.0)) for c in cols])
+        vector = array_to_vector(F.concat(values, fixed) if fixed else values)
+        scored = regressor.transform(state.select(*keep, "hist", "preds", ready.alias("_ready"), vector.alias(VECTOR)))
+        guess = F.when(F.col("_ready"), value(F.col(RAW), row))
+        moved = F.concat(F.slice("hist", 2, F.size("hist") - 1), F.array(guess))
+        state = scored.select(
             *keep,
-            "fut",
             F.when(F.col("_ready"), moved).otherwise(F.col("hist")).alias("hist"),
-            F.concat("preds", F.array("_p")).alias("preds"),
+            F.concat("preds", F.array(guess)).alias("preds"),
         )
         if (k + 1) % CUT_EVERY == 0:
             state = reliable_checkpoint(state)
@@ -78,12 +81,12 @@ def recursive_forecast(panel: DataFrame, fitted: PipelineModel, features: Featur
         F.sort_array(F.collect_list(F.struct("epi_sunday", "cases", "incidencia_100k", "populacao", *[c for c in outside if c != "populacao"]))).alias("fut")
     )
     state = future.join(recent_values(train, "ra", "epi_sunday", "cases", 4), "ra")
-    keep = ["ra"]
-    stages = list(fitted.stages)
+    fixed = None
     if features.region:
-        for stage in stages[:2]:
+        for stage in fitted.stages[:2]:
             state = stage.transform(state)
-        state, stages, keep = state.drop("_region_idx"), stages[2:], ["ra", REGION]
+        fixed = "_region_values"
+        state = state.withColumn(fixed, vector_to_array(REGION)).drop("_region_idx", REGION)
 
     def inputs(row: Column, hist: Column) -> dict[str, Column]:
         lag = {n: F.try_element_at(hist, F.lit(-n)) for n in range(1, 5)}
@@ -96,13 +99,10 @@ def recursive_forecast(panel: DataFrame, fitted: PipelineModel, features: Featur
         }
         return {c: own[c] if c in own else row[c] for c in features.numeric_columns()}
 
-    def value(raw: Column) -> Column:
-        return to_cases(raw, features)
+    def value(raw: Column, row: Column) -> Column:
+        return to_cases(raw, features, row["populacao"])
 
-    wanted = features.numeric_columns()
-    if features.is_rate and "populacao" not in wanted:
-        raise ValueError("a rate target needs the population among the inputs")
-    done = unroll(reliable_checkpoint(state), keep, steps, inputs, stages, value)
+    done = unroll(reliable_checkpoint(state), "ra", steps, inputs, fitted.stages[-1], value, fixed)
     paired = F.arrays_zip(F.slice("fut", F.lit(1), F.size("preds")), F.col("preds"))
     rows = done.select("ra", F.explode(paired).alias("_z"))
     fut, pred = rows.schema["_z"].dataType.names
@@ -136,7 +136,7 @@ def global_model(train: DataFrame, horizon: int, params: dict | None = None, lag
         own = {f"y_lag_{n}": F.try_element_at(hist, F.lit(-n)) for n in lags}
         return {**own, "week": row["week"], "month": row["month"]}
 
-    done = unroll(reliable_checkpoint(state), ["unique_id"], horizon, inputs, list(fitted.stages), lambda raw: raw)
+    done = unroll(reliable_checkpoint(state), "unique_id", horizon, inputs, fitted.stages[-1], lambda raw, _row: raw)
     ahead = done.select("unique_id", "fut", F.posexplode("preds").alias("_i", "prediction"))
     return fitted, ahead.select(
         "unique_id", F.get("fut", F.col("_i"))["ds"].alias("ds"), (F.col("_i") + 1).alias("h"), "prediction"
