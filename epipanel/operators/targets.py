@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 class CaseDefinition:
     """Values that make a record probable, an exact match, or in the family."""
 
+    # The normalised labels of a case line list.
     probable: tuple[str, ...] = ("CASO PROVAVEL",)
     exact: tuple[str, ...] = ("DENGUE",)
     family: tuple[str, ...] = ("DENGUE", "DENGUE COM SINAIS DE ALARME", "DENGUE GRAVE")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from epipanel.functions.calendar import parse_day, week_start
 from epipanel.functions.text import norm_key
 
-# The columns of a case line list.
+# Columns of a case line list and of a notification file.
 CASE_COLUMNS = ("i_class_final", "i_desc_classificacao", "i_desc_uf_res", "i_desc_radf_res", "i_data_prim_sintomas")
 NOTIFICATION_COLUMNS = ("SG_UF", "SG_UF_NOT", "CLASSI_FIN", "DT_SIN_PRI")
 

@@ -6,7 +6,7 @@ drives one to completion into a table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -14,16 +14,27 @@ SUNDAY_OFFSET = "3 days"  # the epoch is a Thursday; windows start on Sundays
 LATE = "24 hours"
 
 
+def zoned(ntz: str) -> Column:
+    """Wall-clock time read as UTC, whatever the session zone; watermarks and
+    week offsets need a zoned timestamp."""
+    since = f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {ntz})"
+    return F.timestamp_micros(F.expr(since))
+
+
+def wall_clock(zoned_ts: str) -> Column:
+    """Inverse of ``zoned``."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({zoned_ts}), timestamp_ntz'1970-01-01 00:00:00')")
+
+
 def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """File stream over one Parquet file or a folder of them.
 
-    The trailing ``*`` lets the same path name either; the event time becomes a
-    zoned timestamp because watermarks need one.
+    The trailing ``*`` lets the same path name either.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path.rstrip("/") + "*").withColumn("ts", F.col("ts").cast("timestamp"))
+    return reader.parquet(path.rstrip("/") + "*").withColumn("ts", zoned("ts"))
 
 
 def weekly_counts(events: DataFrame, key: str, late: str | None = LATE) -> DataFrame:
@@ -32,7 +43,7 @@ def weekly_counts(events: DataFrame, key: str, late: str | None = LATE) -> DataF
     return (
         timed.groupBy(F.window("ts", "7 days", "7 days", SUNDAY_OFFSET).alias("w"), key)
         .agg(F.count("*").alias("n"))
-        .select(F.to_date("w.start").alias("epi_sunday"), key, "n")
+        .select(F.to_date(wall_clock("w.start")).alias("epi_sunday"), key, "n")
     )
 
 
@@ -41,7 +52,7 @@ def hopping_counts(events: DataFrame, key: str, size: str, slide: str, late: str
         events.withWatermark("ts", late)
         .groupBy(F.window("ts", size, slide).alias("w"), key)
         .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("window_start"), key, "n")
+        .select(wall_clock("w.start").alias("window_start"), key, "n")
     )
 
 
@@ -51,7 +62,7 @@ def sessions(events: DataFrame, key: str, gap: str = "30 minutes", late: str = L
         events.withWatermark("ts", late)
         .groupBy(F.session_window("ts", gap).alias("w"), key)
         .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), key, "n")
+        .select(wall_clock("w.start").alias("session_start"), wall_clock("w.end").alias("session_end"), key, "n")
     )
 
 
