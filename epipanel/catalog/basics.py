@@ -379,6 +379,26 @@ def q_j4(spark, sf):
     return rounded(joined.select("ra", "epi_sunday", "temp_mean_lag_2", "umidmed_lag_8"), "temp_mean_lag_2", "umidmed_lag_8")
 
 
+@query(
+    "j3_static_population",
+    with_ctes("grid", "basepop") + f"select g.ra, g.epi_sunday, p.populacao, {s6('g.cases / nullif(p.populacao, 0)::double * 100000.0::double', 'incidencia_100k')} from grid g join basepop p on p.ra = g.ra",
+)
+def q_j3_static(spark, sf):
+    rated = panel.add_population(b.grid(spark, sf), b.base_population(spark, sf), by_year=False)
+    return rated.select("ra", "epi_sunday", "populacao", r6("incidencia_100k").alias("incidencia_100k"))
+
+
+@query(
+    "j4_climate_inner_panel",
+    with_ctes("grid", "basepop", "climlag") + f"""select * from (select g.ra, g.epi_sunday, g.cases, lag(g.cases, 4) over (partition by g.ra order by g.epi_sunday) as cases_lag_4,
+      {s6('k.temp_mean_lag_3', 'temp_mean_lag_3')} from grid g join basepop p on p.ra = g.ra join (select * from climlag where year(epi_sunday) < 2001) k on k.epi_sunday = g.epi_sunday)""",
+)
+def q_j4_inner(spark, sf):
+    early = b.climate(spark, sf).filter(F.year("epi_sunday") < 2001)
+    full = panel.build_panel(b.case_counts(spark, sf), b.base_population(spark, sf), early, by_year=False, climate_join="inner")
+    return rounded(full.select("ra", "epi_sunday", "cases", "cases_lag_4", "temp_mean_lag_3"), "temp_mean_lag_3")
+
+
 @query(
     "j5_humidity_join",
     f"""with w as (select {wk('l_shipdate')} as epi_sunday, cast(sum(l_quantity) as double) as precip_sum from lineitem group by 1),

@@ -49,11 +49,15 @@ def dense_counts(counts: DataFrame, regions: DataFrame, first_week=None, as_of=N
     )
 
 
-def add_population(panel: DataFrame, population: DataFrame) -> DataFrame:
-    """Inner join on (ra, year): weeks outside the population years leave the panel."""
+def add_population(panel: DataFrame, population: DataFrame, by_year: bool = True) -> DataFrame:
+    """Inner join on (ra, year): weeks outside the population years leave the panel.
+
+    ``by_year=False`` takes one fixed population per region instead.
+    """
+    keys = ["ra", "ano"] if by_year else ["ra"]
     return (
         panel.withColumn("ano", F.year("epi_sunday"))
-        .join(population, ["ra", "ano"])
+        .join(population.select(*keys, "populacao"), keys)
         .withColumn("incidencia_100k", per_100k(F.col("cases"), F.col("populacao")))
     )
 
@@ -66,16 +70,24 @@ def weeks_without_population(panel: DataFrame, population: DataFrame) -> DataFra
     )
 
 
-def climate_lags(climate: DataFrame, station: str = "station_id") -> DataFrame:
+def climate_lags(climate: DataFrame, station: str = "station_id", cols=CLIMATE_COLS) -> DataFrame:
     """Lags 2-8 taken on the station series, before it meets the regions."""
-    return add_lags(climate, [station], "epi_sunday", CLIMATE_COLS, CLIMATE_LAGS)
+    return add_lags(climate, [station], "epi_sunday", cols, CLIMATE_LAGS)
 
 
-def build_panel(counts: DataFrame, population: DataFrame, climate: DataFrame, **span) -> DataFrame:
-    """Counts + population + climate + lags + trend + season, one row per week and region."""
+def build_panel(
+    counts: DataFrame, population: DataFrame, climate: DataFrame,
+    by_year: bool = True, climate_join: str = "left", climate_cols=CLIMATE_COLS, **span,
+) -> DataFrame:
+    """Counts + population + climate + lags + trend + season, one row per week and region.
+
+    A fixed population (``by_year=False``) and ``climate_join='inner'``, which
+    keeps only weeks with climate rows, give the earlier form of the panel.
+    """
     dense = dense_counts(counts, population, **span)
-    rated = add_population(dense, population)
-    joined = rated.join(climate_lags(climate).drop("station_id"), "epi_sunday", "left")
+    rated = add_population(dense, population, by_year)
+    lagged_climate = climate_lags(climate, cols=climate_cols).drop("station_id")
+    joined = rated.join(lagged_climate, "epi_sunday", climate_join)
     lagged = add_lags(joined, ["ra"], "epi_sunday", ("cases", "incidencia_100k"), CASE_LAGS)
     day = F.col("epi_sunday")
     return (
