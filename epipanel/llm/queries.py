@@ -22,6 +22,12 @@ def op1_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op2_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import toxicity
+
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from epipanel.llm import chunked_bpe
 
@@ -46,7 +52,7 @@ def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op3_chunk_reuse_bpe, op4_perspective_rotation, op7_complement_packing)
+        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op7_complement_packing)
     }
 
 
