@@ -22,6 +22,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from epipanel.llm.common import bucket_of, texts
 
 SAMPLE_ROWS = 12_000
-FEATURES = 1024
+FEATURES = 512
 ORDER, SIGNS = 4, 28  # 0: no letter, 1-26: a-z, 27: any other letter
 BEAM = 128
 MEMO = 300_000
@@ -65,15 +66,55 @@ def _sign_table() -> np.ndarray:
     return table
 
 
-_TABLE: list[np.ndarray] = []
+@cache
+def tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: letter class; 1 for a sign written for letters, 2 for a mark between letters, 4 for white space."""
+    kind = np.zeros(0x10000, np.uint8)
+    kind[[ord(c) for c in LEET]] = 1
+    kind[[ord(c) for c in APART]] |= 2
+    kind[[k for k in range(0x10000) if chr(k).isspace()]] |= 4
+    return _sign_table(), kind
+
+
+def codes_of(text: str) -> np.ndarray:
+    return np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 0xFFFF)
 
 
 def signs(text: str) -> np.ndarray:
     """Letter classes of a text."""
-    if not _TABLE:
-        _TABLE.append(_sign_table())
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return _TABLE[0][np.minimum(codes, 0xFFFF)]
+    return tables()[0][codes_of(text)]
+
+
+def suspects(text: str) -> list[tuple[int, int]]:
+    """Stretches, between white space, that hold everything ``SUSPECT`` can match in the text."""
+    codes = codes_of(f" {text}  ")
+    letters, kinds = tables()
+    letter, kind = letters[codes] > 0, kinds[codes]
+    at = np.flatnonzero(kind & 3)
+    at = at[(at > 0) & (at < len(codes) - 2)]
+    sign, mark = kind[at] & 1 > 0, (kind[at] & 2 > 0) & (kind[at] & 4 == 0)
+    before, after = letter[at - 1], letter[at + 1]
+    hits = [at[(sign & after) | (sign & before & (kind[at + 1] & 1 > 0)) | (mark & before & after)]]
+    same = np.flatnonzero((codes[1:-1] == codes[:-2]) & (codes[1:-1] == codes[2:]) & letter[1:-1])
+    hits.append(same + 1)
+    wide = np.flatnonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:]) + 1
+    close = np.flatnonzero(wide[3:] - wide[:-3] <= 9) if len(wide) > 3 else np.zeros(0, int)
+    spans: list[tuple[int, int]] = []
+    if not len(close) and not any(map(len, hits)):
+        return spans
+    white = np.flatnonzero(kind & 4)
+    lows = np.concatenate([*hits, wide[close]])
+    highs = np.concatenate([*hits, wide[close + 3]])
+    order = np.argsort(lows, kind="stable")
+    lows, highs = lows[order], highs[order]
+    start = white[np.searchsorted(white, lows, side="right") - 1]
+    stop = white[np.searchsorted(white, highs, side="left")] - 1
+    for a, b in zip(start.tolist(), stop.tolist(), strict=True):
+        if spans and a <= spans[-1][1] + 1:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
+    return spans
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -155,6 +196,7 @@ class Model:
 
     def __post_init__(self) -> None:
         self.memo: dict[str, str] = {}
+        self.heads: set[str] | None = None  # first four letters of every feature
 
     def restored(self, match: re.Match[str]) -> str:
         token = match[0]
@@ -168,14 +210,24 @@ class Model:
 
     def clean(self, text: str) -> str:
         """The text with every obfuscated stretch restored."""
-        return SUSPECT.sub(self.restored, text)
+        spans = suspects(text)
+        if not spans:
+            return text
+        out, last = [], 0
+        for a, b in spans:
+            out += [text[last:a], SUSPECT.sub(self.restored, text[a:b])]
+            last = b
+        return "".join([*out, text[last:]])
 
     def evidence(self, text: str) -> tuple[set[str], set[str]]:
         return evidence(self.clean(text))
 
     def score(self, text: str) -> float:
-        words, starts = self.evidence(text)
-        z = self.bias + sum(self.words[w] for w in self.words.keys() & words) + sum(self.starts[s] for s in self.starts.keys() & starts)
+        if self.heads is None:
+            self.heads = {f[:4] for f in (*self.words, *self.starts)}
+        near = {w for w in set(WORDS.findall(self.clean(text).lower())) if w[:4] in self.heads}
+        z = self.bias + sum(self.words[w] for w in self.words.keys() & near)
+        z += sum(self.starts[s] for s in self.starts.keys() & {w[:n] for w in near for n in STARTS if len(w) >= n})
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
@@ -219,20 +271,22 @@ def best_features(sample: DataFrame, blank: Model, most: int) -> list[str]:
     return [r["feature"] for r in rows]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated gradient steps on the ridge-penalised likelihood."""
-    w, b = np.zeros(x.shape[1], np.float32), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
-    v, u = w.copy(), b
-    norm = float((x.sum(axis=1) ** 1).max(initial=1.0)) + 1.0
-    rate = 4.0 / norm
-    for k in range(steps):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ v + u, -30, 30)))
-        w2 = np.maximum(v - rate * (x.T @ (p - y) / len(y) * 1.0 + ridge * v / len(y)), 0.0).astype(np.float32)
-        b2 = u - rate * float((p - y).mean())
-        turn = k / (k + 3)
-        v, u = w2 + turn * (w2 - w), b2 + turn * (b2 - b)
-        w, b = w2, b2
-    return w, b
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> tuple[np.ndarray, float]:
+    """Weights and bias by Newton steps on the ridge-penalised likelihood; the bias is not penalised."""
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    w = np.zeros(x.shape[1])
+    w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-6
+    for _ in range(steps):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - y) + penalty * w
+        bend = (x * (p * (1 - p) + 1e-6).astype(np.float32)[:, None]).T @ x
+        step = np.linalg.solve(bend + np.diag(penalty), slope)
+        w -= step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w[:-1], float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS, most: int = FEATURES) -> Model:
