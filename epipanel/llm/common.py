@@ -53,3 +53,28 @@ def batches(fn: Callable[[dict[str, list]], dict[str, list]], schema: pa.Schema,
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
+
+
+def with_texts(docs: DataFrame, rewrite: Callable[[], Callable[[list[str]], list[str]]]) -> DataFrame:
+    """All columns of ``docs`` with every text rewritten and n_chars, where there is one, counted anew; null stays null.
+
+    ``rewrite`` makes the function in each task, so what it holds is built once there.
+    """
+    names = docs.columns
+    at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = rewrite()
+        for part in parts:
+            for start in range(0, part.num_rows, 512):
+                cut = part.slice(start, 512)
+                old = cut.column(at).to_pylist()
+                new = iter(change([t for t in old if t is not None]))
+                out = [None if t is None else next(new) for t in old]
+                columns = list(cut.columns)
+                columns[at] = pa.array(out, pa.string())
+                if chars >= 0:
+                    columns[chars] = pa.array([None if t is None else len(t) for t in out], columns[chars].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -43,6 +43,14 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import personal_data
+
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find(docs, personal_data.fit(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from epipanel.llm import packing
 
@@ -52,7 +60,7 @@ def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op7_complement_packing)
+        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op7_complement_packing)
     }
 
 
