@@ -57,10 +57,16 @@ def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import language
+
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op7_complement_packing)
+        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op7_complement_packing, op9_bigru_language)
     }
 
 
