@@ -51,6 +51,12 @@ def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op6_parsing_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import phrases
+
+    return phrases.with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from epipanel.llm import packing
 
@@ -66,7 +72,7 @@ def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op7_complement_packing, op9_bigru_language)
+        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op6_parsing_fingerprint, op7_complement_packing, op9_bigru_language)
     }
 
 
