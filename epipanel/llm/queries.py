@@ -63,6 +63,12 @@ def op7_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_bayes_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import jaccard_join
+
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from epipanel.llm import language
 
@@ -72,7 +78,7 @@ def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op6_parsing_fingerprint, op7_complement_packing, op9_bigru_language)
+        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op6_parsing_fingerprint, op7_complement_packing, op8_bayes_jaccard, op9_bigru_language)
     }
 
 
