@@ -75,10 +75,28 @@ def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_interval_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import repeats
+
+    kept = repeats.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_decision_list, op2_deobfuscated_toxicity, op3_chunk_reuse_bpe, op4_perspective_rotation, op5_boosted_pii, op6_parsing_fingerprint, op7_complement_packing, op8_bayes_jaccard, op9_bigru_language)
+        for f in (
+            op1_decision_list,
+            op2_deobfuscated_toxicity,
+            op3_chunk_reuse_bpe,
+            op4_perspective_rotation,
+            op5_boosted_pii,
+            op6_parsing_fingerprint,
+            op7_complement_packing,
+            op8_bayes_jaccard,
+            op9_bigru_language,
+            op10_interval_tree_dedup,
+        )
     }
 
 
