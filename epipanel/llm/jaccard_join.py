@@ -349,10 +349,10 @@ def keep_representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     # equal doc_ids or none at all may still leave several rows of a class: one of them is taken
     alone = found.where(F.col("set_id").isNull()).select("doc_id", "text_hash").distinct()
     first = found.where(F.col("set_id").isNotNull()).groupBy("class_id").agg(F.min(F.struct("text_hash", "doc_id")).alias("m")).select("m.doc_id", "m.text_hash")
-    chosen = alone.withColumn("each", F.lit(True)).unionByName(first.withColumn("each", F.lit(False))).select(
-        F.col("doc_id").alias("kept_doc"), F.col("text_hash").alias("kept_hash"), "each"
+    chosen = alone.withColumn("__llm_each", F.lit(True)).unionByName(first.withColumn("__llm_each", F.lit(False))).select(
+        F.col("doc_id").alias("__llm_kept_doc"), F.col("text_hash").alias("__llm_kept_hash"), "__llm_each"
     )
     hash_of = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("kept_doc")) & (hash_of == F.col("kept_hash")))
-    row = Window.partitionBy("kept_doc", "kept_hash").orderBy(F.lit(1))
-    return rows.withColumn("kept_row", F.row_number().over(row)).where(F.col("each") | (F.col("kept_row") == 1)).select(*docs.columns)
+    rows = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("__llm_kept_doc")) & (hash_of == F.col("__llm_kept_hash")))
+    row = Window.partitionBy("__llm_kept_doc", "__llm_kept_hash").orderBy(F.lit(1))
+    return rows.withColumn("__llm_kept_row", F.row_number().over(row)).where(F.col("__llm_each") | (F.col("__llm_kept_row") == 1)).select(*docs.columns)

@@ -343,7 +343,7 @@ def with_bytes(docs: DataFrame, needs: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """span_id, span_key, spans (start and stop in bytes) of every document that holds repeated strings."""
+    """__llm_id, __llm_key, __llm_spans (start and stop in bytes) of every document that holds repeated strings."""
     found = stored(met(anchored(docs)))
     asked = found.where(F.col("kind") != COVERED)
     hot = asked.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("anchor").alias("hot_anchor"))
@@ -352,12 +352,12 @@ def spans(docs: DataFrame) -> DataFrame:
         "doc_id", "doc_key", F.col("lo").alias("start"), (F.col("lo") + F.col("strings") - 1 + LENGTH).alias("stop")
     )
     every = covered.unionByName(resolved(with_bytes(docs, needs)))
-    return every.groupBy(F.col("doc_id").alias("span_id"), F.col("doc_key").alias("span_key")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    return every.groupBy(F.col("doc_id").alias("__llm_id"), F.col("doc_key").alias("__llm_key")).agg(F.collect_set(F.struct("start", "stop")).alias("__llm_spans"))
 
 
 def with_spans(docs: DataFrame, *keep: str) -> DataFrame:
-    rows = docs.select(*keep, doc_key().alias("own_doc_key"))
-    return rows.join(spans(docs), (F.col("own_doc_key") == F.col("span_key")) & F.col("doc_id").eqNullSafe(F.col("span_id")), "left")
+    rows = docs.select(*keep, doc_key().alias("__llm_own_key"))
+    return rows.join(spans(docs), (F.col("__llm_own_key") == F.col("__llm_key")) & F.col("doc_id").eqNullSafe(F.col("__llm_id")), "left")
 
 
 def remove(raw: bytes, cut: list[tuple[int, int]]) -> bytes:
@@ -386,7 +386,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 
-    rows = with_spans(docs, "doc_id", "text").select("doc_id", "text", "spans")
+    rows = with_spans(docs, "doc_id", "text").select("doc_id", "text", F.col("__llm_spans").alias("spans"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
@@ -406,8 +406,7 @@ def whole_characters(raw: bytes, cut: list[tuple[int, int]]) -> list[tuple[int,
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All columns, with repeated strings cut out of the texts (whole characters only) and n_chars counted anew."""
     names = docs.columns
-    listed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
-    rows = with_spans(docs, *names).withColumn("repeat_spans", listed)
+    rows = with_spans(docs, *names)
     schema = docs.schema
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
 
@@ -429,4 +428,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     columns[chars] = pa.array([None if t is None else len(t) for t in out], columns[chars].type)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select(*names, "repeat_spans").mapInArrow(run, schema)
+    return rows.select(*names, "__llm_spans").mapInArrow(run, schema)

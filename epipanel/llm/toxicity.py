@@ -330,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_
 
 def scored(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """``keep`` columns and score of every document."""
-    rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("text_to_score"))
+    rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("__llm_text"))
     sent = docs.sparkSession.sparkContext.broadcast((model.grams, model.bias, model.words, model.starts))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,11 +338,11 @@ def scored(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
         for part in parts:
             scores: list[float] = []
             for start in range(0, part.num_rows, 512):
-                scores += map(own.score, part.column("text_to_score").slice(start, 512).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores, pa.float64())], names=[*keep, "toxicity_score"])
+                scores += map(own.score, part.column("__llm_text").slice(start, 512).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores, pa.float64())], names=[*keep, "__llm_score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(run, f"{kinds}, toxicity_score double")
+    return rows.mapInArrow(run, f"{kinds}, __llm_score double")
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -351,11 +351,11 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(docs, model, "doc_id").select(
         "doc_id",
         (F.coalesce(bucket_of("doc_id", 5), F.lit(-1)) == 0).alias("held_out"),
-        F.col("toxicity_score").alias("score"),
-        (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
+        F.col("__llm_score").alias("score"),
+        (F.col("__llm_score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of the documents that score below one half."""
-    return scored(docs, model, *docs.columns).where(F.col("toxicity_score") < 0.5).select(*docs.columns)
+    return scored(docs, model, *docs.columns).where(F.col("__llm_score") < 0.5).select(*docs.columns)
