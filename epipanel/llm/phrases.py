@@ -202,7 +202,12 @@ def dealt(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lead("range").over(above), F.first("range").over(above.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("range"),
         F.lit(1).alias("last"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"),
     )
-    return rows.unionByName(follow).repartition(n, "range").sortWithinPartitions(
+    # keys that hash to different partitions, so that each partition gets one range
+    ids = spark.range(40 * n).select(F.col("id").cast("int").alias("key"))
+    keys = ids.groupBy(F.pmod(F.hash("key"), F.lit(n))).agg(F.min("key").alias("key")).orderBy("key")
+    spread = [r["key"] for r in keys.collect()]
+    slot = F.element_at(F.lit(spread), F.col("range") % len(spread) + 1)
+    return rows.unionByName(follow).withColumn("slot", slot).repartition(n, "slot").drop("slot").sortWithinPartitions(
         "range", "last", F.desc_nulls_last("doc_id"), F.desc(F.xxhash64("text")), F.desc("text")
     )
 
