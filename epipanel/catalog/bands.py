@@ -60,7 +60,7 @@ BAND_OUT = f"select ra, epi_sunday, {s6('lower_ci', 'lower_ci')}, {s6('upper_ci'
 
 @query("c2_apply_bands", with_ctes("banded") + BAND_OUT)
 def q_c2(spark, sf):
-    placed = series.position_horizon(b.naive_predictions(spark, sf, 52), ["ra"], "epi_sunday", 99)
+    placed = series.position_horizon(b.naive_predictions(spark, sf, 52), ["ra"], "epi_sunday", None)
     out = conformal.apply_bands(placed, conformal.calibrate(calibration_rows(spark, sf)))
     return rounded(out.select("ra", "epi_sunday", "lower_ci", "upper_ci"), "lower_ci", "upper_ci")
 
@@ -71,7 +71,7 @@ def q_c2(spark, sf):
 )
 def q_j10(spark, sf):
     cal = conformal.calibrate(calibration_rows(spark, sf))
-    placed = series.position_horizon(b.naive_predictions(spark, sf, 52), ["ra"], "epi_sunday", 99).select("horizon").distinct()
+    placed = series.position_horizon(b.naive_predictions(spark, sf, 52), ["ra"], "epi_sunday", None).select("horizon").distinct()
     last_q = cal.agg(F.max_by("q", "horizon")).scalar()
     return placed.join(cal.select("horizon", "q"), "horizon", "left").select("horizon", r6(F.coalesce("q", last_q)).alias("q"))
 

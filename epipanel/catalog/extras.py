@@ -77,9 +77,9 @@ def q_d4(spark, sf):
 @query(
     "d5_mase",
     with_ctes("bench", e="select ra, cases, abs(cases - naive) as e, abs(cases - seasonal_naive) as s from bench where naive is not null and seasonal_naive is not null",
-              q="select ra, quantile_cont(cases, 0.75) as cut from e group by ra")
-    + f"""select ra, {s6('avg(e) / nullif(avg(s), 0)', 'mase')}, {s6('avg(case when cases >= cut then e end) / nullif(avg(s), 0)', 'mase_high')},
-      {s6('avg(case when cases < cut then e end) / nullif(avg(s), 0)', 'mase_low')} from e join q using (ra) group by ra""",
+              q="select ra, quantile_cont(cases, 0.75) as cut from grid group by ra")
+    + f"""select ra, {s6('avg(e) / nullif(avg(s), 0)', 'mase')}, {s6('avg(case when cases > cut then e end) / nullif(avg(s), 0)', 'mase_high')},
+      {s6('avg(case when cases <= cut then e end) / nullif(avg(s), 0)', 'mase_low')} from e join q using (ra) group by ra""",
 )
 def q_d5(spark, sf):
     preds = b.grid(spark, sf).withColumn("prediction", F.lag("cases").over(series.ordered(["ra"], "epi_sunday")))
@@ -163,11 +163,12 @@ def q_d10(spark, sf):
 
 @query(
     "d11_count_profile",
-    with_ctes("grid") + f"""select ra, {s6('d', 'dispersion')}, {s6('z', 'zero_share')}, case when z > 0.3 and d > 1.5 then 'zero_inflated' when d > 1.5 then 'negative_binomial' else 'poisson' end as family
-      from (select ra, var_samp(cases) / nullif(avg(cases), 0) as d, avg(cast(cases = 0 as integer)) as z from grid group by ra)""",
+    with_ctes("grid") + f"""select ra, {s6('m', 'mean_level')}, {s6('d', 'dispersion')}, {s6('z', 'zero_share')}, case when z > 0.2 and m >= 10 then 'hurdle_negative_binomial' when z > 0.2 then 'zero_inflated'
+        when m > 50 and d > 1 then 'log_gaussian' when d > 1.5 then 'negative_binomial' else 'poisson' end as family
+      from (select ra, avg(cases) as m, var_samp(cases) / nullif(avg(cases), 0) as d, avg(cast(cases = 0 as integer)) as z from grid group by ra)""",
 )
 def q_d11(spark, sf):
-    return rounded(diagnostics.count_profile(b.grid(spark, sf), ["ra"], "cases"), "dispersion", "zero_share")
+    return rounded(diagnostics.count_profile(b.grid(spark, sf), ["ra"], "cases"), "mean_level", "dispersion", "zero_share")
 
 
 PROFILE = dict(
@@ -184,10 +185,10 @@ def q_d12(spark, sf):
 
 @query(
     "d12_seasonal_outliers",
-    with_ctes("grid", **PROFILE) + f"select ra, epi_sunday, cases, {s6('residual', 'residual')} from res join cuts using (ra) where residual < q1 - (q3 - q1) or residual > q3 + (q3 - q1)",
+    with_ctes("grid", **PROFILE) + f"select ra, epi_sunday, cases, {s6('residual', 'residual')} from res join cuts using (ra) where abs(residual) > 3 * (q3 - q1)",
 )
 def q_d12_outliers(spark, sf):
-    out = diagnostics.seasonal_outliers(b.grid(spark, sf), ["ra"], "epi_sunday", "cases", 1.0)
+    out = diagnostics.seasonal_outliers(b.grid(spark, sf), ["ra"], "epi_sunday", "cases")
     return rounded(out.select("ra", "epi_sunday", "cases", "residual"), "residual")
 
 
@@ -204,7 +205,7 @@ def q_d13(spark, sf):
 @query(
     "d14_alert_levels",
     with_ctes("grid", q="select ra, quantile_cont(cases, 0.75) as p75, quantile_cont(cases, 0.90) as p90, quantile_cont(cases, 0.95) as p95 from grid where epi_sunday < date '2000-01-01' group by ra")
-    + "select ra, epi_sunday, cases, cast(case when cases > p95 then 3 when cases > p90 then 2 when cases > p75 then 1 else 0 end as integer) as alert_level from grid join q using (ra) where epi_sunday >= date '2000-01-01'",
+    + "select ra, epi_sunday, cases, cast(case when cases >= p95 then 3 when cases >= p90 then 2 when cases >= p75 then 1 else 0 end as integer) as alert_level from grid join q using (ra) where epi_sunday >= date '2000-01-01'",
 )
 def q_d14(spark, sf):
     grid = b.grid(spark, sf)

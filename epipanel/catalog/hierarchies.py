@@ -29,7 +29,31 @@ def base_forecasts(spark, sf):
 
 @query("a9_hierarchy", with_ctes("nodes") + "select unique_id, level, parent_id, ds, y from nodes")
 def q_a9(spark, sf):
-    return nodes(spark, sf)
+    return nodes(spark, sf).drop("ancestors")
+
+
+define("slashed", """select coalesce(replace(region, '/', chr(92) || '/'), 'NOT GIVEN') as region, replace(nation, '/', chr(92) || '/') as nation, top, ds, y from (
+    select 'ALL' as top, case when n_nationkey % 6 = 5 then null else r_name end as region,
+      case when n_nationkey % 5 = 0 then r_name else r_name || '/' || n_name end as nation, epi_sunday as ds, cases as y
+    from grid join nation on n_name = ra join region on r_regionkey = n_regionkey)""", "grid")
+
+
+@query(
+    "m15_names_with_separator",
+    with_ctes("slashed") + """select concat_ws('/', top, region, nation) as unique_id, cast(case when grouping(region) = 1 then 1 when grouping(nation) = 1 then 2 else 3 end as integer) as level,
+      ds, sum(y) as rec from slashed group by grouping sets ((top, ds), (top, region, ds), (top, region, nation, ds))""",
+)
+def q_m15_names(spark, sf):
+    """Bottom-up sums where leaf names hold the separator, equal a region's name or have no region."""
+    nation = b.table(spark, sf, "nation").select(F.col("n_name").alias("ra"), "n_regionkey", "n_nationkey")
+    region = b.table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    name = F.when(F.col("n_nationkey") % 5 == 0, F.col("region")).otherwise(F.concat_ws("/", "region", "ra"))
+    leaves = b.grid(spark, sf).join(nation.join(region, "n_regionkey"), "ra").select(
+        F.lit("ALL").alias("top"), F.when(F.col("n_nationkey") % 6 != 5, F.col("region")).alias("region"),
+        name.alias("nation"), F.col("epi_sunday").alias("ds"), F.col("cases").alias("y"),
+    )
+    tree = hierarchy.aggregate_levels(leaves, ["top", "region", "nation"])
+    return hierarchy.bottom_up(tree, 3, "y").select("unique_id", "level", "ds", "rec")
 
 
 @query(

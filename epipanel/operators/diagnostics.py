@@ -29,13 +29,13 @@ def benchmark_forecasts(df: DataFrame, keys: list[str], order: str, col: str, se
 
 def mase(df: DataFrame, keys: list[str], order: str, col: str, prediction: str, season: int = 52) -> DataFrame:
     """Mean absolute error scaled by the seasonal-naive error of the same rows,
-    overall and split at the 75th percentile of the series."""
+    overall and for rows above and up to the 75th percentile of the whole series."""
     w = ordered(keys, order)
     scaled = df.withColumns(
         {"_e": F.abs(F.col(col) - F.col(prediction)), "_s": F.abs(F.col(col) - F.lag(col, season).over(w))}
     ).filter("_e is not null and _s is not null")
-    cut = quantiles(value_counts(scaled, keys, col), keys, col, {"_cut": constant_level(0.75)}).drop("n")
-    high = F.col(col) >= F.col("_cut")
+    cut = quantiles(value_counts(df, keys, col), keys, col, {"_cut": constant_level(0.75)}).drop("n")
+    high = F.col(col) > F.col("_cut")
     return scaled.join(cut, keys).groupBy(*keys).agg(
         ratio(F.avg("_e"), F.avg("_s")).alias("mase"),
         ratio(F.avg(F.when(high, F.col("_e"))), F.avg("_s")).alias("mase_high"),
@@ -91,13 +91,22 @@ def ljung_box(acf: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def count_profile(df: DataFrame, keys: list[str], y: str) -> DataFrame:
-    """Dispersion, zero share and the model family they suggest."""
+    """Mean level, dispersion, zero share and the model family they suggest.
+
+    More than a fifth of zeros asks for a zero-inflated model below ten cases a
+    week and for a hurdle model (outbreaks between empty weeks) from there on;
+    over-dispersed series above 50 a week are Gaussian on the log scale; the
+    rest go by dispersion.
+    """
     stats = df.groupBy(*keys).agg(
+        F.avg(y).alias("mean_level"),
         ratio(F.var_samp(y), F.avg(y)).alias("dispersion"),
         F.avg((F.col(y) == 0).cast("int")).alias("zero_share"),
     )
     family = (
-        F.when((F.col("zero_share") > 0.3) & (F.col("dispersion") > 1.5), "zero_inflated")
+        F.when((F.col("zero_share") > 0.2) & (F.col("mean_level") >= 10), "hurdle_negative_binomial")
+        .when(F.col("zero_share") > 0.2, "zero_inflated")
+        .when((F.col("mean_level") > 50) & (F.col("dispersion") > 1), "log_gaussian")
         .when(F.col("dispersion") > 1.5, "negative_binomial")
         .otherwise("poisson")
     )
@@ -110,7 +119,7 @@ def seasonal_profile(df: DataFrame, keys: list[str], week: str, y: str) -> DataF
 
 
 def seasonal_outliers(df: DataFrame, keys: list[str], week: str, y: str, width: float = 3.0) -> DataFrame:
-    """Rows whose residual from the seasonal mean lies beyond ``width`` IQRs."""
+    """Rows whose residual from the seasonal mean is larger than ``width`` IQRs of the residuals."""
     keyed = df.withColumn("week_of_year", F.weekofyear(week))
     resid = keyed.join(seasonal_profile(df, keys, week, y), [*keys, "week_of_year"]).withColumn(
         "residual", F.col(y) - F.col("profile")
@@ -118,8 +127,7 @@ def seasonal_outliers(df: DataFrame, keys: list[str], week: str, y: str, width:
     cuts = quantiles(
         value_counts(resid, keys, "residual"), keys, "residual", {"q1": constant_level(0.25), "q3": constant_level(0.75)}
     ).drop("n")
-    spread = (F.col("q3") - F.col("q1")) * width
-    outside = (F.col("residual") < F.col("q1") - spread) | (F.col("residual") > F.col("q3") + spread)
+    outside = F.abs("residual") > (F.col("q3") - F.col("q1")) * width
     return resid.join(cuts, keys).filter(outside)
 
 

@@ -50,11 +50,11 @@ def recent_coverage(banded: DataFrame, weeks: int = 12, floor: float = 0.85) ->
 
 
 def alert_levels(series: DataFrame, history: DataFrame, keys: list[str], value: str = "cases") -> DataFrame:
-    """0-3 by the 75th, 90th and 95th percentile of each key's history."""
+    """0-3 by the 75th, 90th and 95th percentile of each key's history; a value on a cut has the higher level."""
     levels = {"p75": constant_level(0.75), "p90": constant_level(0.90), "p95": constant_level(0.95)}
     cuts = quantiles(value_counts(history, keys, value), keys, value, levels).drop("n")
     v = F.col(value)
-    level = F.when(v > F.col("p95"), 3).when(v > F.col("p90"), 2).when(v > F.col("p75"), 1).otherwise(0)
+    level = F.when(v >= F.col("p95"), 3).when(v >= F.col("p90"), 2).when(v >= F.col("p75"), 1).otherwise(0)
     return series.join(cuts, keys).withColumn("alert_level", level)
 
 

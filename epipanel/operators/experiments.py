@@ -60,14 +60,14 @@ def tune(
             rows.append((model, config, cv_score(train, features, model, params, n_splits), json.dumps(params, sort_keys=True)))
     spark = panel.sparkSession
     tuning = spark.createDataFrame(rows, "modelo string, config string, cv_rmse double, params string")
-    best = {r.modelo: json.loads(r.params) for r in best_row(tuning, ["modelo"], F.col("cv_rmse"), F.col("params")).collect()}
+    best = {r.modelo: json.loads(r.params) for r in best_row(tuning, ["modelo"], F.coalesce("cv_rmse", F.lit(float("inf"))), F.col("params")).collect()}
     finals = [
         learners.fit_and_predict(panel, features, m, p, test_year).predictions.withColumns(
             {"modelo": F.lit(f"{m}_tuned"), "config": F.lit(config)}
         )
         for m, p in sorted(best.items())
     ]
-    return tuning.orderBy("modelo", "cv_rmse", "params"), _union(finals)
+    return tuning.orderBy("modelo", F.asc_nulls_last("cv_rmse"), "params"), _union(finals)
 
 
 def ablation(panel: DataFrame, test_year: int, models: dict[str, dict | None], configs: list[str] | None = None) -> dict[str, DataFrame]:

@@ -1,8 +1,8 @@
 """Hierarchical series: level aggregates and forecast reconciliation.
 
-A node frame has ``unique_id`` (path of names), ``level`` (1 = top),
-``parent_id``, ``ds`` and a value column. The summing matrix is implied by the
-parent edges.
+A node frame has ``unique_id``, ``level`` (1 = top), ``parent_id``, ``ds``, a
+value column and ``ancestors`` (ids from the top down to the node itself). The
+summing matrix is implied by them.
 """
 
 from __future__ import annotations
@@ -18,23 +18,31 @@ from epipanel.functions.scalars import ratio
 from epipanel.session import reliable_checkpoint
 
 SEP = "/"
+NOT_GIVEN = "NOT GIVEN"
 MAX_DENSE_SERIES = 2000
 
 
+def member(name: str) -> Column:
+    """A level's member as part of an id: separators inside are escaped, a null is a member of its own."""
+    return F.regexp_replace(F.coalesce(F.col(name).cast("string"), F.lit(NOT_GIVEN)), r"([\\/])", r"\\$1")
+
+
 def aggregate_levels(df: DataFrame, levels: list[str], ds: str = "ds", y: str = "y") -> DataFrame:
-    """Sums at every level of a tree by grouping sets.
+    """Sums at every level of a tree by grouping sets, with each node's parent and ancestors (itself last).
 
     Rows are summed to the leaves first, so the level expansion multiplies leaf
-    rows and not input rows.
+    rows and not input rows. Ids are only ever compared, never taken apart, so a
+    name may hold the separator; rows without a member count under ``NOT_GIVEN``.
     """
-    leaves = df.dropna(subset=levels).groupBy(*levels, ds).agg(F.sum(y).alias(y))
+    leaves = df.select(*[member(c).alias(c) for c in levels], ds, y).groupBy(*levels, ds).agg(F.sum(y).alias(y))
     sets = [[*levels[:i], ds] for i in range(1, len(levels) + 1)]
     depth = sum((1 - F.grouping(c) for c in levels[1:]), 1 - F.grouping(levels[0]))
     nodes = leaves.groupingSets(sets, *levels, ds).agg(F.sum(y).alias(y), depth.cast("int").alias("level"))
-    parent = F.coalesce(
-        *[F.when(F.col("level") == i, F.concat_ws(SEP, *levels[: i - 1])) for i in range(2, len(levels) + 1)]
+    ids = F.array(*[F.concat_ws(SEP, *levels[:i]) for i in range(1, len(levels) + 1)])
+    placed = nodes.withColumn("ancestors", F.slice(ids, F.lit(1), F.col("level")))
+    return placed.select(
+        F.get("ancestors", F.col("level") - 1).alias("unique_id"), "level", F.get("ancestors", F.col("level") - 2).alias("parent_id"), ds, y, "ancestors"
     )
-    return nodes.select(F.concat_ws(SEP, *levels).alias("unique_id"), "level", parent.alias("parent_id"), ds, y)
 
 
 def crossed_totals(df: DataFrame, dims: list[str], ds: str = "ds", y: str = "y") -> DataFrame:
@@ -52,16 +60,10 @@ def _subsets(dims: list[str], ds: str) -> list[list[str]]:
     return sets
 
 
-def ancestors(path: Column) -> Column:
-    """All prefixes of a path, itself included."""
-    parts = F.split(path, SEP)
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), SEP))
-
-
 def bottom_up(base: DataFrame, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
     """Every node is the sum of its leaves' forecasts."""
     leaves = base.filter(F.col("level") == leaf_level)
-    up = leaves.select(F.explode(ancestors(F.col("unique_id"))).alias("unique_id"), "ds", value)
+    up = leaves.select(F.explode("ancestors").alias("unique_id"), "ds", value)
     sums = up.groupBy("unique_id", "ds").agg(F.sum(value).alias(out))
     return base.join(sums, ["unique_id", "ds"])
 
@@ -174,9 +176,9 @@ def shrunk_covariance(residuals: DataFrame, ids: list[str]) -> np.ndarray:
     return shrunk * np.outer(sd, sd)
 
 
-def summing_matrix(nodes: list[tuple[str, int]], leaf_level: int) -> np.ndarray:
-    leaves = [i for i, level in nodes if level == leaf_level]
-    return np.array([[float(leaf == i or leaf.startswith(i + SEP)) for leaf in leaves] for i, _ in nodes])
+def summing_matrix(nodes: list[tuple[str, int, list[str]]], leaf_level: int) -> np.ndarray:
+    leaves = [above for _, level, above in nodes if level == leaf_level]
+    return np.array([[float(i in above) for above in leaves] for i, _, _ in nodes])
 
 
 def min_trace(base: DataFrame, residuals: DataFrame, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
@@ -185,11 +187,11 @@ def min_trace(base: DataFrame, residuals: DataFrame, leaf_level: int, value: str
     The covariance is a dense m x m matrix, so m is checked; larger two-level
     trees have the exact diagonal form in ``wls_two_level``.
     """
-    listed = base.select("unique_id", "level").distinct().limit(MAX_DENSE_SERIES + 1).collect()
+    listed = base.select("unique_id", "level", "ancestors").distinct().limit(MAX_DENSE_SERIES + 1).collect()
     if len(listed) > MAX_DENSE_SERIES:
         raise ValueError(f"more than {MAX_DENSE_SERIES} series: use wls_two_level")
     nodes = sorted(tuple(r) for r in listed)
-    ids = [i for i, _ in nodes]
+    ids = [i for i, _, _ in nodes]
     cov = shrunk_covariance(residuals, ids)
     cov[np.diag_indices_from(cov)] += 1e-8 * max(np.trace(cov) / len(ids), 1e-12)
     s = summing_matrix(nodes, leaf_level)

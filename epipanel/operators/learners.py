@@ -40,7 +40,9 @@ def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
         if key not in NAMES[name]:
             raise ValueError(f"unknown parameter {key!r} for {name}")
         if key == "max_depth":
-            value = MAX_DEPTH if value is None else min(int(value), MAX_DEPTH)
+            if value is not None and int(value) > MAX_DEPTH:
+                raise ValueError(f"max_depth {value} is beyond {MAX_DEPTH}; None means {MAX_DEPTH}")
+            value = MAX_DEPTH if value is None else int(value)
         if NAMES[name][key] == "featureSubsetStrategy":
             value = str(value)
         spark_params[NAMES[name][key]] = value

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epipanel.functions.calendar import season_angles
@@ -75,19 +75,33 @@ def climate_lags(climate: DataFrame, station: str = "station_id", cols=CLIMATE_C
     return add_lags(climate, [station], "epi_sunday", cols, CLIMATE_LAGS)
 
 
+def one_row_per_week(climate: DataFrame, *keys: str) -> DataFrame:
+    """``climate`` as it is; the query fails where a week repeats within the keys."""
+    repeats = F.count("*").over(Window.partitionBy(*keys, "epi_sunday"))
+    message = F.concat(F.lit("several climate rows in the week of "), F.col("epi_sunday").cast("string"))
+    checked = climate.withColumn("_repeats", repeats)
+    once = F.when(F.col("_repeats") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return checked.filter(once).drop("_repeats")
+
+
 def build_panel(
     counts: DataFrame, population: DataFrame, climate: DataFrame,
-    by_year: bool = True, climate_join: str = "left", climate_cols=CLIMATE_COLS, **span,
+    by_year: bool = True, climate_join: str = "left", climate_cols=CLIMATE_COLS, stations: DataFrame | None = None, **span,
 ) -> DataFrame:
     """Counts + population + climate + lags + trend + season, one row per week and region.
 
-    A fixed population (``by_year=False``) and ``climate_join='inner'``, which
+    ``stations`` maps a region (``ra``) to its ``station_id``; without it the
+    climate must have one station. A fixed population (``by_year=False``) and ``climate_join='inner'``, which
     keeps only weeks with climate rows, give the earlier form of the panel.
     """
     dense = dense_counts(counts, population, **span)
     rated = add_population(dense, population, by_year)
-    lagged_climate = climate_lags(climate, cols=climate_cols).drop("station_id")
-    joined = rated.join(lagged_climate, "epi_sunday", climate_join)
+    lagged_climate = climate_lags(climate, cols=climate_cols)
+    if stations is None:
+        joined = rated.join(one_row_per_week(lagged_climate.drop("station_id")), "epi_sunday", climate_join)
+    else:
+        placed = rated.join(stations.select("ra", "station_id"), "ra", "left")
+        joined = placed.join(one_row_per_week(lagged_climate, "station_id"), ["station_id", "epi_sunday"], climate_join).drop("station_id")
     lagged = add_lags(joined, ["ra"], "epi_sunday", ("cases", "incidencia_100k"), CASE_LAGS)
     day = F.col("epi_sunday")
     return (

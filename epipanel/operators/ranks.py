@@ -1,10 +1,9 @@
 """Exact ranks, distribution functions and quantiles without a one-task sort.
 
 Every operator here starts from a table of distinct values with counts, so a
-value shared by a third of all rows is one row. The ordered pass is cut into
-value buckets by a row-local monotone function: each (key, bucket) is sorted on
-its own, and only the bucket totals, whose number is bounded by the double
-range and not by the data, are accumulated in order.
+value shared by a third of all rows is one row. The ordered pass is cut into value
+buckets at the key's approximate percentiles: each (key, bucket) is sorted on
+its own, and only the bucket totals are accumulated in order.
 """
 
 from __future__ import annotations
@@ -16,19 +15,24 @@ from pyspark.sql import functions as F
 
 from epipanel.session import reliable_checkpoint
 
-BUCKETS_PER_E_FOLD = 2000
-SMALLEST = 1e-9
+LEAST_BUCKETS = 16
 
 
-def value_bucket(value) -> Column:
-    """Monotone log-scale bucket number of a double (0.05 % wide).
+def bucketed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``counts`` with ``_bucket``, its value's place among the key's approximate percentiles.
 
-    Never null, so no join adds a null check that would make one branch's scan
-    differ from the others and stop Spark from sharing their shuffle.
+    The edges come from the distinct values themselves, so buckets hold about
+    equally many of them wherever they lie. Their number follows the number of
+    shuffle partitions. Edges only decide where the ordered pass is cut, so
+    results do not depend on how exact they are.
     """
-    v = value.cast("double")
-    bucket = F.floor(F.signum(v) * F.log1p(F.abs(v) / SMALLEST) * BUCKETS_PER_E_FOLD)
-    return F.coalesce(bucket, F.lit(0).cast("long"))
+    n = max(LEAST_BUCKETS, 4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = F.lit([k / n for k in range(1, n)])
+    edges = counts.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), shares, 20 * n).alias("_edges"))
+    placed = counts.join(edges, list(keys)) if keys else counts.withColumn("_edges", edges.scalar())
+    v = F.col(value).cast("double")
+    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e < v)), F.lit(0))
+    return placed.withColumn("_bucket", bucket).drop("_edges")
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, **sums: Column) -> DataFrame:
@@ -44,7 +48,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, **sums: Column)
 def running_totals(counts: DataFrame, keys: Sequence[str], value: str, cols: Sequence[str]) -> DataFrame:
     """Add ``<col>_below``: the sum of ``col`` over strictly smaller values of the key."""
     keys = list(keys)
-    cut = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    cut = bucketed(counts, keys, value)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -41,9 +41,10 @@ def lead_target(df: DataFrame, keys, order: str, target: str, horizon: int, out:
     )
 
 
-def position_horizon(df: DataFrame, keys, order: str, cap: int = 4, out: str = "horizon") -> DataFrame:
-    """Position inside the series, capped, as the forecast horizon."""
-    return df.withColumn(out, F.least(F.row_number().over(ordered(keys, order)), F.lit(cap)))
+def position_horizon(df: DataFrame, keys, order: str, cap: int | None = 4, out: str = "horizon") -> DataFrame:
+    """Position inside the series as the forecast horizon, capped unless ``cap`` is ``None``."""
+    place = F.row_number().over(ordered(keys, order))
+    return df.withColumn(out, place if cap is None else F.least(place, F.lit(cap)))
 
 
 def differenced(df: DataFrame, keys, order: str, col: str, step: int) -> DataFrame:

@@ -69,6 +69,9 @@ def stratified_split(df: DataFrame, key: str, stratum: str, share: float = 0.8,
     hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn(
         "_slot", F.coalesce(F.pmod("_h", F.lit(slots)), F.lit(0))
     )
+    # a null stratum is a stratum: it joins by an empty list of values
+    hashed = hashed.withColumn("_stratum", F.array_compact(F.array(stratum)))
+    stratum = "_stratum"
     sizes = hashed.groupBy(stratum, "_slot").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(stratum).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     quota = F.floor(F.sum("_n").over(Window.partitionBy(stratum)) * share + 0.5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from functools import reduce
 
@@ -24,7 +25,7 @@ def scan_files(spark: SparkSession, folder: str, columns: tuple[str, ...], sep:
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
         F.col("_metadata.file_path").alias("path"), "value"
     )
-    names = F.split(F.regexp_replace("value", '[﻿"\r]', ""), sep)
+    names = F.split(F.regexp_replace("value", '[﻿"\r]', ""), re.escape(sep))
     is_header = F.size(F.array_intersect(names, F.array(*[F.lit(c) for c in columns]))) == len(columns)
     files = lines.groupBy("path").agg(
         F.max(F.when(is_header, F.col("value"))).alias("header"),

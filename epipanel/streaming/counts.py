@@ -29,12 +29,14 @@ def wall_clock(zoned_ts: str) -> Column:
 def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """File stream over one Parquet file or a folder of them.
 
-    The trailing ``*`` lets the same path name either.
+    A file stream takes a folder or a pattern; with its last character as a
+    one-letter set the path is a pattern that matches itself only.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path.rstrip("/") + "*").withColumn("ts", zoned("ts"))
+    exact = path.rstrip("/")
+    return reader.parquet(f"{exact[:-1]}[{exact[-1]}]").withColumn("ts", zoned("ts"))
 
 
 def weekly_counts(events: DataFrame, key: str, late: str | None = LATE) -> DataFrame:

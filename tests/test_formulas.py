@@ -1,5 +1,6 @@
 """Hand-checked formulas and edge rows."""
 
+import datetime as dt
 import math
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from epipanel.functions import text
 from epipanel.functions.calendar import iso_week, parse_day, week_start
-from epipanel.operators import conformal, hierarchy, learners, metrics, ranks, regions, series, splits, targets
+from epipanel.operators import conformal, hierarchy, learners, metrics, panel, ranks, regions, series, splits, targets
 from epipanel.plans.features import feature_set
 from epipanel.session import require_columns
 
@@ -253,6 +254,45 @@ def test_stratified_split_is_exact(spark):
         assert train.filter(f"c = {c}").count() == math.floor(n * 0.8 + 0.5)
 
 
+def test_null_stratum_is_split_too(spark):
+    df = spark.range(100).withColumn("c", F.lit(None).cast("string"))
+    train, rest = splits.stratified_split(df, "id", "c", 0.8)
+    assert (train.count(), rest.count(), train.columns) == (80, 20, df.columns)
+
+
+def test_names_with_separator_and_nulls(spark):
+    rows = [("R", "SUDOESTE", 2.0), ("R", "SUDOESTE/OCTOGONAL", 5.0), (None, "X", 4.0), ("R/S", "Y", 1.0)]
+    df = spark.createDataFrame([("ALL", r, n, dt.date(2024, 1, 7), y) for r, n, y in rows], "top string, region string, nation string, ds date, y double")
+    tree = hierarchy.aggregate_levels(df, ["top", "region", "nation"])
+    sums = {r.unique_id: r.rec for r in hierarchy.bottom_up(tree, 3, "y").collect()}
+    assert sums["ALL"] == 12 and sums["ALL/R"] == 7 and sums["ALL/R/SUDOESTE"] == 2 and sums["ALL/NOT GIVEN"] == 4 and sums["ALL/R\\/S"] == 1
+    assert {r.unique_id: r.y for r in tree.collect()} == sums
+
+
+def test_stations_of_regions(spark):
+    weeks = [dt.date(2024, 1, 7) + dt.timedelta(7 * k) for k in range(12)]
+    cases = spark.createDataFrame([(w, r, float(k)) for k, w in enumerate(weeks) for r in "AB"], "epi_sunday date, ra string, cases double")
+    people = spark.createDataFrame([(r, 2024, 10) for r in "AB"], "ra string, ano int, populacao long")
+    climate = spark.createDataFrame([(w, s, 1.0 * k, 1.0, 1.0) for k, w in enumerate(weeks) for s in ("S0", "S1")], "epi_sunday date, station_id string, precip_sum double, temp_mean double, umidmed double")
+    span = {"first_week": weeks[0], "as_of": weeks[-1]}
+    stations = spark.createDataFrame([("A", "S0"), ("B", "S1")], "ra string, station_id string")
+    whole = panel.build_panel(cases, people, climate, stations=stations, **span)
+    assert whole.count() == 24 and whole.filter("cases_lag_1 <> cases - 1").count() == 0
+    with pytest.raises(Exception, match="several climate rows"):
+        panel.build_panel(cases, people, climate, **span).collect()
+
+
+def test_close_values_get_many_buckets(spark):
+    counts = spark.range(20000).select((F.lit(1.7e9) + F.col("id") / 20).alias("v"), F.lit(1.0).alias("n"))
+    sizes = ranks.bucketed(counts, [], "v").groupBy("_bucket").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] >= 16 and sizes[1] <= 4 * 20000 / sizes[0]
+
+
+def test_null_score_never_wins(spark):
+    rows = spark.createDataFrame([("RF", None, "a"), ("RF", 2.0, "b")], "modelo string, cv_rmse double, params string")
+    assert series.best_row(rows, ["modelo"], F.coalesce("cv_rmse", F.lit(float("inf")))).first().params == "b"
+
+
 def test_unseen_region_is_all_zero(spark):
     f = feature_set("lag+clima+RA")
     from pyspark.ml import Pipeline
@@ -277,7 +317,8 @@ def test_reconciliation_is_coherent(spark):
     rng = np.random.default_rng(1)
     ids = [("T", 1, None), ("T/a", 2, "T"), ("T/b", 2, "T")] + [(f"T/{p}/{i}", 3, f"T/{p}") for p in "ab" for i in range(3)]
     days = pd.date_range("2020-01-05", periods=40, freq="7D")
-    base = spark.createDataFrame([(i, l, p, d.date(), float(rng.random() * 10 + 1)) for i, l, p in ids for d in days[-4:]], "unique_id string, level int, parent_id string, ds date, yhat double")
+    above = {i: [x for x, _, _ in ids if i == x or i.startswith(x + "/")] for i, _, _ in ids}
+    base = spark.createDataFrame([(i, l, p, above[i], d.date(), float(rng.random() * 10 + 1)) for i, l, p in ids for d in days[-4:]], "unique_id string, level int, parent_id string, ancestors array<string>, ds date, yhat double")
     resid = spark.createDataFrame([(i, d.date(), float(rng.normal())) for i, _, _ in ids for d in days], "unique_id string, ds date, residual double")
     for rec in (hierarchy.bottom_up(base, 3), hierarchy.top_down(base, 3), hierarchy.middle_out(base, 2, 3), hierarchy.min_trace(base, resid, 3)):
         pdf = rec.select("unique_id", "parent_id", "ds", "rec").toPandas()

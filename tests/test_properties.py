@@ -100,9 +100,9 @@ def test_filters_follow_a_level(spark):
 EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def write_events(spark, folder, name, rows):
+def write_events(spark, folder, rows):
     full = [(i, t, 1, "click", 1.0, "{}") for i, t in rows]
-    spark.createDataFrame(full, EVENT).coalesce(1).write.parquet(f"{folder}/{name}")
+    spark.createDataFrame(full, EVENT).coalesce(1).write.mode("append").parquet(f"{folder}/events")
 
 
 def test_late_rows(spark, tmp_path):
@@ -115,15 +115,21 @@ def test_late_rows(spark, tmp_path):
         [(4, day(2024, 1, 2, 0)), (5, day(2024, 1, 15))],  # two weeks late: dropped
     ]
     for i, rows in enumerate(batches):
-        write_events(spark, tmp_path, f"events-{i}.parquet", rows)
+        write_events(spark, tmp_path, rows)
         time.sleep(1.1)
     stream = counts.event_stream(spark, f"{tmp_path}/events", files_per_batch=1)
     out = runner.upsert_table(counts.weekly_counts(stream, "event_type"), ["epi_sunday", "event_type"])
     assert {(str(r.epi_sunday), r.n) for r in out.collect()} == {("2024-01-07", 2), ("2024-01-14", 2)}
 
 
+def test_stream_reads_its_own_path_only(spark, tmp_path):
+    write_events(spark, tmp_path, [(1, dt.datetime(2024, 1, 7))])
+    spark.read.parquet(f"{tmp_path}/events").write.parquet(f"{tmp_path}/events_old")
+    assert runner.append_to_table(counts.event_stream(spark, f"{tmp_path}/events")).count() == 1
+
+
 def test_repeats_are_dropped_across_batches(spark, tmp_path):
-    write_events(spark, tmp_path, "events-0.parquet", [(1, dt.datetime(2024, 1, 7)), (2, dt.datetime(2024, 1, 7, 1))])
-    write_events(spark, tmp_path, "events-1.parquet", [(1, dt.datetime(2024, 1, 7)), (3, dt.datetime(2024, 1, 7, 2))])
+    write_events(spark, tmp_path, [(1, dt.datetime(2024, 1, 7)), (2, dt.datetime(2024, 1, 7, 1))])
+    write_events(spark, tmp_path, [(1, dt.datetime(2024, 1, 7)), (3, dt.datetime(2024, 1, 7, 2))])
     stream = counts.event_stream(spark, f"{tmp_path}/events", files_per_batch=1)
     assert sorted(r.event_id for r in runner.append_to_table(counts.once_only(stream)).collect()) == [1, 2, 3]
