@@ -15,6 +15,7 @@ def load() -> tuple[dict, dict]:
         forecasts,
         hierarchies,
         learning,
+        readers,
         scores,
         streams,
         texts,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -58,17 +58,18 @@ def last_weeks(df: DataFrame, count: int, week: str = "epi_sunday") -> DataFrame
     return df.join(recent, week, "left_semi")
 
 
-def stratified_split(df: DataFrame, key: str, stratum: str, share: float = 0.8, seed: int = 42, slots: int = 4096):
+def stratified_split(df: DataFrame, key: str, stratum: str, share: float = 0.8, seed: int = 42, order: Column | None = None):
     """(train, rest) with ``share`` of each stratum in train, exact to one row.
 
-    Rows are ordered by a seeded hash of the key. Hash slots are counted first;
+    Rows are ordered by a seeded hash of the key, or by ``order``, a hexadecimal digest. Hash slots are counted first;
     only the single slot where a stratum's quota ends is ordered row by row, so
     a large stratum is never sorted in one task. The quota's last row then cuts
     the input by comparison.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn(
-        "_slot", F.coalesce(F.pmod("_h", F.lit(slots)), F.lit(0))
-    )
+    slots = 64 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = F.xxhash64(F.col(key), F.lit(seed)) if order is None else order
+    slot = F.pmod("_h", F.lit(slots)) if order is None else F.conv(F.substring("_h", 1, 3), 16, 10).cast("long")
+    hashed = df.withColumn("_h", by).withColumn("_slot", F.coalesce(slot, F.lit(0)))
     # a null stratum is a stratum: it joins by an empty list of values
     hashed = hashed.withColumn("_stratum", F.array_compact(F.array(stratum)))
     stratum = "_stratum"
