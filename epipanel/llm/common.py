@@ -37,6 +37,18 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def hash_sample(df: DataFrame, size: int, *key: str) -> DataFrame:
+    """All rows, or where there are more than ``size`` about that many: those of the smallest hashes of ``key``.
+
+    A threshold on the hash, set from the number of rows, keeps the sample the same however the rows are
+    dealt out, and lets no task send more than its share.
+    """
+    n = df.count()
+    if n <= size:
+        return df
+    return df.where(F.xxhash64(*key) <= min(int(2**64 * (size / n)) - 2**63, 2**63 - 1))
+
+
 def bucket_of(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

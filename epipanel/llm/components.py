@@ -22,10 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
         if not state["n"] or (state["n"], state["s"]) == before:
             break
         before = (state["n"], state["s"])
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        # larger neighbours go to the smallest of all
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        # a node's larger neighbours go to its smallest one; written first, so that a node with very many
+        # of them meets a plain table and Spark can split the join
+        least = stored(now.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")))
+        large = now.join(least, F.col("b") == F.col("u"), "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         small_least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         small = large.join(small_least, F.col("a") == F.col("u"))
         now = stored(

@@ -5,7 +5,7 @@ both ends with state zero at its edges, and gives every byte a distribution over
 a word's bytes get depends on the word alone and is worked out once for each distinct word that a task
 meets. A document's distribution is the mean over all its bytes.
 
-Training uses backpropagation through time on at most ``SAMPLE_WORDS`` distinct words of at most
+Training uses backpropagation through time on about ``SAMPLE_WORDS`` distinct words of about
 ``SAMPLE_DOCS`` labelled documents (smallest hashes); prediction covers every letter of every text.
 
 Cases: null text and text without a letter get ``und`` and score 0; without labelled rows every
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import bucket_of, texts
+from epipanel.llm.common import bucket_of, hash_sample, texts
 
 SAMPLE_DOCS, SAMPLE_WORDS = 3_000, 40_000
 WINDOW, UNITS = 64, 24
@@ -175,10 +175,7 @@ def train(words: list[bytes], target: np.ndarray, often: np.ndarray, languages:
 def fit(docs: DataFrame, learn: Column | None = None, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Network:
     """The network learned from text and lang of rows with both; ``learn`` limits them further."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (learn if learn is not None else F.lit(True)))
-    chosen = labelled.select("doc_id", F.xxhash64("doc_id", "text").alias("place"), "text", "lang")
-    least = chosen.select("place").orderBy("place").limit(sample_docs).agg(F.max("place")).first()[0]
-    if least is None:
-        return Network([])
+    chosen = hash_sample(labelled.select("doc_id", "text", "lang"), sample_docs, "doc_id", "text")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -192,10 +189,10 @@ def fit(docs: DataFrame, learn: Column | None = None, sample_docs: int = SAMPLE_
             )
 
     words = (
-        chosen.where(F.col("place") <= least).select("text", "lang").mapInArrow(cut, "word string, lang string, n long")
+        chosen.select("text", "lang").mapInArrow(cut, "word string, lang string, n long")
         .groupBy("word", "lang").agg(F.sum("n").alias("n")).where(F.length("word") <= WINDOW // 4)
-        .orderBy(F.xxhash64("word", "lang"), "word", "lang").limit(sample_words).toPandas()
     )
+    words = hash_sample(words, sample_words, "word", "lang").toPandas().sort_values(["word", "lang"])
     languages = sorted(words["lang"].unique())
     target = words["lang"].map({v: k for k, v in enumerate(languages)}).to_numpy(int)
     return train([w.encode() for w in words["word"]], target, words["n"].to_numpy(float), languages)

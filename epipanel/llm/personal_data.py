@@ -8,7 +8,7 @@ held-out rows; per kind the lowest threshold of at least ``PRECISION`` there sel
 
 There are no labels: base spans of the corpus, rewritten in other formats, are the positives, and
 candidates that provably fail (checksum, range, number of digits) with dates, versions and amounts from
-a fixed-seed generator the negatives. Corpus candidates for training are at most ``SAMPLE_ROWS``.
+a fixed-seed generator the negatives. Corpus candidates for training are about ``SAMPLE_ROWS`` at most.
 
 Cases: null or empty text has no spans; equal texts have equal spans; without any candidate in the
 corpus the model is fitted on generated rows alone; other columns are ignored or, in ``redact``, kept.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import sha256_hex, texts, with_texts
+from epipanel.llm.common import hash_sample, sha256_hex, stored, texts, with_texts
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 8_000
@@ -300,10 +300,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
             )
 
     found = texts(docs).select("text").mapInArrow(propose, "kind string, lead string, own string, tail string, label int")
-    rows = (
-        found.groupBy("kind", "lead", "own", "tail").agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("own", "lead"), "kind", "lead", "own", "tail").limit(sample_rows).toPandas()
-    )
+    found = stored(found.groupBy("kind", "lead", "own", "tail").agg(F.max("label").alias("label")))
+    rows = hash_sample(found, sample_rows, "kind", "lead", "own", "tail").toPandas().sort_values(["kind", "lead", "own", "tail"])
     rng = np.random.default_rng(7)
     good, good_text, bad, bad_text = generated(rng)
     x = [described(k, t, a, b) for (k, a, b), t in zip(good + bad, good_text + bad_text, strict=True)]

@@ -1,7 +1,7 @@
 """Quality rules: a decision list learned by sequential covering and run as ordered Spark conditions.
 
 Statistics of every whole text are computed in one Arrow pass. On a bounded sample of labelled rows
-(``SAMPLE_ROWS``, the smallest hashes of doc_id) sequential covering grows a conjunction of thresholds
+(about ``SAMPLE_ROWS``, the smallest hashes of doc_id) sequential covering grows a conjunction of thresholds
 by FOIL gain on two thirds of the rows, prunes it on the other third, removes what it covers and goes
 on. The list becomes one ``CASE WHEN`` column, so applying it is a projection.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import batches, stored, texts
+from epipanel.llm.common import batches, hash_sample, stored, texts
 
 SAMPLE_ROWS = 20_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -197,11 +197,9 @@ def rule_column(rules: list[list[Test]]) -> Column:
 def fit(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[list[Test]]:
     """The decision list learned from labelled statistics; ``sample_rows`` bounds what reaches the driver."""
     marked = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("label_quality"))
-    rows = (
-        features(stats).join(marked, "doc_id").where(~base_failed())
-        .select(*FEATURES, "label_quality", F.xxhash64("doc_id").alias("place"))
-        .orderBy("place", *FEATURES).limit(sample_rows).toPandas()
-    )
+    known = features(stats).join(marked, "doc_id").where(~base_failed()).select("doc_id", *FEATURES, "label_quality")
+    rows = hash_sample(known, sample_rows, "doc_id").toPandas().sort_values(["doc_id", *FEATURES], ignore_index=True)
+    rows = rows.iloc[np.random.default_rng(1).permutation(len(rows))]
     bad = (rows["label_quality"] == 0).to_numpy()
     if not len(rows) or bad.all() or not bad.any():
         return []

@@ -6,7 +6,7 @@ what each sign may stand for. A Viterbi search picks the reading that is likelie
 signs have one reading only and are not searched.
 
 A logistic model scores the restored words: whole words and word beginnings. It is fitted on a bounded
-sample of labelled rows (``SAMPLE_ROWS``, the smallest hashes of doc_id) with at most ``FEATURES``
+sample of labelled rows (about ``SAMPLE_ROWS``, the smallest hashes of doc_id) with at most ``FEATURES``
 features; the character counts cover every text and are bounded by the alphabet (28 signs, 4 places).
 
 Cases: null or empty text gets the score of a text without features; a document with several labels
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import bucket_of, texts
+from epipanel.llm.common import bucket_of, hash_sample, texts
 
 SAMPLE_ROWS = 12_000
 FEATURES = 512
@@ -296,11 +296,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_
     counts[grams["gram"].to_numpy(int)] = grams["n"].to_numpy()
     model = Model(log_model(counts), -30.0)
     marked = labels.where(F.col("toxic").isNotNull() & (learn if learn is not None else F.lit(True)))
-    chosen = (
-        marked.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    )
-    sample = texts(docs).join(F.broadcast(chosen), "doc_id")  # at most ``sample_rows`` rows of two numbers
+    chosen = hash_sample(marked.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label")), sample_rows, "doc_id")
+    sample = texts(docs).join(F.broadcast(chosen), "doc_id")  # about ``sample_rows`` rows of two numbers
     total = sample.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
     if not total["n"] or not total["t"] or total["t"] == total["n"]:
         model.bias = 30.0 if total["n"] and total["t"] == total["n"] else -30.0
