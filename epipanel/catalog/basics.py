@@ -61,12 +61,12 @@ def q_s8(spark, sf):
 
 @query(
     "s9_results_frame",
-    with_ctes("preds52") + "select ra, epi_sunday, cases, prediction from preds52 where epi_sunday >= date '2000-03-05'",
+    with_ctes("preds52") + "select ra, epi_sunday, cases, prediction from preds52",
 )
 def q_s9(spark, sf):
     stored = b.naive_predictions(spark, sf, 52).withColumn("epi_sunday", F.col("epi_sunday").cast("string"))
     back = stored.withColumn("epi_sunday", parse_day("epi_sunday"))
-    return back.filter(F.col("epi_sunday") >= F.lit("2000-03-05").cast("date")).select("ra", "epi_sunday", "cases", "prediction")
+    return back.select("ra", "epi_sunday", "cases", "prediction")
 
 
 NORM = r"regexp_replace(upper(replace(strip_accents({0}), 'ß', 'ss')), '^\s+|\s+$', '', 'g')"
@@ -391,11 +391,10 @@ def q_j3_static(spark, sf):
 @query(
     "j4_climate_inner_panel",
     with_ctes("grid", "basepop", "climlag") + f"""select * from (select g.ra, g.epi_sunday, g.cases, lag(g.cases, 4) over (partition by g.ra order by g.epi_sunday) as cases_lag_4,
-      {s6('k.temp_mean_lag_3', 'temp_mean_lag_3')} from grid g join basepop p on p.ra = g.ra join (select * from climlag where year(epi_sunday) < 2001) k on k.epi_sunday = g.epi_sunday)""",
+      {s6('k.temp_mean_lag_3', 'temp_mean_lag_3')} from grid g join basepop p on p.ra = g.ra join climlag k on k.epi_sunday = g.epi_sunday)""",
 )
 def q_j4_inner(spark, sf):
-    early = b.climate(spark, sf).filter(F.year("epi_sunday") < 2001)
-    full = panel.build_panel(b.case_counts(spark, sf), b.base_population(spark, sf), early, by_year=False, climate_join="inner")
+    full = panel.build_panel(b.case_counts(spark, sf), b.base_population(spark, sf), b.climate(spark, sf), by_year=False, climate_join="inner")
     return rounded(full.select("ra", "epi_sunday", "cases", "cases_lag_4", "temp_mean_lag_3"), "temp_mean_lag_3")
 
 

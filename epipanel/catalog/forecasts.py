@@ -44,7 +44,8 @@ def q_d21(spark, sf):
 
 @query(
     "j7_forecast_actuals",
-    with_ctes("snaive") + "select s.unique_id, s.ds, s.seasonal_naive, n.y from snaive s join nodes n on n.unique_id = s.unique_id and n.ds = s.ds",
+    with_ctes("snaive").replace("nodes as (", "nodes as materialized (").replace("grid as (", "grid as materialized (")
+    + "select s.unique_id, s.ds, s.seasonal_naive, n.y from snaive s join nodes n on n.unique_id = s.unique_id and n.ds = s.ds",
 )
 def q_j7(spark, sf):
     train, test = _split(spark, sf)

@@ -7,10 +7,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from epipanel.catalog.forecasts import _split
-from epipanel.catalog.registry import query, r6, s6, with_ctes
+from epipanel.catalog.registry import define, query, r6, s6, with_ctes
 from epipanel.operators import experiments, learners, recursion
 from epipanel.plans import bindings as b
-from epipanel.plans.features import feature_set
+from epipanel.plans.features import FeatureSet, feature_set
 from epipanel.session import reliable_checkpoint
 
 RF = {"n_estimators": 10, "max_depth": 5}
@@ -68,6 +68,39 @@ def q_m5(spark, sf):
     return learners.fit_and_predict(_panel(spark, sf), feature_set("lag-only"), "RF", RF, YEAR).predictions
 
 
+ONE_LAG = FeatureSet("one-lag", "cases", ("cases_lag_1",))
+define("onelag", "select ra, epi_sunday, cases, ln(1 + cases) as y, cases_lag_1 as x from lagged where cases_lag_1 is not null and populacao is not null", "lagged")
+BACK = "greatest(exp(a + b * x) - 1, 0.0::double)"
+
+
+@query(
+    "m5_least_squares",
+    with_ctes("onelag", w="select regr_intercept(y, x) as a, regr_slope(y, x) as b from onelag where epi_sunday < date '2000-01-01'")
+    + f"select ra, epi_sunday, cases, {s6(BACK, 'prediction')} from onelag, w where year(epi_sunday) = 2000",
+)
+def q_m5_lin(spark, sf):
+    """The same fit and prediction with a model whose result SQL has too."""
+    out = learners.fit_and_predict(_panel(spark, sf), ONE_LAG, "LIN", None, YEAR).predictions
+    return out.select("ra", "epi_sunday", "cases", r6("prediction").alias("prediction"))
+
+
+@query(
+    "m7_cv_least_squares",
+    with_ctes(
+        "onelag",
+        d="select epi_sunday, row_number() over (order by epi_sunday) - 1 as i, count(*) over () as n from (select distinct epi_sunday from lagged where epi_sunday < date '2000-01-01')",
+        f="select fold, i, epi_sunday, n - (6 - fold) * (n // 6) as start, n // 6 as size from d cross join (select unnest(range(1, 6)) as fold)",
+        w="select fold, regr_intercept(y, x) as a, regr_slope(y, x) as b from f join onelag using (epi_sunday) where i < start - 4 group by fold",
+        e=f"select fold, sqrt(avg(pow(cases - {BACK}, 2))) as rmse from f join onelag using (epi_sunday) join w using (fold) where i >= start and i < start + size group by fold",
+    )
+    + f"select 'LIN' as modelo, {s6('avg(rmse)', 'cv_rmse')} from e",
+)
+def q_m7_lin(spark, sf):
+    train = _panel(spark, sf).filter(F.year("epi_sunday") < YEAR)
+    score = experiments.cv_score(train, ONE_LAG, "LIN")
+    return spark.createDataFrame([("LIN", score)], "modelo string, cv_rmse double").withColumn("cv_rmse", r6("cv_rmse"))
+
+
 @query("m6_rate_to_cases")
 def q_m6(spark, sf):
     features = feature_set("lag+clima+RA+incid-target")

@@ -102,6 +102,14 @@ def q_e10_regions(spark, sf):
     return rounded(metrics.region_metrics(b.naive_predictions(spark, sf, 52)), "r2_ra", "mae_ra", "rmse_ra")
 
 
+@query(
+    "e10_region_bands",
+    with_ctes("band52") + f"select ra, {s6(R2, 'r2_ra')}, {s6(MAE, 'mae_ra')}, {s6(RMSE, 'rmse_ra')}, {s6(COVER, 'coverage_ra')}, {s6(WIS, 'wis_ra')} from band52 group by ra",
+)
+def q_e10_region_bands(spark, sf):
+    return rounded(metrics.region_metrics(_banded(spark, sf)), "r2_ra", "mae_ra", "rmse_ra", "coverage_ra", "wis_ra")
+
+
 @query(
     "e11_metrics_per_model",
     with_ctes("preds52", "preds1", p="select 'lag52' as modelo, * from preds52 union all select 'lag1', * from preds1",

@@ -41,6 +41,22 @@ def q_t2(spark, sf):
     )
 
 
+@query(
+    "t3_session_window_complete",
+    """with g as (select *, case when ts - lag(ts) over w < interval 30 minutes then 0 else 1 end as fresh from events window w as (partition by user_id order by ts)),
+       s as (select *, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as sid from g),
+       t as (select user_id, min(ts) as a, max(ts) + interval 30 minutes as z, count(*) as n from s group by user_id, sid)
+       select user_id, strftime(a, '%Y-%m-%d %H:%M:%S') as session_start, strftime(z, '%Y-%m-%d %H:%M:%S') as session_end, n from t""",
+)
+def q_t3_complete(spark, sf):
+    """Every session, those still open too."""
+    table = runner.complete_table(counts.sessions(_events(spark, sf), "user_id"))
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    return table.select(
+        "user_id", F.date_format("session_start", stamp).alias("session_start"), F.date_format("session_end", stamp).alias("session_end"), "n"
+    )
+
+
 @query(
     "t3_session_window",
     """with g as (select *, case when ts - lag(ts) over w < interval 30 minutes then 0 else 1 end as fresh from events window w as (partition by user_id order by ts)),

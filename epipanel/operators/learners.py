@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +23,17 @@ RAW, LABEL, VECTOR, REGION = "_raw", "_label", "_features", "_region_vec"
 DEFAULTS = {
     "RF": {"n_estimators": 150, "max_depth": 15, "max_features": "all"},
     "XGB": {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 4},
+    "LIN": {},
 }
 NAMES = {
     "RF": {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "max_features": "featureSubsetStrategy", "subsample": "subsamplingRate"},
     "XGB": {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy"},
+    "LIN": {"ridge": "regParam"},
 }
 
 
 def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
-    """'RF' is a random forest, 'XGB' gradient-boosted trees."""
+    """'RF' is a random forest, 'XGB' gradient-boosted trees, 'LIN' least squares."""
     if name not in DEFAULTS:
         raise ValueError(f"unknown model {name!r}; have {list(DEFAULTS)}")
     merged = {**DEFAULTS[name], **(params or {})}
@@ -46,6 +48,8 @@ def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
         if NAMES[name][key] == "featureSubsetStrategy":
             value = str(value)
         spark_params[NAMES[name][key]] = value
+    if name == "LIN":
+        return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, solver="normal", standardization=False, **spark_params)
     build = RandomForestRegressor if name == "RF" else GBTRegressor
     return build(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, seed=SEED, **spark_params)
 

@@ -96,8 +96,11 @@ def point_metrics(totals: DataFrame, *dims: str, peak: float = 0.75) -> DataFram
     return agg.withColumn("hit_rate", ratio(F.size(both), F.size(real))).drop("_pairs")
 
 
-def region_metrics(df: DataFrame, *dims: str) -> DataFrame:
-    return df.groupBy(*dims, "ra").agg(r2().alias("r2_ra"), mae().alias("mae_ra"), rmse().alias("rmse_ra"))
+def region_metrics(df: DataFrame, *dims: str, alpha: float = 0.10) -> DataFrame:
+    """Point metrics per region; coverage and interval score too where there are bands."""
+    bands = {"lower_ci", "upper_ci"} <= set(df.columns)
+    more = [coverage().alias("coverage_ra"), interval_score(alpha).alias("wis_ra")] if bands else []
+    return df.groupBy(*dims, "ra").agg(r2().alias("r2_ra"), mae().alias("mae_ra"), rmse().alias("rmse_ra"), *more)
 
 
 def consolidated(df: DataFrame, *dims: str, peak: float = 0.75, alpha: float = 0.10) -> DataFrame:
