@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epipanel.functions.scalars import ratio
@@ -56,29 +56,36 @@ def quantile_score(df: DataFrame, y: str, bands: dict[float, str], weights: dict
 
 
 def autocorrelation(df: DataFrame, keys: list[str], order: str, col: str, max_lag: int) -> DataFrame:
-    """(keys, lag, acf): shifted copies of the centred series in one window pass."""
+    """(keys, n, lag, acf) for lag 0..max_lag."""
     return cross_correlation(df, keys, order, col, col, max_lag).withColumnRenamed("ccf", "acf")
 
 
 def cross_correlation(df: DataFrame, keys: list[str], order: str, lead: str, col: str, max_lag: int) -> DataFrame:
     """Correlation of ``col[t]`` with ``lead[t - lag]`` for lag 0..max_lag, scaled
-    by the full-length deviations as a correlogram is."""
-    whole = Window.partitionBy(*keys)
-    centred = df.withColumns(
-        {"_x": F.col(lead) - F.avg(lead).over(whole), "_y": F.col(col) - F.avg(col).over(whole)}
-    )
-    w = ordered(keys, order)
-    products = centred.withColumns({f"_p{k}": F.col("_y") * F.lag("_x", k).over(w) for k in range(max_lag + 1)})
-    sums = products.groupBy(*keys).agg(
-        F.sum(F.col("_x") * F.col("_x")).alias("_xx"),
-        F.sum(F.col("_y") * F.col("_y")).alias("_yy"),
-        F.count("*").alias("n"),
-        *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(max_lag + 1)],
+    by the full-length deviations as a correlogram is.
+
+    A series becomes one row with two arrays, no longer than the calendar; each
+    lag is a fold over their overlap, so one aggregate does for all lags.
+    """
+    points = F.sort_array(F.collect_list(F.struct(order, F.col(lead).cast("double").alias("x"), F.col(col).cast("double").alias("y"))))
+    series = df.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.avg(lead).alias("_mx"), F.avg(col).alias("_my"), points.alias("_s")
+    ).select(
+        *keys, "n", F.transform("_s", lambda p: p["x"] - F.col("_mx")).alias("_x"), F.transform("_s", lambda p: p["y"] - F.col("_my")).alias("_y")
     )
-    lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_p{k}").alias("_p")) for k in range(max_lag + 1)])
-    scale = F.sqrt(F.col("_xx") * F.col("_yy"))
-    return sums.select(*keys, "n", scale.alias("_scale"), F.inline(lags)).select(
-        *keys, "n", "lag", F.try_divide("_p", "_scale").alias("ccf")
+
+    def dot(a: Column, b: Column) -> Column:
+        products = F.zip_with(a, b, lambda u, v: F.coalesce(u * v, F.lit(0.0)))
+        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+
+    def overlap(k: Column) -> Column:
+        size = F.greatest(F.size("_y") - k, F.lit(0))
+        return dot(F.slice("_y", k + 1, size), F.slice("_x", F.lit(1), size))
+
+    scale = F.sqrt(dot(F.col("_x"), F.col("_x")) * dot(F.col("_y"), F.col("_y")))
+    lags = F.transform(F.sequence(F.lit(0), F.lit(max_lag)), lambda k: F.struct(k.alias("lag"), overlap(k).alias("_p"), (k < F.size("_y")).alias("_any")))
+    return series.select(*keys, "n", scale.alias("_scale"), F.inline(lags)).select(
+        *keys, "n", "lag", F.when(F.col("_any"), F.try_divide("_p", "_scale")).alias("ccf")
     )
 
 
