@@ -35,10 +35,12 @@ HOT, HOT_BLOCK = 20_000, 8
 TASK_BYTES = 1_500_000
 PLACE_BITS = 28
 U = np.uint64
+ALONE, REPEATED, SPAN = 0, 1, 2
 _RNG = np.random.default_rng(11)
 BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
 BASE = 0x9E3779B97F4A7C15
 BASE_BACK = pow(BASE, -1, 1 << 64)
+_RUN = U(0x5851F42D4C957F2D)
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -57,9 +59,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def contexts(documents: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Of all contexts: document, anchor hash, context hash, first string's place, number of strings, anchor's place in it."""
+    """Of all contexts: document, anchor hash, context hash, first string's place, number of strings, anchor's place in it, state.
+
+    Contexts that one document repeats, as texts with a period do at every step, cover each other: what
+    they cover is one ``SPAN`` row for each stretch, and one of them stays, as ``REPEATED``.
+    """
     sizes = np.array([len(d) for d in documents], np.int64)
-    none = tuple(np.zeros(0, np.int64) for _ in range(6))
+    none = tuple(np.zeros(0, np.int64) for _ in range(7))
     data = np.frombuffer(b"".join(documents), np.uint8)
     span = LENGTH - WIDTH + 1  # positions of an anchor within a string
     if len(data) < LENGTH:
@@ -94,8 +100,27 @@ def contexts(documents: list[bytes]) -> tuple[np.ndarray, ...]:
     lo, owner, anchor = string[first], owner[first], anchor[first]
     sums = np.concatenate([np.zeros(1, U), np.cumsum(x * powers(BASE, len(x)), dtype=U)])
     back = powers(BASE_BACK, len(x))
-    whole = mixed((sums[lo + count - 1 + LENGTH] - sums[lo]) * back[lo] + count.astype(U))
-    return owner, h[anchor].view(np.int64), whole.view(np.int64), lo - starts[owner], count, anchor - lo
+    whole = mixed((sums[lo + count - 1 + LENGTH] - sums[lo]) * back[lo] + count.astype(U)).view(np.int64)
+    key, place = h[anchor].view(np.int64), lo - starts[owner]
+    order = np.lexsort((whole, key, owner))
+    same = (owner[order][1:] == owner[order][:-1]) & (key[order][1:] == key[order][:-1]) & (whole[order][1:] == whole[order][:-1])
+    again, twice = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    again[order[1:][same]] = True
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    state = np.where(twice, REPEATED, ALONE)
+    at = np.flatnonzero(twice)
+    stop = place[at] + count[at] - 1 + LENGTH
+    new = np.concatenate([[True], (owner[at][1:] != owner[at][:-1]) | (place[at][1:] > stop[:-1])])[: len(at)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    begin = place[at[first]]
+    strings = stop[last] - begin - LENGTH + 1
+    own_key = mixed(_RUN + h[anchor[at[first]]] * U(31) + np.arange(len(first), dtype=U)).view(np.int64)
+    keep = ~again
+    rows = (owner[keep], key[keep], whole[keep], place[keep], count[keep], (anchor - lo)[keep], state[keep])
+    spans_ = (owner[at[first]], own_key, own_key, begin, strings, np.zeros(len(first), np.int64), np.full(len(first), SPAN))
+    return tuple(np.concatenate(pair) for pair in zip(rows, spans_, strict=True))
 
 
 def doc_key() -> Column:
@@ -106,7 +131,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", doc_key().alias("doc_key"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-CONTEXT = "anchor long, whole long, doc_id long, doc_key long, lo int, strings int, at int"
+CONTEXT = "anchor long, whole long, doc_id long, doc_key long, lo int, strings int, at int, state int"
 
 
 def anchored(docs: DataFrame) -> DataFrame:
@@ -114,14 +139,14 @@ def anchored(docs: DataFrame) -> DataFrame:
         for part in parts:
             for start in range(0, part.num_rows, 256):
                 cut = part.slice(start, 256)
-                owner, anchor, whole, lo, strings, at = contexts([t.encode("utf-8", "surrogatepass") for t in cut.column("text").to_pylist()])
+                owner, anchor, whole, lo, strings, at, state = contexts([t.encode("utf-8", "surrogatepass") for t in cut.column("text").to_pylist()])
                 take = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor), pa.array(whole), cut.column("doc_id").take(take), cut.column("doc_key").take(take),
-                        *(pa.array(v.astype(np.int32)) for v in (lo, strings, at)),
+                        *(pa.array(v.astype(np.int32)) for v in (lo, strings, at, state)),
                     ],
-                    names=["anchor", "whole", "doc_id", "doc_key", "lo", "strings", "at"],
+                    names=["anchor", "whole", "doc_id", "doc_key", "lo", "strings", "at", "state"],
                 )
 
     return keyed(docs).mapInArrow(run, CONTEXT)
@@ -133,18 +158,19 @@ COVERED, OPEN, WITNESS = 0, 1, 2
 
 def met(contexts_: DataFrame) -> DataFrame:
     """Contexts whose anchor occurs elsewhere: covered whole, open, or a witness that open ones are compared with."""
-    names = ["anchor", "whole", "doc_id", "doc_key", "lo", "strings", "at"]
+    names = ["anchor", "whole", "doc_id", "doc_key", "lo", "strings", "at", "state"]
 
     def judge(rows: pa.RecordBatch | pa.Table, before: tuple | None, last: bool) -> tuple[pa.Table, int]:
-        a, w = (rows.column(c).to_numpy() for c in ("anchor", "whole"))
+        a, w, state = (rows.column(c).to_numpy() for c in ("anchor", "whole", "state"))
         n = len(a)
         same_a = np.concatenate([[before is not None and before[0] == a[0]], a[1:] == a[:-1], [False]])
         same_w = same_a & np.concatenate([[before is not None and before[1] == w[0]], w[1:] == w[:-1], [False]])
         done = n if last else n - 1
         prev_a, next_a, prev, next_ = same_a[:-1], same_a[1:], same_w[:-1], same_w[1:]
-        covered = prev | next_
+        covered = prev | next_ | (state != ALONE)
         kinds = (
-            (COVERED, covered), (OPEN, ~covered & (prev_a | next_a)), (WITNESS, covered & ((prev_a & ~prev) | (next_a & ~next_))),
+            (COVERED, prev | next_ | (state == SPAN)), (OPEN, ~covered & (prev_a | next_a)),
+            (WITNESS, covered & (state != SPAN) & ((prev_a & ~prev) | (next_a & ~next_))),
         )
         found = []
         for kind, which in kinds:
