@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries that a worker remembers before it starts anew: bounds its memory.
-MEMO = 1_000_000
+MEMO = 600_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: Contraction endings and character classes of the public tokenizer file's split pattern.
 FINE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
