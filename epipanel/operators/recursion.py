@@ -1,21 +1,27 @@
 """Closed multi-step forecasts: lags come from the model's own predictions.
 
 Each series is one row that carries its recent values and its future inputs as
-arrays. A step is a narrow projection plus the model's transform, so all steps
-run without a shuffle; lineage is cut every few steps.
+arrays. With trees, one narrow job steps a whole batch of series at once on the
+flattened model; other models advance by a projection and their transform a
+step. Neither shuffles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from epipanel.functions.scalars import per_100k, ratio
+from epipanel.operators import forests
 from epipanel.operators.learners import LABEL, RAW, REGION, VECTOR, make_regressor, to_cases
 from epipanel.operators.series import add_lags
 from epipanel.operators.splits import last_weeks, year_split
@@ -71,6 +77,71 @@ def unroll(
     return state
 
 
+Arrays = dict[str, np.ndarray]
+
+
+def unroll_trees(
+    state: DataFrame,
+    key: str,
+    steps: int,
+    names: list[str],
+    outside: list[str],
+    own: Callable[[np.ndarray, Arrays], Arrays],
+    forest: forests.Forest,
+    value: Callable[[np.ndarray, Arrays], np.ndarray],
+    fixed: str | None = None,
+) -> DataFrame:
+    """As ``unroll`` for a tree model, in one job: key, fut and ``preds``.
+
+    ``names`` are the model's inputs in order; ``own`` derives some from the
+    history (series x places) and the step's ``outside`` fields of ``fut``, the
+    others are those fields. Missing values are NaN.
+    """
+    sent = state.sparkSession.sparkContext.broadcast(forest)
+    kept = [key, "hist", "fut", *([fixed] if fixed else [])]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            n = part.num_rows
+            if not n:
+                continue
+            past = part.column("hist").to_pylist()
+            hist = np.full((n, max(map(len, past))), np.nan)
+            for row, values in zip(hist, past, strict=True):
+                if values:
+                    row[-len(values) :] = [np.nan if v is None else v for v in values]
+            future = part.column("fut")
+            sizes = pc.list_value_length(future).to_numpy(zero_copy_only=False).astype(int)
+            there = np.arange(steps)[None, :] < sizes[:, None]
+            inside = np.arange(sizes.max(initial=0))[None, :] < sizes[:, None]
+            fields = {}
+            flat = future.flatten()
+            for name in outside:
+                padded = np.full((n, max(steps, inside.shape[1])), np.nan)
+                padded[:, : inside.shape[1]][inside] = flat.field(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
+                fields[name] = padded
+            still = np.array(part.column(fixed).to_pylist(), float) if fixed else np.zeros((n, 0))
+            preds = np.full((n, steps), np.nan)
+            for k in range(steps):
+                row = {name: values[:, k] for name, values in fields.items()}
+                derived = own(hist, row)
+                x = np.column_stack([derived.get(c, row.get(c)) for c in names])
+                ready = there[:, k] & ~np.isnan(x).any(axis=1)
+                guess = np.full(n, np.nan)
+                if ready.any():
+                    raw = sent.value.predict(np.hstack([x, still])[ready])
+                    guess[ready] = value(raw, {name: v[ready] for name, v in row.items()})
+                hist[ready] = np.column_stack([hist[ready, 1:], guess[ready]])
+                preds[:, k] = guess
+            values = pa.array(preds.ravel(), mask=np.isnan(preds.ravel()))
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps + 1, steps), pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([part.column(key), future, listed], names=[key, "fut", "preds"])
+
+    kinds = {f.name: f.dataType for f in state.schema}
+    schema = StructType([StructField(key, kinds[key]), StructField("fut", kinds["fut"]), StructField("preds", ArrayType(DoubleType()))])
+    return state.select(*kept).mapInArrow(run, schema)
+
+
 def recursive_forecast(panel: DataFrame, fitted: PipelineModel, features: FeatureSet, test_year: int) -> DataFrame:
     """Predictions of the test year where case lags, deltas and growth are all
     recomputed from earlier predictions; climate and season stay as given."""
@@ -102,7 +173,15 @@ def recursive_forecast(panel: DataFrame, fitted: PipelineModel, features: Featur
     def value(raw: Column, row: Column) -> Column:
         return to_cases(raw, features, row["populacao"])
 
-    done = unroll(reliable_checkpoint(state), "ra", steps, inputs, fitted.stages[-1], value, fixed)
+    regressor = fitted.stages[-1]
+    if forests.can_flatten(regressor):
+        rate, names = features.is_rate, features.numeric_columns()
+        done = unroll_trees(
+            state, "ra", steps, names, ["populacao", *[c for c in outside if c != "populacao"]], case_inputs,
+            forests.flatten(panel.sparkSession, regressor), lambda raw, row: cases_from(raw, row["populacao"] if rate else None), fixed,
+        )
+    else:
+        done = unroll(reliable_checkpoint(state), "ra", steps, inputs, regressor, value, fixed)
     paired = F.arrays_zip(F.slice("fut", F.lit(1), F.size("preds")), F.col("preds"))
     rows = done.select("ra", F.explode(paired).alias("_z"))
     fut, pred = rows.schema["_z"].dataType.names
@@ -113,6 +192,33 @@ def recursive_forecast(panel: DataFrame, fitted: PipelineModel, features: Featur
     ).filter("prediction is not null")
 
 
+def past_value(hist: np.ndarray, n: int) -> np.ndarray:
+    return hist[:, -n] if n <= hist.shape[1] else np.full(len(hist), np.nan)
+
+
+def safe_ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.full(len(a), np.nan), where=b != 0)
+
+
+def case_inputs(hist: np.ndarray, row: Arrays) -> Arrays:
+    """Lags, rates, deltas and growth from a history of predictions."""
+    lag = {n: past_value(hist, n) for n in range(1, 5)}
+    own = {f"cases_lag_{n}": v for n, v in lag.items()}
+    own |= {f"incidencia_100k_lag_{n}": safe_ratio(v, row["populacao"]) * 100000.0 for n, v in lag.items()}
+    return own | {
+        "cases_delta_1": lag[1] - lag[2],
+        "cases_delta_2": lag[2] - lag[3],
+        "cases_growth_rate": safe_ratio(lag[1] + 1.0, lag[2] + 1.0),
+    }
+
+
+def cases_from(raw: np.ndarray, population: np.ndarray | None) -> np.ndarray:
+    """Model output back to non-negative cases; NaN where it is not finite."""
+    value = np.maximum(np.expm1(raw), 0.0)
+    value[~np.isfinite(raw)] = np.nan
+    return value if population is None else value * population / 100000.0
+
+
 SERIES_LAGS = (1, 4, 8, 13, 26, 52)
 
 
@@ -136,7 +242,14 @@ def global_model(train: DataFrame, horizon: int, params: dict | None = None, lag
         own = {f"y_lag_{n}": F.try_element_at(hist, F.lit(-n)) for n in lags}
         return {**own, "week": row["week"], "month": row["month"]}
 
-    done = unroll(reliable_checkpoint(state), "unique_id", horizon, inputs, fitted.stages[-1], lambda raw, _row: raw)
+    regressor = fitted.stages[-1]
+    if forests.can_flatten(regressor):
+        done = unroll_trees(
+            state, "unique_id", horizon, names, ["week", "month"], lambda hist, _row: {f"y_lag_{n}": past_value(hist, n) for n in lags},
+            forests.flatten(train.sparkSession, regressor), lambda raw, _row: raw,
+        )
+    else:
+        done = unroll(reliable_checkpoint(state), "unique_id", horizon, inputs, regressor, lambda raw, _row: raw)
     ahead = done.select("unique_id", "fut", F.posexplode("preds").alias("_i", "prediction"))
     return fitted, ahead.select(
         "unique_id", F.get("fut", F.col("_i"))["ds"].alias("ds"), (F.col("_i") + 1).alias("h"), "prediction"

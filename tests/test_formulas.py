@@ -6,12 +6,13 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from epipanel.functions import text
 from epipanel.functions.calendar import iso_week, parse_day, week_start
-from epipanel.operators import conformal, hierarchy, learners, metrics, panel, ranks, regions, series, splits, targets
-from epipanel.plans.features import feature_set
+from epipanel.operators import conformal, forests, hierarchy, learners, metrics, panel, ranks, recursion, regions, series, splits, targets
+from epipanel.plans.features import FeatureSet, feature_set
 from epipanel.session import require_columns
 
 
@@ -293,6 +294,36 @@ def test_null_score_never_wins(spark):
     assert series.best_row(rows, ["modelo"], F.coalesce("cv_rmse", F.lit(float("inf")))).first().params == "b"
 
 
+@pytest.mark.parametrize("model", ["RF", "XGB"])
+def test_flattened_trees_predict_alike(spark, model):
+    rng = np.random.default_rng(2)
+    rows = [(f"R{k % 4}", float(a), float(b), float(abs(a * 3 + (k % 4) * b)), 10) for k, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "ra string, a double, b double, cases double, populacao int").withColumn("epi_sunday", F.lit("2024-01-07").cast("date"))
+    features = FeatureSet("two", "cases", ("a", "b"), region=True)
+    fitted = learners.fit(df, features, model, {"n_estimators": 4, "max_depth": 4})
+    scored = fitted.transform(df).select(vector_to_array(learners.VECTOR).alias("v"), learners.RAW).toPandas()
+    forest = forests.flatten(spark, fitted.stages[-1])
+    assert np.allclose(forest.predict(np.vstack(scored.v)), scored[learners.RAW], atol=1e-12)
+
+
+def test_recursion_in_one_job_equals_steps(spark, monkeypatch):
+    weeks = [dt.date(2023, 9, 3) + dt.timedelta(7 * k) for k in range(22)]
+    rows = [(r, w, float((3 * k + len(r) * k * k) % 11), 1000) for r in ("A", "BB", "CCC") for k, w in enumerate(weeks)]
+    df = spark.createDataFrame(rows, "ra string, epi_sunday date, cases double, populacao long").withColumn("incidencia_100k", F.col("cases") * 100)
+    whole = series.add_trend(series.add_lags(df, ["ra"], "epi_sunday", ["cases", "incidencia_100k"], range(1, 5)))
+    features = FeatureSet("lags", "cases", ("cases_lag_1", "cases_lag_2", "cases_growth_rate"), region=True)
+    fitted = learners.fit(whole.filter("epi_sunday < date'2024-01-01'"), features, "RF", {"n_estimators": 3, "max_depth": 3})
+
+    def forecast():
+        return recursion.recursive_forecast(whole, fitted, features, 2024).orderBy("ra", "epi_sunday").toPandas()
+
+    fast = forecast()
+    monkeypatch.setattr(forests, "can_flatten", lambda model: False)
+    slow = forecast()
+    assert len(fast) == 12 and fast.drop(columns="prediction").equals(slow.drop(columns="prediction"))
+    assert np.allclose(fast.prediction, slow.prediction, atol=1e-9)
+
+
 def test_unseen_region_is_all_zero(spark):
     f = feature_set("lag+clima+RA")
     from pyspark.ml import Pipeline
