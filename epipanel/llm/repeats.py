@@ -372,7 +372,8 @@ def spans(docs: DataFrame) -> DataFrame:
     """__llm_id, __llm_key, __llm_spans (start and stop in bytes) of every document that holds repeated strings."""
     found = stored(met(anchored(docs)))
     asked = found.where(F.col("kind") != COVERED)
-    hot = asked.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("anchor").alias("hot_anchor"))
+    # written first: a few rows that Spark broadcasts by their size, or joins with splits where they are many
+    hot = stored(asked.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("anchor").alias("hot_anchor")))
     needs = asked.join(hot, F.col("anchor") == F.col("hot_anchor"), "left").withColumn("hot", F.col("hot_anchor").isNotNull())
     covered = found.where(F.col("kind") == COVERED).select(
         "doc_id", "doc_key", F.col("lo").alias("start"), (F.col("lo") + F.col("strings") - 1 + LENGTH).alias("stop")
