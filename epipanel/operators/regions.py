@@ -26,11 +26,11 @@ def alias_table(spark: SparkSession, aliases: dict[str, str]) -> DataFrame:
 def canonical_region(df: DataFrame, source: str, aliases: DataFrame, out: str = "ra") -> DataFrame:
     """Replace a raw region name by its key; 'not informed' and null give null.
 
-    ``aliases`` comes from ``alias_table``, a list written in the code, so its
-    size is fixed and it is broadcast.
+    ``aliases`` comes from ``alias_table``, a list written in the code; Spark
+    broadcasts it by its size.
     """
     keyed = df.withColumn("alias", norm_key(F.col(source)))
-    joined = keyed.join(F.broadcast(aliases), "alias", "left")
+    joined = keyed.join(aliases, "alias", "left")
     key = F.coalesce("canon", "alias")
     named = F.when(F.col("alias") != NOT_INFORMED, key)
     return joined.withColumn(out, named).drop("alias", "canon")

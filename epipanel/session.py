@@ -12,16 +12,17 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a
+    A folder set on the context counts too. Only a one-process local master may fall back to a temporary folder: on a cluster a
     machine-local path would be lost with its executor.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder")
-    folder = spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="epipanel-")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="epipanel-"))
+    return context.getCheckpointDir()
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:

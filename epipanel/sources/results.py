@@ -15,8 +15,10 @@ def new_run_id() -> str:
 
 
 def write_panel(panel: DataFrame, path: str) -> None:
-    """Panel partitioned by year; one writer per year keeps files large."""
-    panel.repartition("ano").write.mode("overwrite").partitionBy("ano").parquet(path)
+    """Panel partitioned by year; a year's rows are written by a few tasks, as many as partitions allow."""
+    slots = max(1, int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+    spread = F.pmod(F.xxhash64(*[c for c in panel.columns if c != "ano"]), F.lit(slots))
+    panel.repartition("ano", spread).write.mode("overwrite").partitionBy("ano").parquet(path)
 
 
 def write_result(df: DataFrame, root: str, name: str, run_id: str) -> None:
