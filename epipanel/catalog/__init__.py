@@ -16,6 +16,7 @@ def load() -> tuple[dict, dict]:
         hierarchies,
         learning,
         readers,
+        runs,
         scores,
         streams,
         texts,

@@ -5,7 +5,7 @@ from check_oracles import compare
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SLOW = {"m8_tuning", "m9_ablation", "m10_rolling_validation", "m22_logistic_auc", "m23_svc_auc"}
+SLOW = {"m8_tuning", "m9_ablation", "m10_rolling_validation", "run_panel", "m22_logistic_auc", "m23_svc_auc"}
 
 
 def test_every_oracle_has_a_query():
