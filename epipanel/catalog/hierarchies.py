@@ -140,6 +140,29 @@ def q_m17_wls(spark, sf):
     return rounded(out.select(*REC), "rec")
 
 
+@query(
+    "m17_wls_tree",
+    with_ctes(
+        "base", "variances",
+        n="select b.*, v.variance as v from base b join variances v using (unique_id)",
+        k3="select parent_id as unique_id, ds, sum(yhat) as kids, sum(v) as kv from n where level = 3 group by all",
+        u2="select n.*, kids, kv, coalesce((yhat * kv + kids * v) / nullif(v + kv, 0), kids) as m, coalesce(v * kv / nullif(v + kv, 0), 0) as s from n join k3 using (unique_id, ds) where level = 2",
+        k2="select parent_id as unique_id, ds, sum(m) as kids, sum(s) as kv from u2 group by all",
+        u1="select n.*, kids, kv, coalesce((yhat * kv + kids * v) / nullif(v + kv, 0), kids) as m from n join k2 using (unique_id, ds) where level = 1",
+        d2="select c.*, c.m + coalesce(c.s / nullif(p.kv, 0), 0) * (p.m - p.kids) as rec from u2 c join u1 p on p.unique_id = c.parent_id and p.ds = c.ds",
+        d3="select c.unique_id, c.ds, c.yhat + coalesce(c.v / nullif(p.kv, 0), 0) * (p.rec - p.kids) as rec from n c join d2 p on p.unique_id = c.parent_id and p.ds = c.ds where c.level = 3",
+    )
+    + f"select unique_id, ds, {s6('rec', 'rec')} from (select unique_id, ds, m as rec from u1 union all select unique_id, ds, rec from d2 union all select unique_id, ds, rec from d3)",
+)
+def q_m17_tree(spark, sf):
+    tree = reliable_checkpoint(nodes(spark, sf))
+    w = series.ordered(["unique_id"], "ds")
+    fitted = tree.withColumns({"yhat": F.lag("y", 52).over(w) * (1 + 0.01 * F.col("level")), "residual": F.col("y") - F.lag("y", 52).over(w)})
+    base = fitted.filter((F.year("ds") == b.TEST_YEAR) & F.col("yhat").isNotNull()).drop("residual")
+    past = fitted.filter((F.col("ds") < F.lit("2000-01-01").cast("date")) & F.col("residual").isNotNull())
+    return rounded(hierarchy.wls_tree(base, hierarchy.residual_variances(past), 3).select(*REC), "rec")
+
+
 @query("m17_min_trace")
 def q_m17_mint(spark, sf):
     base = reliable_checkpoint(base_forecasts(spark, sf))

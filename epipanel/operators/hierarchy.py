@@ -135,6 +135,36 @@ def wls_two_level(base: DataFrame, variances: DataFrame, value: str = "yhat", ou
     return keyed.join(move, ["_p", "ds"]).withColumn(out, F.col(value) + shift).drop("_p", "_unit", "variance")
 
 
+def wls_tree(base: DataFrame, variances: DataFrame, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
+    """Diagonal minimum-trace form of a tree of any depth, in two passes over its edges.
+
+    Upwards, a node weighs its own forecast against the sum of its children's
+    weighed forecasts by their variances. Downwards, what a parent moved by is
+    shared among its children by theirs. Exact, with no matrix and no bound on
+    the number of series.
+    """
+    nodes = reliable_checkpoint(base.join(variances, "unique_id"))
+    v, y = F.col("variance"), F.col(value)
+    ups = {leaf_level: nodes.filter(F.col("level") == leaf_level).withColumns({"_m": y, "_s": v})}
+    for level in range(leaf_level - 1, 0, -1):
+        sums = ups[level + 1].groupBy(F.col("parent_id").alias("unique_id"), "ds").agg(F.sum("_m").alias("_kids"), F.sum("_s").alias("_kids_var"))
+        total = v + F.col("_kids_var")
+        weighed = F.coalesce(F.try_divide(y * F.col("_kids_var") + F.col("_kids") * v, total), F.col("_kids"))
+        own = nodes.filter(F.col("level") == level).join(sums, ["unique_id", "ds"])
+        ups[level] = own.withColumns({"_m": weighed, "_s": F.coalesce(F.try_divide(v * F.col("_kids_var"), total), F.lit(0.0))})
+    done = ups[1].withColumn(out, F.col("_m"))
+    parts = [done.select(*base.columns, out)]
+    for level in range(2, leaf_level + 1):
+        moved = done.select(F.col("unique_id").alias("parent_id"), "ds", (F.col(out) - F.col("_kids")).alias("_move"), F.col("_kids_var").alias("_among"))
+        share = F.coalesce(F.try_divide(F.col("_s"), F.col("_among")), F.lit(0.0))
+        done = ups[level].join(moved, ["parent_id", "ds"]).withColumn(out, F.col("_m") + share * F.col("_move"))
+        parts.append(done.select(*base.columns, out))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def _gram(vectors: DataFrame, col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Correlation, means and deviations of a vector column, all taken in Spark."""
     stats = vectors.select(Summarizer.metrics("mean", "std", "count").summary(F.col(col)).alias("s")).first().s

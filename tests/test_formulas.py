@@ -351,7 +351,8 @@ def test_reconciliation_is_coherent(spark):
     above = {i: [x for x, _, _ in ids if i == x or i.startswith(x + "/")] for i, _, _ in ids}
     base = spark.createDataFrame([(i, l, p, above[i], d.date(), float(rng.random() * 10 + 1)) for i, l, p in ids for d in days[-4:]], "unique_id string, level int, parent_id string, ancestors array<string>, ds date, yhat double")
     resid = spark.createDataFrame([(i, d.date(), float(rng.normal())) for i, _, _ in ids for d in days], "unique_id string, ds date, residual double")
-    for rec in (hierarchy.bottom_up(base, 3), hierarchy.top_down(base, 3), hierarchy.middle_out(base, 2, 3), hierarchy.min_trace(base, resid, 3)):
+    spread = spark.createDataFrame([(i, float(k % 4) + 0.5) for k, (i, _, _) in enumerate(ids)], "unique_id string, variance double")
+    for rec in (hierarchy.wls_tree(base, spread, 3), hierarchy.bottom_up(base, 3), hierarchy.top_down(base, 3), hierarchy.middle_out(base, 2, 3), hierarchy.min_trace(base, resid, 3)):
         pdf = rec.select("unique_id", "parent_id", "ds", "rec").toPandas()
         kids = pdf.groupby(["parent_id", "ds"]).rec.sum()
         for (p, d), total in kids.items():
