@@ -497,3 +497,17 @@ def test_stages_take_effect(spark, make, sf):
     rows = corpus_pipeline.run(spark, sf).toPandas()
     check_places(rows, 4096)
     assert set(rows.doc_id) <= {d for d, _ in texts(sf)}
+
+
+@pytest.mark.parametrize("kind", ["odd", "none"])
+def test_pipeline_on_odd_tables(spark, tmp_path, labels, request, kind):
+    import corpus_pipeline
+
+    docs = request.getfixturevalue(kind).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.where("toxic = 0").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert rows.empty == (kind == "none")
+    if kind == "odd":
+        check_places(rows, 4096)
+        assert {0, 1, 2, 3, 4, 6, 7, 8, 9, 10} == set(rows.doc_id.dropna().astype(int)) - {2**62} and 5 not in set(rows.doc_id)
