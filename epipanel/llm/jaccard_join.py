@@ -234,12 +234,21 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def verified(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """set_id, peer, links: for each set and block pair, the documents linked to it there and its forest's root."""
     n = partitions(docs.sparkSession)
-    rows = texts(docs)
+    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def sets_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of the sets with copies: equal rows (same doc_id or none) are read once a task
         for part in parts:
             for start in range(0, part.num_rows, 512):
                 cut = part.slice(start, 512)
+                fresh = []
+                for k, (i, copies) in enumerate(zip(cut.column("set_id").to_pylist(), cut.column("copies").to_pylist(), strict=True)):
+                    if copies > 1 and i in seen:
+                        continue
+                    if copies > 1:
+                        seen.add(i)
+                    fresh.append(k)
+                cut = cut.take(pa.array(fresh, pa.int64()))
                 sets = shingle_sets(cut.column("text"))
                 right = [k for k, i in enumerate(cut.column("set_id").to_pylist()) if len(sets[k]) and set_hash(sets[k]) == i]
                 yield pa.RecordBatch.from_arrays(
@@ -247,8 +256,9 @@ def verified(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
                     names=["set_id", "root", "copies", "blocks", "shingles"],
                 )
 
-    named = groups.select(F.col("first_doc"), "set_id", "root", "copies", "blocks")
-    held = rows.join(named, F.col("doc_id").eqNullSafe(F.col("first_doc")))  # a doc_id's other texts fall out by their hash
+    named = groups.select("first_doc", "first_hash", "set_id", "root", "copies", "blocks")
+    # by text too: one doc_id, or none at all, may stand for many texts
+    held = rows.join(named, F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")))
     held = held.select("text", "set_id", "root", "copies", "blocks").mapInArrow(
         sets_of, "set_id long, root long, copies long, blocks int, shingles binary"
     )
@@ -305,18 +315,26 @@ def answer(rows: list[tuple], threshold: float) -> pa.RecordBatch:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, set_id, class_id and n_links (documents linked to it, copies too) of every document."""
+    """doc_id, text_hash, set_id, class_root, class_id and n_links (documents linked to it, copies too) of every document.
+
+    ``class_root`` (a set_id, null without shingles) tells classes apart; ``class_id`` names them by their smallest
+    doc_id, which two classes may share.
+    """
     signed = stored(signatures(docs))
     sets = (
         signed.where(F.col("set_id").isNotNull()).groupBy("set_id")
-        .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("m"),
+            F.count("*").alias("copies"), F.first("signature").alias("signature"),
+        )
+        .select("set_id", F.col("m.doc_id").alias("first_doc"), F.col("m.text_hash").alias("first_hash"), "copies", "signature")
     )
     sets = stored(sets)
     near = components(stars(sets))
     sizes = near.groupBy("root").agg(F.count("*").alias("n"))
     groups = (
         near.join(sizes, "root").select(F.col("node").alias("set_id"), "root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        .join(sets.select("set_id", "first_doc", "copies"), "set_id")
+        .join(sets.select("set_id", "first_doc", "first_hash", "copies"), "set_id")
     )
     found = stored(verified(docs, groups, threshold))
     joined = components(found.select(F.col("set_id").alias("a"), F.col("peer").alias("b")))
@@ -329,14 +347,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     names = known.groupBy("root").agg(F.min("first_doc").alias("class_id"))
     known = known.join(names, "root").select(
-        F.col("set_id").alias("known_set"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        F.col("set_id").alias("known_set"), F.col("root").alias("class_root"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     alone = F.col("set_id").isNull()
     return (
         signed.select("doc_id", "text_hash", "set_id")
         .join(known, F.col("set_id") == F.col("known_set"), "left")
         .select(
-            "doc_id", "text_hash", "set_id",
+            "doc_id", "text_hash", "set_id", "class_root",
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         )
@@ -348,7 +366,7 @@ def keep_representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     found = classes(docs, threshold).where(F.col("set_id").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id")))
     # equal doc_ids or none at all may still leave several rows of a class: one of them is taken
     alone = found.where(F.col("set_id").isNull()).select("doc_id", "text_hash").distinct()
-    first = found.where(F.col("set_id").isNotNull()).groupBy("class_id").agg(F.min(F.struct("text_hash", "doc_id")).alias("m")).select("m.doc_id", "m.text_hash")
+    first = found.where(F.col("set_id").isNotNull()).groupBy("class_root").agg(F.min(F.struct("text_hash", "doc_id")).alias("m")).select("m.doc_id", "m.text_hash")
     chosen = alone.withColumn("__llm_each", F.lit(True)).unionByName(first.withColumn("__llm_each", F.lit(False))).select(
         F.col("doc_id").alias("__llm_kept_doc"), F.col("text_hash").alias("__llm_kept_hash"), "__llm_each"
     )

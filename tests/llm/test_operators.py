@@ -381,6 +381,39 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 2**62] and ids.count(None) == 2
 
 
+def test_classes_that_share_a_doc_id_or_have_none_keep_their_texts(make):
+    near = near_copies(3, 21)
+    texts_ = [words(90, k) for k in range(30, 34)]
+    rows = [(1, texts_[0]), (1, texts_[1]), (None, texts_[2]), (None, texts_[3]), (None, near[0]), (None, near[1]), (None, near[1]), (7, near[2]), (None, " ")]
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.keep_representatives(make(rows)).collect())
+    assert kept == Counter([(1, texts_[0]), (1, texts_[1]), (None, texts_[2]), (None, texts_[3]), (7, near[2]), (None, " ")])
+    found = jaccard_join.classes(make(rows)).where("set_id is not null").toPandas()
+    assert found.class_root.nunique() == 5 and sorted(found.n_links) == [0, 0, 0, 0, 3, 3, 3, 3]
+
+
+def test_rows_meet_only_their_own_set(make, monkeypatch):
+    sizes = []
+    verified = jaccard_join.verified
+
+    def watched(docs, groups, threshold):
+        frame = type(docs)
+        join = frame.join
+
+        def counted(self, other, on=None, how=None):
+            out = join(self, other, on, how) if how else join(self, other, on)
+            sizes.append(out.count())
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(frame, "join", counted)
+            return verified(docs, groups, threshold)
+
+    monkeypatch.setattr(jaccard_join, "verified", watched)
+    rows = [(None, t) for k in range(12) for t in near_copies(2, 50 + k)]
+    jaccard_join.classes(make(rows))
+    assert sizes == [24]
+
+
 def test_posterior_bound():
     for n, least in jaccard_join.least_matches():
         assert 0 <= least < 0.8 * n
