@@ -12,8 +12,9 @@
    front of the occurrences differs, the maximal repeats, each with all its occurrences.
 4. Spans go back to their documents; matches never cross documents.
 
-An anchor met in more than ``HOT`` contexts is split by the place of its strings around it: equal strings
-have it at equal places. Nothing is dropped. Bytes are compared by 64-bit hashes in step 2 only.
+An anchor met in more than ``HOT`` contexts is not held in one task: each string of those contexts goes by
+the hash of its own ``LENGTH`` bytes, sorted, in a stream that holds one row, and is covered if it stands
+elsewhere. Nothing is dropped. Bytes are compared by 64-bit hashes in step 2 and for these strings.
 
 Cases: null text is empty; texts shorter than ``LENGTH`` bytes keep all; equal rows repeat each other;
 an empty table gives no rows; other columns are ignored or, in ``without_repeats``, kept.
@@ -25,13 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import partitions, stored
 
 LENGTH, WIDTH = 200, 64
-HOT, HOT_BLOCK = 20_000, 8
+HOT = 20_000
+ROWS = 20_000
 TASK_BYTES = 1_500_000
 PLACE_BITS = 28
 U = np.uint64
@@ -284,8 +288,20 @@ def maximal_repeats(texts_: list[bytes], length: int = LENGTH) -> Iterator[tuple
                 stack.append((here, first))
 
 
+def stand_elsewhere(rows: pa.Table, before: int | None, last: bool) -> tuple[pa.Table, int]:
+    """Spans of the open strings whose hash the row in front or behind has too, and the number of rows judged."""
+    group, kind = rows.column("group").to_numpy(), rows.column("kind").to_numpy()
+    done = len(group) if last else len(group) - 1
+    same = np.concatenate([[before is not None and before == group[0]], group[1:] == group[:-1], [False]])
+    at = pa.array(np.flatnonzero(((same[:-1] | same[1:]) & (kind == OPEN))[:done]))
+    found = rows.select(["doc_id", "doc_key", "lo"]).take(at).combine_chunks()
+    lo = found.column("lo")
+    found = found.append_column("stop", pc.add(lo, pa.scalar(LENGTH, pa.int32()))).rename_columns(["doc_id", "doc_key", "start", "stop"])
+    return found, done
+
+
 def resolved(needs: DataFrame) -> DataFrame:
-    """doc_id, doc_key, start, stop: what maximal repeats cover of the open contexts."""
+    """doc_id, doc_key, start, stop: what repeats of the open contexts, and of the strings of hot ones, cover."""
     n = partitions(needs.sparkSession)
 
     def answer(rows: list[tuple]) -> pa.RecordBatch:
@@ -310,7 +326,18 @@ def resolved(needs: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
+        held, before = None, None  # the last string of a hot context, judged with the next one, and the hash in front of it
         for part in parts:
+            single = pc.is_null(part.column("bytes"))
+            strings = pa.Table.from_batches([part.filter(single).select(["group", "doc_id", "doc_key", "lo", "kind"])])
+            if strings.num_rows:
+                strings = (pa.concat_tables([held, strings.cast(held.schema)]) if held is not None else strings).combine_chunks()
+                found, done = stand_elsewhere(strings, before, last=False)
+                yield from found.to_batches()
+                if done:
+                    before = strings.column("group")[done - 1].as_py()
+                held = strings.slice(done).combine_chunks()
+            part = part.filter(pc.invert(single))
             columns = [part.column(c).to_pylist() for c in ("group", "doc_id", "doc_key", "lo", "kind", "bytes")]
             for row in zip(*columns, strict=True):
                 if rows and size > TASK_BYTES and row[0] != rows[-1][0]:
@@ -320,6 +347,8 @@ def resolved(needs: DataFrame) -> DataFrame:
                 size += len(row[5])
         if rows:
             yield answer(rows)
+        if held is not None:
+            yield from stand_elsewhere(held, before, last=True)[0].to_batches()
 
     return needs.repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, "doc_id long, doc_key long, start int, stop int")
 
@@ -335,17 +364,24 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def with_bytes(docs: DataFrame, needs: DataFrame) -> DataFrame:
-    """group, doc_id, doc_key, lo, kind and bytes of every context asked for; hot anchors by place of the string."""
+    """group, doc_id, doc_key, lo, kind and bytes of every context asked for; of hot ones each string, by its hash, without bytes."""
     own = needs.groupBy(F.col("doc_id").alias("need_id"), F.col("doc_key").alias("need_key")).agg(
-        F.collect_set(F.struct("anchor", "lo", "strings", "at", "kind", "hot")).alias("asked")
+        F.collect_set(F.struct("anchor", "lo", "strings", "kind", "hot")).alias("asked")
     )
     rows = keyed(docs).join(own, (F.col("doc_key") == F.col("need_key")) & F.col("doc_id").eqNullSafe(F.col("need_id"))).select("doc_id", "doc_key", "text", "asked")
 
+    names = ["group", "doc_id", "doc_key", "lo", "kind", "bytes"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        values = list(zip(*out, strict=True)) or [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
+
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for start in range(0, part.num_rows, 128):
                 piece = part.slice(start, 128)
-                out = []
+                out: list[tuple] = []
                 columns = [piece.column(c).to_pylist() for c in ("doc_id", "doc_key", "text", "asked")]
                 for doc, key, text, asked in zip(*columns, strict=True):
                     raw = text.encode("utf-8", "surrogatepass")
@@ -353,17 +389,12 @@ def with_bytes(docs: DataFrame, needs: DataFrame) -> DataFrame:
                         lo, hi = c["lo"], c["lo"] + c["strings"]
                         if not c["hot"]:
                             out.append((c["anchor"], doc, key, lo, c["kind"], raw[lo : hi - 1 + LENGTH]))
-                            continue
-                        place = lo + c["at"]  # the anchor's; strings at equal distance in front of it go together
-                        for block in range((place - hi + 1) // HOT_BLOCK, (place - lo) // HOT_BLOCK + 1):
-                            a, b = max(lo, place - block * HOT_BLOCK - HOT_BLOCK + 1), min(hi - 1, place - block * HOT_BLOCK)
-                            group = (c["anchor"] ^ (block + 1) * 0x1234567_89ABCDF) & 0x7FFFFFFFFFFFFFFF
-                            out.append((group, doc, key, a, c["kind"], raw[a : b + LENGTH]))
-                values = list(zip(*out, strict=True)) or [()] * 6
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=["group", "doc_id", "doc_key", "lo", "kind", "bytes"]
-                )
+                        else:
+                            out += [(xxhash.xxh3_64_intdigest(raw[a : a + LENGTH]) - (1 << 63), doc, key, a, c["kind"], None) for a in range(lo, hi)]
+                        if len(out) >= ROWS:
+                            yield batch(out)
+                            out = []
+                yield batch(out)
 
     return rows.mapInArrow(cut, "group long, doc_id long, doc_key long, lo int, kind int, bytes binary")
 

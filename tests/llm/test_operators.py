@@ -502,6 +502,24 @@ def test_repeats_at_every_offset(make, monkeypatch, hot):
     assert removed(repeats.deduplicated(make(rows))) == plain_removal(rows)
 
 
+def test_groups_of_a_hot_anchor_are_bounded(make, monkeypatch):
+    held = []
+    resolved = repeats.resolved
+
+    def watched(needs):
+        sizes = needs.groupBy("group").agg(F.sum(F.length("bytes")).alias("n")).agg(F.max("n")).first()[0]
+        held.append(sizes or 0)
+        return resolved(needs)
+
+    monkeypatch.setattr(repeats, "HOT", 3)
+    monkeypatch.setattr(repeats, "resolved", watched)
+    footer = words(40, 3)[:150]
+    rows = [(k, words(60, 100 + k) + footer + words(60, 200 + k)) for k in range(40)]
+    rows += [(50, rows[0][1][250:]), (51, "x" + rows[1][1][200:]), (None, rows[2][1][-420:])]
+    assert removed(repeats.deduplicated(make(rows))) == plain_removal(rows)
+    assert max(held) <= 3 * (2 * repeats.LENGTH - repeats.WIDTH)
+
+
 def test_maximal_repeats_have_all_occurrences():
     a, b, c = words(60, 1).encode(), words(60, 2).encode(), words(60, 3).encode()
     found = {(n, tuple(sorted(p.tolist()))) for n, p in repeats.maximal_repeats([a + b, b + c, c + b[:210]], 200)}
