@@ -2,13 +2,14 @@
 
 The base patterns find emails, addresses of machines, card numbers and telephone numbers; each search
 is linear in the text. Candidate generators then propose every other stretch that could be one of these
-(numbers in any grouping, addresses with spelled-out signs), overlapping ones too. Gradient-boosted
+(each run of whole digit groups in a chain of numbers, addresses with spelled-out signs), overlapping ones
+too. A run has at most 19 digits, so their number is linear in the text. Gradient-boosted
 trees over format and context features give each a probability, calibrated by isotonic regression on
 held-out rows; per kind the lowest threshold of at least ``PRECISION`` there selects what is added.
 
 There are no labels: base spans of the corpus, rewritten in other formats, are the positives, and
-candidates that provably fail (checksum, range, number of digits) with dates, versions and amounts from
-a fixed-seed generator the negatives. Corpus candidates for training are about ``SAMPLE_ROWS`` at most.
+candidates that provably fail (checksum, range, number of digits) with dates, versions, amounts and parts
+of generated numbers from a fixed-seed generator the negatives. Corpus candidates for training are about ``SAMPLE_ROWS`` at most.
 
 Cases: null or empty text has no spans; equal texts have equal spans; without any candidate in the
 corpus the model is fitted on generated rows alone; other columns are ignored or, in ``redact``, kept.
@@ -39,7 +40,11 @@ NUMBER = re.compile(r"[+(]{0,2}[0-9]+(?:(?:[ ().\-/]|\[\.\]|\(dot\)){1,3}[0-9]+)
 MAIL = re.compile(
     r"([\w.%+-]{1,64})\s?(?:@|\(at\)|\[at\]|\{at\}| at )\s?([\w-]{1,63}(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )\s?[\w-]{1,63}){1,6})", re.IGNORECASE
 )
-MAIL_HINTS = ("@", "(at)", "[at]", "{at}", " dot ", "(AT)", "[AT]")
+#: The middle of ``MAIL``, so in every text that it matches.
+MAIL_CORE = re.compile(r"(?:@|\(at\)|\[at\]|\{at\}| at )\s?[\w-]{1,63}\s?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )\s?[\w-]", re.IGNORECASE)
+GROUP = re.compile("[0-9]+")
+INNER = re.compile(r"(?<=[0-9])[^0-9]+(?=[0-9])")
+GLUE_BEFORE, GLUE_AFTER = re.compile(r"[0-9]([ ().\-/]{1,3})$"), re.compile(r"([ ().\-/]{1,3})[0-9]")
 CUES = re.compile(r"mail|phone|tel|call|fax|mobile|card|visa|pay|host|server|address|ip\b", re.IGNORECASE)
 Span = tuple[str, int, int]
 
@@ -98,31 +103,43 @@ def listed(spans: list[Span]) -> str:
 def candidates(text: str, taken: list[Span]) -> list[Span]:
     """Everything that could be personal data and does not touch a base span."""
     found: list[Span] = []
-    if any(h in text for h in MAIL_HINTS):
+    if MAIL_CORE.search(text):
         for m in MAIL.finditer(text):
             found.append(("email", *m.span()))
     for m in NUMBER.finditer(text):
-        n = len(digits(m[0]))
-        if n < 7 and m[0].count(".") + m[0].count("dot") < 3:
-            continue
-        groups = re.findall("[0-9]+", m[0])
-        if len(groups) == 4 and n <= 12:
-            found.append(("ip", *m.span()))
-        if 7 <= n <= 15:
-            found.append(("phone", *m.span()))
-        if 12 <= n <= 19:
-            found.append(("card", *m.span()))
-        for part in re.finditer(r"\(?[0-9]{2,4}\)?(?:[ .\-]?[0-9]{2,4}){2,3}", m[0]) if n > 15 else ():
-            found.append(("phone", m.start() + part.start(), m.start() + part.end()))
-    free = [s for s in found if not any(s[1] < b and a < s[2] for _, a, b in taken)]
-    return in_order(list(dict.fromkeys(free)))
+        groups = [g.span() for g in GROUP.finditer(text, *m.span())]
+        for k, (a, _) in enumerate(groups):
+            while a > m.start() and text[a - 1] in "+(":
+                a -= 1
+            n = 0
+            for j in range(k, len(groups)):
+                b = groups[j][1]
+                n += b - groups[j][0]
+                if n > 19:
+                    break
+                if j == k + 3 and n <= 12 and (n >= 7 or text.count(".", a, b) + text.count("dot", a, b) >= 3):
+                    found.append(("ip", a, b))
+                if 7 <= n <= 15:
+                    found.append(("phone", a, b))
+                if n >= 12:
+                    found.append(("card", a, b))
+    if taken and found:
+        marks = marked(bytearray(len(text)), taken)
+        found = [s for s in found if marks.find(1, s[1], s[2]) < 0]
+    return in_order(list(dict.fromkeys(found)))
+
+
+def marked(marks: bytearray, spans: list[Span]) -> bytearray:
+    for _, a, b in spans:
+        marks[a:b] = b"\1" * (b - a)
+    return marks
 
 
 NAMES = (
     "email", "ip", "card", "phone", "n_digits", "n_groups", "longest_group", "shortest_group", "last_group", "plus",
     "brackets", "dots", "dashes", "spaces", "slashes", "luhn", "octets", "leading_zero", "local_pattern",
     "card_pattern", "year_first", "length", "label_length", "spelled_signs", "letters_near", "digits_near",
-    "cue_before", "starts_word", "ends_word",
+    "cue_before", "starts_word", "ends_word", "inner_signs", "glued_before", "glued_after",
 )
 
 
@@ -134,6 +151,9 @@ def described(kind: str, text: str, start: int, end: int) -> list[float]:
     number = "".join(groups)
     before, after = text[max(0, start - 24) : start], text[end : end + 12]
     tail = re.split(r"[.\s\])}]", own)[-1]
+    inner = set(INNER.findall(own)) if kind != "email" else set()
+    # numbers that stand next to it: none, behind another sign than those inside, behind the same
+    glued = [1 + (m[1] in inner) if m else 0 for m in (GLUE_BEFORE.search(before), GLUE_AFTER.match(after))]
     return [
         *(float(kind == k) for k in KINDS),
         len(number), len(groups), max(sizes), min(sizes), sizes[-1], own.startswith("+"), own.count("(") - own.count("(dot"),
@@ -144,6 +164,7 @@ def described(kind: str, text: str, start: int, end: int) -> list[float]:
         len(own), len(tail), len(re.findall(r"\(at\)|\[at\]|\{at\}| at |\(dot\)|\[dot\]|\{dot\}| dot |\[\.\]", own, re.IGNORECASE)),
         sum(map(str.isalpha, before[-8:] + after[:8])), sum(map(str.isdigit, before + after)), bool(CUES.search(before)),
         not before or before[-1].isspace() or before[-1] in "\"'(<:=", not after or after[0].isspace() or after[0] in ".,;:!?)\"'>",
+        len(inner), *glued,
     ]
 
 
@@ -162,7 +183,7 @@ def rewritten(kind: str, own: str, rng: np.random.Generator) -> str:
     """The same datum in another common format."""
     number = digits(own)
     if kind == "email":
-        at, dot = [("@", "."), (" (at) ", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)")][rng.integers(5)]
+        at, dot = [("@", "."), (" (at) ", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), ("{at}", "."), ("{at}", "{dot}")][rng.integers(7)]
         local, _, domain = own.partition("@")
         return f"{local}{at}{domain.replace('.', dot)}"
     if kind == "ip":
@@ -178,10 +199,10 @@ def generated(rng: np.random.Generator, rows: int = 600) -> tuple[list[Span], li
     """Positives and negatives that do not depend on the corpus."""
     good, good_text, bad, bad_text = [], [], [], []
 
-    def put(spans: list[Span], where: list[str], kind: str, own: str) -> None:
+    def put(spans: list[Span], where: list[str], kind: str, own: str, tails: tuple[str, ...] = ("", ".", " and so", ", then")) -> None:
         lead = ["word ", "at home ", "the line ", ""][rng.integers(4)]
         spans.append((kind, len(lead), len(lead) + len(own)))
-        where.append(lead + own + ["", ".", " and so", ", then"][rng.integers(4)])
+        where.append(lead + own + tails[rng.integers(len(tails))])
 
     for _ in range(rows):
         n = "".join(map(str, rng.integers(0, 10, 16)))
@@ -191,6 +212,10 @@ def generated(rng: np.random.Generator, rows: int = 600) -> tuple[list[Span], li
         put(good, good_text, "ip", rewritten("ip", ".".join(map(str, rng.integers(1, 256, 4))), rng))
         user = "".join(map(chr, rng.integers(97, 123, rng.integers(3, 9))))
         put(good, good_text, "email", rewritten("email", f"{user}@{user[:4]}.{['com', 'org', 'net', 'de'][rng.integers(4)]}", rng))
+        year, code = f"{rng.integers(1, 13):02d}/{rng.integers(20, 40)}", f"{rng.integers(100, 1000)}"
+        forms = ("-".join([stem[k : k + 4] for k in range(0, 16, 4)]), stem, rewritten("card", stem, rng))
+        put(good, good_text, "card", forms[rng.integers(3)], (f" {year}", f" {code}", f" {year} {code}", f", {year}"))
+        put(good, good_text, "phone", rewritten("phone", "2" + n[:9], rng), (f" {rng.integers(6, 12)}-{rng.integers(1, 8)}", f" {rng.integers(1, 60)}", f" / {code}"))
         day = f"{rng.integers(1950, 2040)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}"
         clock = f"{rng.integers(0, 24):02d}.{rng.integers(0, 60):02d}.{rng.integers(0, 60):02d}"
         wrong = n[:15] + str((int(stem[-1]) + 1 + rng.integers(9)) % 10)
@@ -199,6 +224,17 @@ def generated(rng: np.random.Generator, rows: int = 600) -> tuple[list[Span], li
         put(bad, bad_text, "card", rewritten("card", wrong, rng) if not luhn(wrong) else n[:12])
         put(bad, bad_text, "ip", f"{rng.integers(256, 999)}.{rng.integers(0, 999)}.{rng.integers(0, 99)}.{rng.integers(0, 99)}")
         put(bad, bad_text, "email", [f"{user} at {user[:3]} dot", f"met at {user}.", f"{user} @ {user[1:]}", f"was at {user} . so"][rng.integers(4)])
+        put(bad, bad_text, "email", [f"{user} at {user[:4]}. {user[1:]}", f"met at {user}. {user[:3]}", f"was at {n[:2]}.{n[2:4]}", f"{user} at {n[:1]}. {user}"][rng.integers(4)])
+        put(bad, bad_text, "phone", "  ".join([n[:2], n[2:6], n[6:9], n[9:12]][: rng.integers(3, 5)]), (f" {n[12:]}", f"  {n[13:]} {n[:3]}"))
+    # parts of a number, and more than it, are not it; neither is a part of what is none
+    whole = [(*s, t, True) for s, t in zip(good, good_text, strict=True)] + [(*s, t, False) for s, t in zip(bad, bad_text, strict=True)]
+    for kind, a, b, text, right in whole:
+        if kind == "email" or not right and kind == "ip":
+            continue
+        for rival in candidates(text, []):
+            if rival != (kind, a, b) and rival[0] != "email" and rival[1] < b and a < rival[2] and not provably_not(rival[0], text[rival[1] : rival[2]]):
+                bad.append(rival)
+                bad_text.append(text)
     return good, good_text, bad, bad_text
 
 
@@ -286,7 +322,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
         for part in parts:
             out: list[tuple] = []
             for text in part.column("text").to_pylist():
-                if not NUMBER_HINT.search(text) and not any(h in text for h in MAIL_HINTS):
+                if not NUMBER_HINT.search(text) and not MAIL_CORE.search(text):
                     continue
                 base = base_spans(text)
                 for kind, a, b in base:
@@ -301,7 +337,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
 
     found = texts(docs).select("text").mapInArrow(propose, "kind string, lead string, own string, tail string, label int")
     found = stored(found.groupBy("kind", "lead", "own", "tail").agg(F.max("label").alias("label")))
-    rows = hash_sample(found, sample_rows, "kind", "lead", "own", "tail").toPandas().sort_values(["kind", "lead", "own", "tail"])
+    key = ("kind", "lead", "own", "tail")  # half of each label: a chain has many more parts that fail than numbers
+    halves = [hash_sample(found.where(F.col("label") == label), sample_rows // 2, *key) for label in (0, 1)]
+    rows = halves[0].unionByName(halves[1]).toPandas().sort_values(["kind", "lead", "own", "tail"])
     rng = np.random.default_rng(7)
     good, good_text, bad, bad_text = generated(rng)
     x = [described(k, t, a, b) for (k, a, b), t in zip(good + bad, good_text + bad_text, strict=True)]
@@ -329,17 +367,19 @@ NUMBER_HINT = re.compile(r"[0-9]")
 
 def added_spans(text: str, base: list[Span], model: Trees) -> list[Span]:
     """Candidates whose calibrated probability reaches their kind's threshold; of overlapping ones the likeliest."""
-    if not NUMBER_HINT.search(text) and not any(h in text for h in MAIL_HINTS):
+    if not NUMBER_HINT.search(text) and not MAIL_CORE.search(text):
         return []
     proposed = [s for s in candidates(text, base) if not provably_not(s[0], text[s[1] : s[2]])]
     if not proposed:
         return []
     p = model.probability(np.array([described(k, text, a, b) for k, a, b in proposed], float))
     chosen: list[Span] = []
+    marks = bytearray(len(text))
     for k in np.argsort(-p, kind="stable").tolist():
         span = proposed[k]
-        if p[k] >= model.cuts[span[0]] and not any(span[1] < b and a < span[2] for _, a, b in chosen):
+        if p[k] >= model.cuts[span[0]] and marks.find(1, span[1], span[2]) < 0:
             chosen.append(span)
+            marked(marks, [span])
     return chosen
 
 

@@ -236,6 +236,35 @@ def test_added_spans_and_odd_rows(make, odd, none):
     assert personal_data.find(odd, model).count() == odd.count() and personal_data.find(none, model).count() == 0
 
 
+def test_parts_of_chains_and_all_signs_of_mails_are_proposed(none):
+    model = personal_data.fit(none)
+    for text, kind, own in (
+        ("card 4111 1111 1111 1111 12/27 ok", "card", "4111 1111 1111 1111"), ("card 4111-1111-1111-1111 123 ok", "card", "4111-1111-1111-1111"),
+        ("pay 4111111111111111 12/27", "card", "4111111111111111"), ("call 415-555-2671 9-5 daily", "phone", "415-555-2671"),
+        ("mail jane at host.org or", "email", ""), ("mail jane{AT}host.org", "email", "jane{AT}host.org"), ("mail jane AT host DOT org today", "email", "jane AT host DOT org"),
+    ):
+        base = personal_data.base_spans(text)
+        if own:
+            assert [(k, text[a:b]) for k, a, b in personal_data.added_spans(text, base, model)] == [(kind, own)], text
+        else:
+            assert any(s[0] == kind for s in personal_data.candidates(text, base)), text
+    for text in ("she arrived at home. Then", "1 2 3 4 5 6 7 8 9 10 11 12 13", "12 345 678 910 111 213 141 516"):
+        assert not personal_data.added_spans(text, personal_data.base_spans(text), model), text
+    assert len(personal_data.candidates("1 " * 20_000, [])) < 20 * 20_000
+
+
+def test_the_core_of_mails_is_in_every_mail():
+    rng = np.random.default_rng(6)
+    pieces = ["@", "(at)", "[AT]", "{At}", " at ", " AT ", ".", "(dot)", "[DOT]", "{dot}", " dot ", " Dot ", "ab", "c-d", "9", " ", "é"]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces, rng.integers(3, 9)))
+        if personal_data.MAIL.search(text):
+            found += 1
+            assert personal_data.MAIL_CORE.search(text), text
+    assert found > 400
+
+
 # fingerprints
 
 
