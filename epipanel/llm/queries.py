@@ -82,6 +82,20 @@ def op10_interval_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_winnowed_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import winnowing
+
+    judged = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -96,11 +110,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_bayes_jaccard,
             op9_bigru_language,
             op10_interval_tree_dedup,
+            op11_winnowed_benchmark,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from epipanel.llm import perspectives
+    from epipanel.llm import perspectives, winnowing
 
-    return {"op4_perspective_rotation": perspectives.SQL}
+    return {"op4_perspective_rotation": perspectives.SQL, "op11_winnowed_benchmark": winnowing.SQL}
