@@ -2,16 +2,17 @@
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A window is ``SPAN`` words in
 a row of an item; an item of fewer words, but not none, is one window. Every text is cut into its hashes of
-``GRAM`` words; of each span of window length the least hash is kept, and neighbouring windows that keep the
-same one make one run. Two texts that share a whole window keep the same hash for it, so joining the kept
-hashes of documents and items meets every shared window. The runs that meet are then extended: each of their
-windows is compared with the items' windows word by word. Shorter windows are handled the same way with a
-hash of their own number of words, for the few lengths under ``SPAN`` that items have.
-
+``GRAM`` words; of each span of window length the least hash, its print, is kept. Two texts that share a
+whole window keep the same print for it, so joining the prints of documents and items meets every shared
+window; a met window is then compared word by word. Shorter windows are handled the same way with a hash of
+their own number of words, for the few lengths under ``SPAN`` that items have.
+
+Texts are read once. A bitmap of the items' prints (``BITS_EACH`` bits a print, two probes, at most 2^22 bits)
+goes with the plan, and a document's windows leave its row only where it does not deny their print: few of them
+unless the items are more than the bitmap can tell apart, and then more rows meet the join, which decides.
 Documents are known by the MD5 of their text, so copies are judged once and doc_ids may repeat or be null.
-Texts are never exploded into words: hashes are arrays in the row, and of the runs only number, first and
-last window leave it. Hot hashes sit on the documents' side of plain joins, which Spark splits; the items'
-side has one row a hash, a window or a text.
+Hot windows sit on the documents' side of plain joins, which Spark splits; the items' side has one row a
+window or text.
 
 Cases: null or empty text has no words; a null item_id reads as an empty string; items of equal texts count
 each by its id, equal ids once; repeated documents give a row each; an empty table gives no rows or no hits;
@@ -26,120 +27,128 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epipanel.functions.arrays import bound
 from epipanel.llm.common import stored
 
 SPAN = 10
 GRAM = 5
+BITS_EACH = 128
+MOST_BITS = 22
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
-
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often it is referred to."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+CANDIDATES = "array<struct<length:int,print:bigint,start:int,window:string>>"
 
 
 def words_of(text: Column) -> Column:
-    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    spaced = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase + BETWEEN, string.ascii_lowercase + " " * len(BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
-def upto(count: Column) -> Column:
-    """0, 1, ... count - 1."""
-    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+def joined(values: Column, count: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """At each place ``combine`` over it and the ``count`` - 1 behind, by doubling; what runs over the end is no use."""
+    span = 1
+    while span < count:
+        by = min(span, count - span)
+        values = shifted(values, by, combine)
+        span += by
+    return values
 
 
-def window_prints(codes: Column, length: int) -> Column:
-    """The least hash of each window of ``length`` words, from the words' hashes."""
-    gram = min(GRAM, length)
-    per_window = length - gram + 1
-    grams = F.transform(
-        upto(F.size(codes) - (gram - 1)), lambda at: F.xxhash64(F.lit(length), *(F.get(codes, at + k) for k in range(gram)))
-    )
+def shifted(values: Column, by: int, combine: Callable[[Column, Column], Column]) -> Column:
+    return bound(values, lambda v: F.zip_with(v, F.slice(v, F.lit(1 + by), F.size(v)), combine))
 
-    def least(values: Column) -> Column:
-        if per_window == 1:
-            return values
-        return F.transform(
-            upto(F.size(values) - (per_window - 1)), lambda at: F.least(*(F.get(values, at + k) for k in range(per_window)))
-        )
-
-    return bound(grams, least)
-
-
-def runs(codes: Column, length: int) -> Column:
-    """(length, print, first, last): windows in a row that keep the same hash."""
-
-    def cut(prints: Column) -> Column:
-        turns = F.filter(upto(F.size(prints)), lambda at: (at == 0) | (F.get(prints, at) != F.get(prints, at - 1)))
-        return bound(
-            turns,
-            lambda first: F.transform(
-                first,
-                lambda at, k: F.struct(
-                    F.lit(length).alias("length"),
-                    F.get(prints, at).alias("print"),
-                    at.alias("first"),
-                    (F.coalesce(F.get(first, k + 1), F.size(prints)) - 1).alias("last"),
-                ),
-            ),
-        )
 
-    return bound(window_prints(codes, length), cut)
+def window_prints(codes: Column, length: int) -> Column:
+    """The print of each window of ``length`` words, from the words' hashes."""
+    gram = min(GRAM, length)
+    seeded = F.transform(codes, lambda c: F.xxhash64(F.lit(length), c)) if length < SPAN else codes
+    grams = joined(seeded, gram, lambda a, b: F.xxhash64(a, b))
+    least = joined(grams, length - gram + 1, lambda a, b: F.least(a, b))
+    return bound(least, lambda m: F.slice(m, F.lit(1), F.greatest(F.size(m) - (length - 1), F.lit(0))))
 
 
 def coded(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def window_texts(words: Column, length: Column, first: Column, last: Column) -> Column:
-    return F.transform(
-        F.sequence(first, last), lambda at: F.struct(at.alias("start"), F.array_join(F.slice(words, at + 1, length), " ").alias("window"))
-    )
+def window_text(words: Column, length: Column, start: Column) -> Column:
+    return F.array_join(F.slice(words, start + 1, length), " ")
 
 
 def item_windows(items: DataFrame, span: int) -> DataFrame:
-    """(class, length, window, print): each distinct text's windows with the hash they keep."""
+    """(class, length, window, print): each distinct text's windows with their prints."""
     classes = items.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
     cut = classes.select(F.md5("text").alias("class"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     cut = cut.withColumn("length", F.least(F.size("words"), F.lit(span)))
-    last = F.size("words") - F.col("length")
 
     def of_length(n: int) -> Column:
-        return F.when(F.col("length") == n, bound(coded(F.col("words")), lambda codes: window_prints(codes, n)))
+        return F.when(F.col("length") == n, window_prints(coded(F.col("words")), n))
 
-    by_length = F.coalesce(*map(of_length, range(1, span + 1)))
-    return (
-        cut.select("class", "length", window_texts(F.col("words"), F.col("length"), F.lit(0), last).alias("windows"), by_length.alias("prints"))
-        .select("class", "length", F.explode(F.arrays_zip("windows", "prints")).alias("w"))
-        .select("class", "length", F.col("w.windows.window").alias("window"), F.col("w.prints").alias("print"))
-    )
+    prints = F.coalesce(*map(of_length, range(1, span + 1)))
+    pairs = F.transform(prints, lambda m, at: F.struct(m.alias("print"), window_text(F.col("words"), F.col("length"), at).alias("window")))
+    return cut.select("class", "length", F.explode(pairs).alias("w")).select("class", "length", "w.window", "w.print")
 
 
-def hit_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(key, length, start, window): where the documents' texts hold an item's window, once for equal texts."""
-    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
-    keyed = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), words_of(F.col("text")).alias("words"))
-    found = bound(coded(F.col("words")), lambda c: F.concat(*(runs(c, n) for n in lengths))) if lengths else F.array().cast(
-        "array<struct<length:int,print:bigint,first:int,last:int>>"
-    )
-    prints = windows.select("length", "print").distinct()
-    met = (
-        keyed.where(F.size("words") >= (lengths[0] if lengths else 0))
-        .select("key", F.explode(found).alias("r")).select("key", "r.*")
-        .join(prints, ["length", "print"], "left_semi")
-        .groupBy("key").agg(F.collect_set(F.struct("length", "first", "last")).alias("met"))
+def places(print_: Column, bits: int) -> tuple[Column, Column]:
+    mask = F.lit((1 << bits) - 1)
+    return print_.bitwiseAND(mask), F.shiftrightunsigned(print_, 32).bitwiseAND(mask)
+
+
+def bitmap(prints: DataFrame) -> tuple[Column, int]:
+    """(array of longs as one literal, number of bits): at most 2^16 longs, whatever the items."""
+    bits = min(MOST_BITS, max(10, (prints.count() * BITS_EACH).bit_length()))
+    place = F.explode(F.array(*places(F.col("print"), bits)))
+    rows = (
+        prints.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("set")).collect()
     )
-    spread = F.flatten(
-        F.transform(
-            "met",
-            lambda r: F.transform(
-                window_texts(F.col("words"), r["length"], r["first"], r["last"]),
-                lambda w: F.struct(r["length"].alias("length"), w["start"].alias("start"), w["window"].alias("window")),
+    longs = ["0"] * (1 << (bits - 6))
+    for r in rows:
+        longs[r["at"]] = str(r["set"])
+    return F.split(F.lit(",".join(longs)), ",").cast("array<bigint>"), bits
+
+
+def candidates(words: Column, length: int, held: Column, bits: int) -> Column:
+    """(length, print, start, window) of the windows whose print the bitmap does not deny."""
+
+    def probed(print_: Column) -> Column:
+        def one(place: Column) -> Column:
+            bit = F.call_function("shiftright", F.get(held, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int"))
+            return bit.bitwiseAND(F.lit(1)) == 1
+
+        first, second = places(print_, bits)
+        return one(first) & one(second)
+
+    def written(prints: Column, some: Column) -> Column:
+        every = F.transform(prints, lambda m, at: F.struct(m.alias("print"), at.alias("start")))
+        return F.transform(
+            F.filter(every, lambda w: F.array_contains(some, w["print"])),
+            lambda w: F.struct(
+                F.lit(length).alias("length"), w["print"].alias("print"), w["start"].alias("start"),
+                window_text(words, F.lit(length), w["start"]).alias("window"),
             ),
-        )
-    )
-    near = keyed.join(stored(met), "key").select("key", F.explode(spread).alias("w")).select("key", "w.*")
-    return near.join(windows.select("length", "window").distinct(), ["length", "window"], "left_semi").distinct()
+        )
+
+    def met(prints: Column) -> Column:
+        some = F.filter(F.array_distinct(prints), probed)
+        return bound(some, lambda s: F.when(F.size(s) > 0, written(prints, s)).otherwise(F.array().cast(CANDIDATES)))
+
+    return bound(window_prints(coded(words), length), met)
+
+
+def read_once(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, key, n_words, candidates) of every document."""
+    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
+    none = F.array().cast(CANDIDATES)
+    if lengths:
+        held, bits = bitmap(windows.select("print").distinct())
+        found = F.concat(*(F.when(F.size("words") >= n, candidates(F.col("words"), n, held, bits)).otherwise(none) for n in lengths))
+    else:
+        found = none
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.md5(text).alias("key"), words_of(F.col("text")).alias("words"))
+    return rows.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), found.alias("candidates"))
 
 
 def covered(spans: Column) -> Column:
@@ -159,10 +168,13 @@ def covered(spans: Column) -> Column:
 def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
     """doc_id, n_words, hits (start and end of each hit window, in words), n_hit, items (ids as sorted strings)."""
     windows = stored(item_windows(items, span))
-    hits = stored(hit_windows(docs, windows))
-    places = hits.groupBy("key").agg(
-        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("hits")
-    )
+    rows = stored(read_once(docs, windows))
+    met = rows.where(F.size("candidates") > 0).select("key", F.explode("candidates").alias("c")).select("key", "c.*")
+    hits = stored(
+        met.join(windows.select("length", "print", "window").distinct(), ["length", "print", "window"], "left_semi")
+        .select("key", "length", "start", "window").distinct()
+    )
+    where = hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("hits"))
     ids = items.select(
         F.md5(F.coalesce("text", F.lit(""))).alias("class"), F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
     ).distinct()
@@ -173,11 +185,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFr
         .join(ids, "class").select("key", "item").distinct()
         .groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    judged = places.join(named, "key").select("key", "hits", covered(F.col("hits")).alias("n_hit"), "items")
-    rows = docs.select(
-        "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words")
-    )
-    return rows.join(judged, "key", "left").select(
+    judged = stored(where.join(named, "key").select("key", "hits", covered(F.col("hits")).alias("n_hit"), "items"))
+    return rows.select("doc_id", "key", "n_words").join(judged, "key", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("hits", F.array().cast("array<struct<start:int,end:int>>")).alias("hits"),
