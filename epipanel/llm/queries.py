@@ -96,6 +96,19 @@ def op11_winnowed_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import turn_repair
+
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.with_all(turns, turn_repair.digests(turn_repair.repair(turn_repair.damaged(turns))))
+
+
+def op13_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from epipanel.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -111,11 +124,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_bigru_language,
             op10_interval_tree_dedup,
             op11_winnowed_benchmark,
+            op12_checkpointed_repair,
+            op13_quotient_collocations,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from epipanel.llm import perspectives, winnowing
+    from epipanel.llm import collocations, perspectives, winnowing
 
-    return {"op4_perspective_rotation": perspectives.SQL, "op11_winnowed_benchmark": winnowing.SQL}
+    return {
+        "op4_perspective_rotation": perspectives.SQL,
+        "op11_winnowed_benchmark": winnowing.SQL,
+        "op13_quotient_collocations": collocations.SQL,
+    }
