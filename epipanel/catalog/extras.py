@@ -271,63 +271,133 @@ def _series(spark, sf):
     return b.grid(spark, sf).select(F.col("ra").alias("unique_id"), F.col("epi_sunday").alias("ds"), F.col("cases").alias("y"))
 
 
-def _recursive(names: str, *parts: str) -> str:
+def _log_series(spark, sf):
+    return _series(spark, sf).withColumn("y", F.log1p("y"))
+
+
+def _recursive(result: str, *parts: str, y: str = "ln(1 + cases)", x: str = "") -> str:
     """``with recursive`` over the dense grid: ``s`` holds numbered series."""
-    numbered = "s as (select ra, epi_sunday, cases as y, row_number() over (partition by ra order by epi_sunday) as i from grid)"
-    return with_ctes("grid").rstrip().replace("with ", "with recursive ", 1) + ",\n" + ",\n".join([numbered, *parts]) + names
+    source = "grid left join climate using (epi_sunday)" if x else "grid"
+    numbered = f"s as (select ra, epi_sunday, {y} as y{x and f', {x} as x'}, row_number() over (partition by ra order by epi_sunday) as i from {source})"
+    names = with_ctes("grid", "climate") if x else with_ctes("grid")
+    return names.rstrip().replace("with ", "with recursive ", 1) + ",\n" + ",\n".join([numbered, *parts]) + result
 
 
+#: Local level: prior 1, 1; observation variance 0.25, evolution variance 0.04.
 LEVEL = (
-    """o as (select ra, greatest(var_pop(d) / 2, 1e-6) as obs from (select ra, y - lag(y) over (partition by ra order by i) as d from s) where d is not null group by ra)""",
-    """f as (select s.ra, 0::bigint as i, y as m, obs as c from s join o using (ra) where s.i = 1 union all
-        select s.ra, s.i, f.m + (f.c / 0.9::double) / (f.c / 0.9::double + obs) * (s.y - f.m), (f.c / 0.9::double) * (1 - (f.c / 0.9::double) / (f.c / 0.9::double + obs))
-        from f join s on s.ra = f.ra and s.i = f.i + 1 join o on o.ra = s.ra)""",
-    """g as (select f.ra, f.i, f.m as sm from f join (select ra, max(i) as n from f group by ra) l on l.ra = f.ra and l.n = f.i union all
-        select f.ra, f.i, f.m + 0.9::double * (g.sm - f.m) from g join f on f.ra = g.ra and f.i = g.i - 1 where f.i >= 1)""",
+    """f as (select ra, 0::bigint as i, 0.0::double as f, 0.0::double as r, 0.0::double as q, 1.0::double as m, 1.0::double as c from s where i = 1 union all
+        select ra, i, a, r, q, a + gain * (y - a), r - pow(gain, 2) * q from (
+          select *, r + 0.25::double as q, r / (r + 0.25::double) as gain from (
+            select s.ra, s.i, s.y, f.m as a, f.c + 0.04::double as r from f join s on s.ra = f.ra and s.i = f.i + 1)))""",
+    """g as (select f.ra, f.i, f.m as sm, f.c as sv from f join (select ra, max(i) as n from f group by ra) l on l.ra = f.ra and l.n = f.i union all
+        select f.ra, f.i, f.m + f.c / n.r * (g.sm - n.f), f.c + pow(f.c / n.r, 2) * (g.sv - n.r)
+        from g join f n on n.ra = g.ra and n.i = g.i join f on f.ra = g.ra and f.i = g.i - 1 where f.i >= 1)""",
 )
+MOMENTS = {"forecast": "f.f", "forecast_var": "f.q", "level": "f.m", "level_var": "f.c", "smoothed": "g.sm", "smoothed_var": "g.sv"}
+
+
+def _out(columns: dict[str, str]) -> str:
+    return ", ".join(s6(sql, name) for name, sql in columns.items())
 
 
 @query(
     "d15_local_level",
-    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.m', 'level')}, {s6('f.c', 'level_var')}, {s6('g.sm', 'smoothed')} from s join f on f.ra = s.ra and f.i = s.i join g on g.ra = s.ra and g.i = s.i", *LEVEL),
+    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, {_out({'y': 's.y', **MOMENTS})} from s join f on f.ra = s.ra and f.i = s.i join g on g.ra = s.ra and g.i = s.i", *LEVEL),
 )
 def q_d15_level(spark, sf):
-    return rounded(filters.local_level(_series(spark, sf)), "level", "level_var", "smoothed")
+    return rounded(filters.local_level(_log_series(spark, sf), m0=1.0), "y", *MOMENTS)
+
+
+def _states_sql() -> str:
+    """Five states by the update equations, every matrix entry a column."""
+    w = "(2 * pi() / 52.0::double)"
+    g = [["1", "1", "", "", ""], ["", "1", "", "", ""], ["", "", f"cos({w})", f"sin({w})", ""], ["", "", f"(-sin({w}))", f"cos({w})", ""], ["", "", "", "", "1"]]
+    n, block, discount = range(5), (0, 0, 1, 1, 2), ("0.95::double", "0.995::double", "0.98::double")
+    prior = [" + ".join(f"{g[i][k]} * m{k}" for k in n if g[i][k]) + f" as a{i}" for i in n]
+    for i in n:
+        for j in n:
+            moved = " + ".join(f"{g[i][k]} * c{k}{m} * {g[j][m]}" for k in n for m in n if g[i][k] and g[j][m])
+            prior.append((f"({moved}) / {discount[block[i]]}" if block[i] == block[j] else moved) + f" as r{i}{j}")
+    onto = ", ".join(f"r{i}0 + r{i}2 + x * r{i}4 as o{i}" for i in n)
+    posterior = [f"a{i} + o{i} / qq * (y - ff)" for i in n] + [f"r{i}{j} - (o{i} / qq) * (o{j} / qq) * qq" for i in n for j in n]
+    zero = [f"0.0::double as m{i}" for i in n] + [f"{float(i == j)}::double as c{i}{j}" for i in n for j in n]
+    return f"""f as (select ra, 0::bigint as i, {', '.join(zero)}, 0.0::double as f, 0.0::double as q from s where i = 1 union all
+        select ra, i, {', '.join(posterior)}, ff, qq from (
+          select *, a0 + a2 + x * a4 as ff, o0 + o2 + x * o4 + 0.25::double as qq from (
+            select *, {onto} from (
+              select s.ra, s.i, s.y, s.x, {', '.join(prior)} from f join s on s.ra = f.ra and s.i = f.i + 1))))"""
+
+
+STATES = {"forecast": "f.f", "forecast_var": "f.q", "level": "f.m0", "slope": "f.m1", "season": "f.m2", "effect": "f.m4"}
 
 
-@query("d15_trend_season_climate")
+@query(
+    "d15_trend_season_climate",
+    _recursive(
+        f" select s.ra as unique_id, s.epi_sunday as ds, {_out({'y': 's.y', 'temp_mean': 's.x', **STATES})} from s join f on f.ra = s.ra and f.i = s.i",
+        _states_sql(),
+        x="coalesce(temp_mean, 0.0::double)",
+    ),
+)
 def q_d15_states(spark, sf):
     wet = b.climate(spark, sf).select(F.col("epi_sunday").alias("ds"), F.col("temp_mean"))
-    return filters.trend_season_climate(_series(spark, sf).join(wet, "ds", "left"), "temp_mean")
+    series_ = _log_series(spark, sf).join(wet, "ds", "left").withColumn("temp_mean", F.coalesce("temp_mean", F.lit(0.0)))
+    return rounded(filters.trend_season_climate(series_, "temp_mean"), "y", "temp_mean", *STATES)
+
+
+def _digamma_sql(x: str) -> str:
+    z = f"({x} + 12)"
+    return "(" + "".join(f"-1 / ({x} + {k}) " for k in range(12)) + f"+ ln({z}) - 1 / (2 * {z}) - 1 / (12 * pow({z}, 2)) + 1 / (120 * pow({z}, 4)) - 1 / (252 * pow({z}, 6)) + 1 / (240 * pow({z}, 8)))"
 
 
-POISSON = """f as (select ra, 0::bigint as i, 1.0::double as a, 1.0::double as b, 0.0::double as expected, 0.0::double as v from s where i = 1 union all
-    select s.ra, s.i, 0.9::double * f.a + s.y, 0.9::double * f.b + 1, f.a / f.b, 0.9::double * f.a / pow(0.9::double * f.b, 2) from f join s on s.ra = f.ra and s.i = f.i + 1)"""
+def _trigamma_sql(x: str) -> str:
+    z = f"({x} + 12)"
+    return "(" + "".join(f"1 / pow({x} + {k}, 2) + " for k in range(12)) + f"1 / {z} + 1 / (2 * pow({z}, 2)) + 1 / (6 * pow({z}, 3)) - 1 / (30 * pow({z}, 5)) + 1 / (42 * pow({z}, 7)) - 1 / (30 * pow({z}, 9)))"
+
+
+#: Log rate: prior -0.7, 0.5; discount 0.95.
+POISSON = f"""f as (select ra, 0::bigint as i, 0.0::double as e, -0.7::double as m, 0.5::double as c, 0.0::double as rate from s where i = 1 union all
+    select ra, i, mu, {_digamma_sql('shape')} - ln(beta + 1), {_trigamma_sql('shape')}, shape / (beta + 1) from (
+      select *, mu * beta + y as shape from (
+        select *, mu / (exp(2 * a + r) * (exp(r) - 1) + 1e-9::double) as beta from (
+          select *, exp(a + r / 2) as mu from (
+            select s.ra, s.i, s.y, f.m as a, f.c / 0.95::double as r from f join s on s.ra = f.ra and s.i = f.i + 1)))))"""
+RATES = {"expected": "f.e", "log_rate": "f.m", "log_rate_var": "f.c", "rate": "f.rate", "low": "least(exp(f.m - 1.96::double * sqrt(f.c)), 1e6)", "high": "least(exp(f.m + 1.96::double * sqrt(f.c)), 1e6)"}
 
 
 @query(
     "d15_poisson_filter",
-    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.expected', 'expected')}, {s6('f.v', 'rate_var')}, {s6('f.a / f.b', 'rate')} from s join f on f.ra = s.ra and f.i = s.i", POISSON),
+    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {_out(RATES)} from s join f on f.ra = s.ra and f.i = s.i", POISSON, y="1 + cases"),
 )
 def q_d15_poisson(spark, sf):
-    return rounded(filters.poisson_filter(_series(spark, sf)), "expected", "rate_var", "rate")
+    counts = _series(spark, sf).withColumn("y", F.col("y") + 1.0)  # empty weeks in a row would send the log rate to minus infinity
+    out = filters.poisson_filter(counts, m0=-0.7, c0=0.5, discount=0.95)
+    limits = {c: F.least(F.col(c), F.lit(1e6)) for c in ("low", "high")}  # beyond, only the leading digits mean anything
+    return rounded(out.withColumns(limits), *RATES)
+
+
+def density_sql(y: str, mean: str, var: str) -> str:
+    return f"(exp(-pow({y} - {mean}, 2) / (2 * {var})) / sqrt(2 * pi() * {var}))"
 
 
+#: Alarm threshold 0.05, variance doubled in the alternative, new start above 1.5.
 ALARM = (
-    "o as (select ra, greatest(var_pop(y), 1e-6) as obs from s group by ra)",
-    """f as (select s.ra, 0::bigint as i, y as lv, 1.0::double as vr, 1.0::double as run, 0.0::double as bf, false as alarm from s where i = 1 union all
-      select ra, i, lv + p / (p + obs) * (y - lv), p * (1 - p / (p + obs)), case when alarm then 1.0::double else run2 end, bf, alarm from (
-        select *, run2 < 0.1 as alarm, case when run2 < 0.1 then prior * 4 else prior end as p from (
-          select *, case when run < 1 then bf * run else bf end as run2 from (
-            select s.ra, s.i, s.y, f.lv, f.run, obs, f.vr / 0.9::double as prior,
-              exp(greatest(-50, least(50, 0.5::double * (pow((s.y - f.lv) / sqrt(f.vr / 0.9::double + obs) - 2, 2) - pow((s.y - f.lv) / sqrt(f.vr / 0.9::double + obs), 2))))) as bf
-            from f join s on s.ra = f.ra and s.i = f.i + 1 join o on o.ra = s.ra))))""",
+    f"h as (select s.ra, s.i, {density_sql('s.y', 'f.f', 'f.q')} / ({density_sql('s.y', 'f.f', '(2 * f.q)')} + 1e-12::double) as bf from s join f on f.ra = s.ra and f.i = s.i)",
+    """l as (select ra, 0::bigint as i, 1.0::double as bf, 1.0::double as l, false as alarm from s where i = 1 union all
+        select h.ra, h.i, h.bf, case when l.l * h.bf < 0.05 or l.l * h.bf > 1.5 then 1.0::double else l.l * h.bf end, l.l * h.bf < 0.05
+        from l join h on h.ra = l.ra and h.i = l.i + 1)""",
 )
+JUDGED = {"forecast": "f.f", "forecast_var": "f.q", "residual": "(s.y - f.f) / sqrt(f.q)", "factor": "l.bf", "cumulative": "l.l"}
 
 
 @query(
     "d15_alarm_monitor",
-    _recursive(f" select s.ra as unique_id, s.epi_sunday as ds, s.y, {s6('f.bf', 'bayes_factor')}, f.alarm from s join f on f.ra = s.ra and f.i = s.i", *ALARM),
+    _recursive(
+        f" select s.ra as unique_id, s.epi_sunday as ds, {_out({'y': 's.y', **JUDGED})}, l.alarm from s join f on f.ra = s.ra and f.i = s.i join l on l.ra = s.ra and l.i = s.i",
+        LEVEL[0],
+        *ALARM,
+    ),
 )
 def q_d15_alarm(spark, sf):
-    return rounded(filters.alarm_monitor(_series(spark, sf)), "bayes_factor")
+    forecasts = filters.local_level(_log_series(spark, sf), m0=1.0).select("unique_id", "ds", "y", "forecast", "forecast_var")
+    return rounded(filters.alarm_monitor(forecasts), "y", *JUDGED)

@@ -107,27 +107,27 @@ def q_t7(spark, sf):
     return runner.append_to_table(counts.once_only(twice)).select("event_id", "event_type", "value")
 
 
-MONITOR = """with recursive c as (select * from (select event_type as ra, cast(ts as date) as day, count(*)::double as y from events group by 1, 2)
+#: Local level of log counts (prior 0, 1; variances 0.25 and 0.04) and its alarm, window by window.
+MONITOR = """with recursive c as (select * from (select event_type as ra, cast(ts as date) as day, count(*)::double as n from events group by 1, 2)
       where day + interval 1 day <= (select max(ts) - interval 24 hours from events)),
-    s as (select *, row_number() over (partition by ra order by day) as i from c),
-    f as (select distinct ra, 0::bigint as i, 0.0::double as mean, 0.0::double as m2, 0.0::double as lv, 1.0::double as vr, 1.0::double as run, 0.0::double as expected, 0.0::double as bf, false as alarm from s
+    s as (select ra, day, n, ln(1 + n) as y, row_number() over (partition by ra order by day) as i from c),
+    f as (select ra, 0::bigint as i, 0.0::double as m, 1.0::double as c, 0.0::double as a, 0.0::double as q, 1.0::double as bf, 1.0::double as l, false as alarm from s where i = 1
       union all
-      select ra, i, mean, m2, l0 + p / (p + spread) * (y - l0), p * (1 - p / (p + spread)), case when alarm then 1.0::double else run2 end, l0, bf, alarm from (
-        select *, run2 < 0.1 as alarm, case when run2 < 0.1 then prior * 4 else prior end as p from (
-          select *, case when run < 1 then bf * run else bf end as run2 from (
-            select *, exp(greatest(-50, least(50, 0.5::double * (pow((y - l0) / sqrt(prior + spread) - 2, 2) - pow((y - l0) / sqrt(prior + spread), 2))))) as bf from (
-              select *, greatest(m2 / i, 1.0::double) as spread from (
-                select s.ra, s.i, s.y, f.mean + (s.y - f.mean) / s.i as mean, f.m2 + (s.y - f.mean) * (s.y - (f.mean + (s.y - f.mean) / s.i)) as m2,
-                  case when s.i = 1 then s.y else f.lv end as l0, f.run, f.vr / 0.9::double as prior from f join s on s.ra = f.ra and s.i = f.i + 1))))))
+      select ra, i, a + r / q * (y - a), r - pow(r / q, 2) * q, a, q, bf, case when l * bf < 0.05 or l * bf > 1.5 then 1.0::double else l * bf end, l * bf < 0.05 from (
+        select *, (exp(-pow(y - a, 2) / (2 * q)) / sqrt(2 * pi() * q)) / (exp(-pow(y - a, 2) / (4 * q)) / sqrt(4 * pi() * q) + 1e-12::double) as bf from (
+          select *, r + 0.25::double as q from (
+            select s.ra, s.i, s.y, f.m as a, f.c + 0.04::double as r, f.l from f join s on s.ra = f.ra and s.i = f.i + 1))))
     """
+JUDGED = {"forecast": "f.a", "forecast_var": "f.q", "residual": "(s.y - f.a) / sqrt(f.q)", "factor": "f.bf", "cumulative": "f.l"}
 
 
 @query(
     "t8_outbreak_monitor",
-    MONITOR + f"select s.ra as series, s.day, s.y, {s6('f.expected', 'expected')}, {s6('f.bf', 'bayes_factor')}, f.alarm from s join f on f.ra = s.ra and f.i = s.i",
+    MONITOR + f"select s.ra as series, s.day, s.n as y, {', '.join(s6(v, k) for k, v in JUDGED.items())}, f.alarm from s join f on f.ra = s.ra and f.i = s.i",
 )
 def q_t8(spark, sf):
     table, progress = runner.folders(spark)
     runner.append_to_table(monitor.window_counts(_events(spark, sf), "event_type"), table, progress)
-    alarms = runner.append_to_table(monitor.outbreak_monitor(monitor.count_stream(spark, table)))
-    return rounded(alarms.withColumn("day", F.to_date(counts.wall_clock("day"))), "expected", "bayes_factor")
+    with runner.stream_conf(spark, spark__sql__streaming__stateStore__providerClass=monitor.STORE):
+        alarms = runner.append_to_table(monitor.outbreak_monitor(monitor.count_stream(spark, table)))
+    return rounded(alarms.withColumn("day", F.to_date(counts.wall_clock("day"))), *JUDGED)
