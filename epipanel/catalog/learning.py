@@ -1,5 +1,8 @@
-"""Model and experiment queries on the panel. Tree counts are small except in the
-rolling validation; the operators' own defaults are the full-size ones."""
+"""Model and experiment queries on the panel.
+
+Those of two one-split trees have SQL that repeats the fit. The rolling validation and the boosted rate model are full size; where
+others have fewer or smaller trees than the operators' defaults, the README gives the time of the full size.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from epipanel.catalog.forecasts import _split
-from epipanel.catalog.registry import define, query, r6, s6, with_ctes
+from epipanel.catalog.registry import define, query, r6, rounded, s6, with_ctes
 from epipanel.operators import experiments, learners, recursion
 from epipanel.plans import bindings as b
 from epipanel.plans.features import FeatureSet, feature_set
@@ -101,10 +104,86 @@ def q_m7_lin(spark, sf):
     return spark.createDataFrame([("LIN", score)], "modelo string, cv_rmse double").withColumn("cv_rmse", r6("cv_rmse"))
 
 
+#: Two trees of one split: few enough to be repeated in SQL.
+STUMPS = {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.5}
+ONE_RATE = FeatureSet("one-rate", "incidencia_100k", ("cases_lag_1",))
+
+
+def _split_sql(rows: str, margin: str, trees: str, rate: str, name: str) -> dict[str, str]:
+    """The best cut of ``rows`` (grp, x, y) by second-order gain, penalty 1, and its two leaves."""
+    return {
+        f"{name}v": f"select grp, x, sum({margin} - y) as g, count(*)::double as h from {rows} join {trees} using (grp) group by all",
+        f"{name}k": f"select grp, x, sum(g) over w as lg, sum(h) over w as lh, sum(g) over (partition by grp) as tg, sum(h) over (partition by grp) as th from {name}v window w as (partition by grp order by x)",
+        f"{name}b": f"""select grp, x as c, -{rate} * lg / (lh + 1) as l, -{rate} * (tg - lg) / (th - lh + 1) as r,
+            lg * lg / (lh + 1) + pow(tg - lg, 2) / (th - lh + 1) - tg * tg / (th + 1) as gain from {name}k where th > lh
+            qualify row_number() over (partition by grp order by gain desc, x) = 1""",
+        name: f"select t.*, b.c as {name}c, b.l as {name}l, b.r as {name}r from {trees} t join {name}b b using (grp)",
+    }
+
+
+def stumps_sql(rows: str, rate: str = "0.5::double") -> dict[str, str]:
+    """``second`` has a row for each grp: the start value and the cuts and leaves of two rounds."""
+    return {
+        "start": f"select grp, avg(y) as s from {rows} group by grp",
+        **_split_sql(rows, "s", "start", rate, "first"),
+        **_split_sql(rows, "(s + case when x <= firstc then firstl else firstr end)", "first", rate, "second"),
+    }
+
+
+def raw_sql(x: str) -> str:
+    return f"(s + case when {x} <= firstc then firstl else firstr end + case when {x} <= secondc then secondl else secondr end)"
+
+
+def cases_sql(x: str) -> str:
+    return f"greatest(exp({raw_sql(x)}) - 1, 0.0::double)"
+
+
+define("onerate", "select ra, epi_sunday, cases, populacao, ln(1 + incidencia_100k) as y, cases_lag_1 as x from lagged where cases_lag_1 is not null and populacao is not null and incidencia_100k is not null", "lagged")
+
+
+@query(
+    "m5_stumps",
+    with_ctes("onelag", tr="select 1 as grp, * from onelag where epi_sunday < date '2000-01-01'", **stumps_sql("tr"))
+    + f"select ra, epi_sunday, cases, {s6(cases_sql('x'), 'prediction')} from onelag, second where year(epi_sunday) = 2000",
+)
+def q_m5_stumps(spark, sf):
+    """Two rounds of second-order boosting with one split each."""
+    out = learners.fit_and_predict(_panel(spark, sf), ONE_LAG, "XGB", STUMPS, YEAR).predictions
+    return out.select("ra", "epi_sunday", "cases", r6("prediction").alias("prediction"))
+
+
+@query(
+    "m6_rate_stumps",
+    with_ctes("onerate", tr="select 1 as grp, * from onerate where epi_sunday < date '2000-01-01'", **stumps_sql("tr"))
+    + f"select ra, epi_sunday, cases, {s6(cases_sql('x') + ' * populacao / 100000.0::double', 'prediction')} from onerate, second where year(epi_sunday) = 2000",
+)
+def q_m6_stumps(spark, sf):
+    out = learners.fit_and_predict(_panel(spark, sf), ONE_RATE, "XGB", STUMPS, YEAR).predictions
+    return out.select("ra", "epi_sunday", "cases", r6("prediction").alias("prediction"))
+
+
 @query("m6_rate_to_cases")
 def q_m6(spark, sf):
+    """At full size: 200 rounds of depth 4."""
     features = feature_set("lag+clima+RA+incid-target")
-    return learners.fit_and_predict(_panel(spark, sf), features, "XGB", BOOST, YEAR).predictions
+    return learners.fit_and_predict(_panel(spark, sf), features, "XGB", None, YEAR).predictions
+
+
+FOLDS = {
+    "d": "select epi_sunday, row_number() over (order by epi_sunday) - 1 as i, count(*) over () as n from (select distinct epi_sunday from lagged where epi_sunday < date '2000-01-01')",
+    "f": "select fold, i, epi_sunday, n - (6 - fold) * (n // 6) as start_, n // 6 as size from d cross join (select unnest(range(1, 6)) as fold)",
+    "tr": "select fold as grp, x, y from f join onelag using (epi_sunday) where i < start_ - 4",
+    "va": "select fold as grp, x, cases from f join onelag using (epi_sunday) where i >= start_ and i < start_ + size",
+}
+RMSE = f"select avg(e) as cv_rmse from (select grp, sqrt(avg(pow(cases - {cases_sql('x')}, 2))) as e from va join second using (grp) group by grp)"
+
+
+@query("m7_cv_stumps", with_ctes("onelag", **FOLDS, **stumps_sql("tr"), sc=RMSE) + f"select 'XGB' as modelo, {s6('cv_rmse', 'cv_rmse')} from sc")
+def q_m7_stumps(spark, sf):
+    """Five folds, grown in one batch."""
+    train = _panel(spark, sf).filter(F.year("epi_sunday") < YEAR)
+    score = experiments.cv_score(train, ONE_LAG, "XGB", STUMPS)
+    return spark.createDataFrame([("XGB", score)], "modelo string, cv_rmse double").withColumn("cv_rmse", r6("cv_rmse"))
 
 
 @query("m7_cv_score")
@@ -115,9 +194,21 @@ def q_m7(spark, sf):
     return spark.createDataFrame(rows, "modelo string, cv_rmse double")
 
 
+def _tuned_sql(rate: str, name: str) -> str:
+    inner = with_ctes("onelag", **FOLDS, **stumps_sql("tr", f"{rate}::double"), sc=RMSE)
+    return f"select 'XGB' as modelo, 'one-lag' as config, {s6('cv_rmse', 'cv_rmse')}, '{{\"learning_rate\": {rate}, \"max_depth\": 1, \"n_estimators\": 2}}' as params from ({inner} select * from sc) {name}"
+
+
+@query("m8_tuning_stumps", _tuned_sql("0.5", "a") + " union all " + _tuned_sql("0.25", "b"))
+def q_m8_stumps(spark, sf):
+    """Two grid points of five folds: ten fits in one batch."""
+    grids = {"XGB": {"n_estimators": [2], "max_depth": [1], "learning_rate": [0.5, 0.25]}}
+    return rounded(experiments.tune(b.full_panel(spark, sf), ONE_LAG, grids, YEAR)[0], "cv_rmse")
+
+
 @query("m8_tuning")
 def q_m8(spark, sf):
-    grids = {"RF": {"n_estimators": [5, 10], "max_depth": [3, 5]}, "XGB": {"n_estimators": [3, 5], "max_depth": [3]}}
+    grids = {"RF": {"n_estimators": [5, 10], "max_depth": [3, 5]}, "XGB": {"n_estimators": [3, 5], "max_depth": [3], "colsample_bytree": [0.8]}}
     return experiments.tune(b.full_panel(spark, sf), "lag-only", grids, YEAR)[0]
 
 
@@ -140,6 +231,39 @@ def q_m11(spark, sf):
     return recursion.recursive_forecast(panel, fitted, features, YEAR)
 
 
+@query(
+    "m11_recursive_stumps",
+    with_ctes("onelag", tr="select 1 as grp, * from onelag where epi_sunday < date '2000-01-01'", **stumps_sql("tr")).replace("with ", "with recursive ", 1)
+    + f""", h as (select ra, arg_max(cases, epi_sunday) as last from rated where epi_sunday < date '2000-01-01' group by ra),
+      t as (select ra, epi_sunday, cases, row_number() over (partition by ra order by epi_sunday) as k from rated where year(epi_sunday) = 2000),
+      r as (select ra, 0::bigint as k, last as prediction from h union all select r.ra, r.k + 1, {cases_sql('r.prediction')} from r join t on t.ra = r.ra and t.k = r.k + 1, second)
+      select ra, epi_sunday, cases, {s6('prediction', 'prediction')} from t join r using (ra, k)""",
+)
+def q_m11_stumps(spark, sf):
+    """Every week's lag is the week before's own prediction."""
+    panel = _panel(spark, sf)
+    fitted = learners.fit(panel.filter(F.year("epi_sunday") < YEAR), ONE_LAG, "XGB", STUMPS)
+    out = recursion.recursive_forecast(panel, fitted, ONE_LAG, YEAR)
+    return out.select("ra", "epi_sunday", "cases", r6("prediction").alias("prediction"))
+
+
+@query(
+    "m12_direct_stumps",
+    with_ctes(
+        "onelag", w="select *, lead(cases, 1) over v as c1, lead(cases, 2) over v as c2, lead(cases, 3) over v as c3, lead(cases, 4) over v as c4 from onelag window v as (partition by ra order by epi_sunday)",
+        lo="select ra, epi_sunday, x, k as grp, [c1, c2, c3, c4][k] as ahead from w cross join (select unnest([1, 2, 3, 4]) as k)",
+        tr="select grp, x, ln(1 + ahead) as y from lo where ahead is not null and epi_sunday < date '2000-01-01' - cast(7 * grp as integer)",
+        **stumps_sql("tr"),
+    )
+    + f"""select ra, epi_sunday, epi_sunday + cast(7 * grp as integer) as target_week, ahead as cases, {s6(cases_sql('x'), 'prediction')}, grp as horizon
+      from lo join second using (grp) where year(epi_sunday) = 2000 and ahead is not null""",
+)
+def q_m12_stumps(spark, sf):
+    """Four horizons, grown in one batch."""
+    out = experiments.direct_multihorizon(b.full_panel(spark, sf), ONE_LAG, "XGB", 4, YEAR, STUMPS)["predictions"]
+    return out.select("ra", "epi_sunday", "target_week", "cases", r6("prediction").alias("prediction"), "horizon")
+
+
 @query("m12_direct_multihorizon")
 def q_m12(spark, sf):
     return experiments.direct_multihorizon(b.full_panel(spark, sf), "lag-only", "RF", 4, YEAR, RF)["metrics"]
@@ -151,6 +275,16 @@ def q_m14(spark, sf):
     return recursion.global_model(train, 52, BOOST)[1]
 
 
+@query(
+    "m18_legacy_stumps",
+    with_ctes("onelag", tr="select 1 as grp, * from onelag where epi_sunday < date '2000-01-01'", **stumps_sql("tr"),
+              p=f"select cases, {cases_sql('x')} as p from onelag, second where epi_sunday >= date '2000-01-01'")
+    + f"""select 'XGB' as modelo, {s6('1 - sum(pow(cases - p, 2)) / (var_pop(cases) * count(*))', 'r2')}, {s6('avg(abs(cases - p))', 'mae')}, {s6('sqrt(avg(pow(cases - p, 2)))', 'rmse')}, count(*) as n_rows from p""",
+)
+def q_m18_stumps(spark, sf):
+    return rounded(experiments.legacy_evaluation(b.full_panel(spark, sf), YEAR, {"XGB": STUMPS}, ONE_LAG), "r2", "mae", "rmse")
+
+
 @query("m18_legacy_evaluation")
 def q_m18(spark, sf):
     return experiments.legacy_evaluation(b.full_panel(spark, sf), YEAR, {"RF": RF, "XGB": BOOST})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionMode
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.session import shared_dir
+from epipanel.session import scratch
 
 
 @dataclass(frozen=True)
@@ -38,7 +37,7 @@ class Forest:
 
 
 def can_flatten(model: Transformer) -> bool:
-    return isinstance(model, (RandomForestRegressionModel, GBTRegressionModel))
+    return isinstance(model, (RandomForestRegressionModel, GBTRegressionModel)) or hasattr(model, "forest")
 
 
 def flatten(spark: SparkSession, model: Transformer) -> Forest:
@@ -46,13 +45,15 @@ def flatten(spark: SparkSession, model: Transformer) -> Forest:
 
     Splits on two-valued columns name the values that go left; they become cuts at one half.
     """
-    path = f"{shared_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
-    model.write().save(path)
+    if hasattr(model, "forest"):
+        return model.forest
     split = F.col("nodeData.split")
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        split["featureIndex"].alias("feature"), split["leftCategoriesOrThreshold"].alias("at"), split["numCategories"].alias("kinds"),
-    ).toPandas()
+    with scratch(spark, "forest") as path:
+        model.write().save(path)
+        nodes = spark.read.parquet(f"{path}/data").select(
+            "treeID", "nodeData.id", "nodeData.prediction", F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+            split["featureIndex"].alias("feature"), split["leftCategoriesOrThreshold"].alias("at"), split["numCategories"].alias("kinds"),
+        ).toPandas()
     if (nodes["kinds"] > 2).any():
         raise ValueError("splits on columns of more than two categories are not supported")
     shape = (int(nodes["treeID"].max()) + 1, int(nodes["id"].max()) + 1)

@@ -1,17 +1,19 @@
-"""Panel regressors on Spark ML: encode, fit on log1p, predict back in cases."""
+"""Panel regressors as pipelines: encode, fit on log1p, predict back in cases."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epipanel.functions.scalars import null_nan, rate_to_count
+from epipanel.operators.boosting import BoostedRegressor, Boosting
 from epipanel.operators.metrics import consolidated, region_metrics
 from epipanel.operators.splits import year_split
 from epipanel.plans.features import FeatureSet
@@ -27,18 +29,24 @@ DEFAULTS = {
 }
 NAMES = {
     "RF": {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "max_features": "featureSubsetStrategy", "subsample": "subsamplingRate"},
-    "XGB": {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy"},
+    "XGB": {
+        "n_estimators": "rounds", "max_depth": "depth", "learning_rate": "rate", "subsample": "rows", "colsample_bytree": "columns",
+        "reg_lambda": "penalty", "min_child_weight": "least_weight", "gamma": "least_gain",
+    },
     "LIN": {"ridge": "regParam"},
 }
 
 
-def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
-    """'RF' is a random forest, 'XGB' gradient-boosted trees, 'LIN' least squares."""
+#: Memory of a task's node sums: more nodes of a forest share a pass over the rows.
+FOREST_MEMORY_MB = 1024
+
+
+def translated(name: str, params: dict | None) -> dict:
+    """A model's parameters under the names of what fits it, defaults included."""
     if name not in DEFAULTS:
         raise ValueError(f"unknown model {name!r}; have {list(DEFAULTS)}")
-    merged = {**DEFAULTS[name], **(params or {})}
-    spark_params = {}
-    for key, value in merged.items():
+    out = {}
+    for key, value in {**DEFAULTS[name], **(params or {})}.items():
         if key not in NAMES[name]:
             raise ValueError(f"unknown parameter {key!r} for {name}")
         if key == "max_depth":
@@ -47,11 +55,24 @@ def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
             value = MAX_DEPTH if value is None else int(value)
         if NAMES[name][key] == "featureSubsetStrategy":
             value = str(value)
-        spark_params[NAMES[name][key]] = value
+        out[NAMES[name][key]] = value
+    return out
+
+
+def boosting(params: dict | None) -> Boosting:
+    return Boosting(**translated("XGB", params), seed=SEED)
+
+
+def make_regressor(name: str, params: dict | None = None, label: str = LABEL):
+    """'RF' is a random forest, 'XGB' second-order boosted trees, 'LIN' least squares."""
+    own = translated(name, params)
+    if name == "XGB":
+        return BoostedRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, settings=json.dumps(asdict(boosting(params))))
     if name == "LIN":
-        return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, solver="normal", standardization=False, **spark_params)
-    build = RandomForestRegressor if name == "RF" else GBTRegressor
-    return build(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, seed=SEED, **spark_params)
+        return LinearRegression(featuresCol=VECTOR, labelCol=label, predictionCol=RAW, solver="normal", standardization=False, **own)
+    return RandomForestRegressor(
+        featuresCol=VECTOR, labelCol=label, predictionCol=RAW, seed=SEED, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, **own
+    )
 
 
 def encoder_stages(features: FeatureSet, labels: list[str] | None = None) -> list:

@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def year_split(df: DataFrame, test_year: int, week: str = "epi_sunday", open_end: bool = False):
-    """(train, test): train ends before the year, test is the year itself."""
+def year_conditions(test_year: int, week: str = "epi_sunday", open_end: bool = False) -> tuple[Column, Column]:
+    """(before the year, in it) as conditions."""
     start, stop = F.lit(f"{test_year}-01-01").cast("date"), F.lit(f"{test_year + 1}-01-01").cast("date")
     test = F.col(week) >= start
-    return df.filter(F.col(week) < start), df.filter(test if open_end else test & (F.col(week) < stop))
+    return F.col(week) < start, test if open_end else test & (F.col(week) < stop)
+
+
+def year_split(df: DataFrame, test_year: int, week: str = "epi_sunday", open_end: bool = False):
+    """(train, test): train ends before the year, test is the year itself."""
+    before, inside = year_conditions(test_year, week, open_end)
+    return df.filter(before), df.filter(inside)
 
 
 def date_index(df: DataFrame, week: str = "epi_sunday") -> DataFrame:
