@@ -93,7 +93,8 @@ define("td", """select unique_id, ds, yhat as rec from base where level = 1 unio
 
 @query("m16_top_down", with_ctes("td") + f"select unique_id, ds, {s6('rec', 'rec')} from td")
 def q_m16(spark, sf):
-    return rounded(hierarchy.top_down(base_forecasts(spark, sf), 3).select(*REC), "rec")
+    base = reliable_checkpoint(base_forecasts(spark, sf))
+    return rounded(hierarchy.top_down(base, 3).select(*REC), "rec")
 
 
 @query(
@@ -104,7 +105,8 @@ def q_m16(spark, sf):
       select c.unique_id, c.ds, p.yhat * c.share from shared c join base p on p.unique_id = c.parent_id and p.ds = c.ds where c.level = 3)""",
 )
 def q_d16(spark, sf):
-    return rounded(hierarchy.middle_out(base_forecasts(spark, sf), 2, 3).select(*REC), "rec")
+    base = reliable_checkpoint(base_forecasts(spark, sf))
+    return rounded(hierarchy.middle_out(base, 2, 3).select(*REC), "rec")
 
 
 @query(

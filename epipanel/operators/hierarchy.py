@@ -7,10 +7,10 @@ summing matrix is implied by them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation, Summarizer
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +19,6 @@ from epipanel.session import reliable_checkpoint
 
 SEP = "/"
 NOT_GIVEN = "NOT GIVEN"
-MAX_DENSE_SERIES = 2000
 
 
 def member(name: str) -> Column:
@@ -68,35 +67,32 @@ def bottom_up(base: DataFrame, leaf_level: int, value: str = "yhat", out: str =
     return base.join(sums, ["unique_id", "ds"])
 
 
-def _spread_down(base: DataFrame, level: int, leaf_level: int, share: Column, value: str, out: str) -> DataFrame:
-    """Push reconciled values of ``level`` to the levels below by shares."""
-    done = base.filter(F.col("level") == level).withColumn(out, F.col(value))
-    parts = [done]
-    for child_level in range(level + 1, leaf_level + 1):
-        parent = done.select(F.col("unique_id").alias("parent_id"), "ds", F.col(out).alias("_up"))
-        kids = base.filter(F.col("level") == child_level)
-        done = kids.join(parent, ["parent_id", "ds"]).withColumn(out, F.col("_up") * share).drop("_up")
-        parts.append(done)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def with_sibling_share(base: DataFrame, value: str = "yhat") -> DataFrame:
     """Node forecast over the sum of its siblings' forecasts, per date."""
     sums = base.groupBy("parent_id", "ds").agg(F.sum(value).alias("_siblings"))
     return base.join(sums, ["parent_id", "ds"], "left").withColumn("_share", ratio(F.col(value), F.col("_siblings"))).drop("_siblings")
 
 
+def _spread_down(base: DataFrame, level: int, value: str, out: str) -> DataFrame:
+    """Nodes from ``level`` down: the forecast of their node there times the shares on the way, in one pass over ``ancestors``."""
+    below = base.filter(F.col("level") >= level)
+    shared = with_sibling_share(below, value)
+    factor = F.when(F.col("level") == level, F.col(value)).otherwise(F.col("_share"))
+    factors = shared.select(F.col("unique_id").alias("_on"), "ds", F.col("level").alias("_level"), factor.alias("_factor"))
+    way = below.select("unique_id", "ds", F.explode(F.slice("ancestors", level, F.size("ancestors"))).alias("_on"))
+    steps = way.join(factors, ["_on", "ds"]).groupBy("unique_id", "ds").agg(F.sort_array(F.collect_list(F.struct("_level", "_factor"))).alias("_steps"))
+    product = F.aggregate("_steps", F.lit(1.0), lambda a, s: a * s["_factor"])
+    return below.join(steps.select("unique_id", "ds", product.alias(out)), ["unique_id", "ds"])
+
+
 def top_down(base: DataFrame, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
-    """Forecast proportions: the top forecast split level by level."""
-    return _spread_down(with_sibling_share(base, value), 1, leaf_level, F.col("_share"), value, out).drop("_share")
+    """Forecast proportions: the top forecast split along each node's ancestors."""
+    return _spread_down(base.filter(F.col("level") <= leaf_level), 1, value, out)
 
 
 def middle_out(base: DataFrame, middle: int, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
     """Bottom-up above a chosen level, forecast proportions below it."""
-    below = _spread_down(with_sibling_share(base, value), middle, leaf_level, F.col("_share"), value, out).drop("_share")
+    below = _spread_down(base.filter(F.col("level") <= leaf_level), middle, value, out)
     above = bottom_up(base.filter(F.col("level") <= middle), middle, value, out).filter(F.col("level") < middle)
     return above.unionByName(below.select(above.columns))
 
@@ -165,80 +161,132 @@ def wls_tree(base: DataFrame, variances: DataFrame, leaf_level: int, value: str
     return result
 
 
-def _gram(vectors: DataFrame, col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Correlation, means and deviations of a vector column, all taken in Spark."""
-    stats = vectors.select(Summarizer.metrics("mean", "std", "count").summary(F.col(col)).alias("s")).first().s
-    corr = np.nan_to_num(Correlation.corr(vectors, col).first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
-    return corr, stats["mean"].toArray(), stats["std"].toArray(), int(stats["count"])
+def _sums_of(rows: DataFrame, product: Callable[[pa.RecordBatch], dict[str, np.ndarray]], shapes: dict[str, tuple[int, int]]) -> dict[str, np.ndarray]:
+    """Matrices summed over all rows: every task adds up its own, Spark their entries; as large as the calendar."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {name: np.zeros(shape) for name, shape in shapes.items()}
+        for part in parts:
+            if part.num_rows:
+                for name, value in product(part).items():
+                    total[name] += value
+        for name, value in total.items():
+            for i, row in enumerate(value):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(row)), pa.array([i] * len(row), pa.int32()), pa.array(range(len(row)), pa.int32()), pa.array(row)], names=["name", "i", "j", "v"]
+                )
+
+    out = {name: np.zeros(shape) for name, shape in shapes.items()}
+    for r in rows.mapInArrow(run, "name string, i int, j int, v double").groupBy("name", "i", "j").agg(F.sum("v").alias("v")).collect():
+        out[r["name"]][r["i"], r["j"]] = r["v"]
+    return out
+
 
+def _lists(part: pa.RecordBatch, column: str) -> np.ndarray:
+    return part.column(column).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
 
-def shrunk_covariance(residuals: DataFrame, ids: list[str]) -> np.ndarray:
-    """Residual covariance shrunk to its diagonal (Schaefer-Strimmer weight).
 
-    One dense vector per date; Spark accumulates the Gram matrices, so no pair
-    of series is ever emitted as a row. Only the m x m result reaches the driver.
+def _vectors(rows: DataFrame, dates: list, value: str, out: str) -> DataFrame:
+    """(unique_id, out): a series' values at ``dates`` in order, zero where there is none."""
+    entries = F.map_from_entries(F.collect_list(F.struct("ds", F.col(value).cast("double").alias("v"))))
+    at = F.transform(F.lit(dates), lambda d: F.coalesce(F.try_element_at("_m", d), F.lit(0.0)))
+    return rows.groupBy("unique_id").agg(entries.alias("_m")).select("unique_id", at.alias(out))
+
+
+def shrinkage(vectors: DataFrame, weeks: int) -> tuple[float, float, int]:
+    """(weight of the diagonal, mean variance, number of series) of the residual vectors ``u``.
+
+    Schaefer-Strimmer weight, from one weeks x weeks matrix: the sum of all squared correlations is that of the
+    squared entries of the weeks' products, and the sum over pairs of z_i^2 z_j^2 that of each week's squared sum.
     """
-    order = F.array(*[F.lit(i) for i in ids])
-    by_date = residuals.groupBy("ds").agg(
-        F.map_from_entries(F.collect_list(F.struct("unique_id", "residual"))).alias("_m")
-    )
-    dense = by_date.select(
-        F.transform(order, lambda k: F.coalesce(F.try_element_at("_m", k), F.lit(0.0))).alias("_a")
-    )
-    vectors = reliable_checkpoint(
-        dense.select(
-            array_to_vector("_a").alias("raw"), array_to_vector(F.transform("_a", lambda x: x * x)).alias("sq")
-        )
-    )
-    corr, _, sd, n = _gram(vectors, "raw")
-    corr2, mean2, sd2, _ = _gram(vectors, "sq")
-    # Sum over dates of z_i^2 z_j^2 from the moments of the squared residuals.
-    scale = np.where(sd > 0, sd, 1.0) ** 2
-    cross = (corr2 * np.outer(sd2, sd2) * (n - 1) + n * np.outer(mean2, mean2)) / np.outer(scale, scale)
-    mean_w = corr * (n - 1) / n
-    spread = n / (n - 1) ** 3 * (cross - n * mean_w**2)
-    off = ~np.eye(len(ids), dtype=bool)
-    denominator = (corr[off] ** 2).sum()
-    weight = float(np.clip(spread[off].sum() / denominator, 0.0, 1.0)) if denominator > 0 else 1.0
-    shrunk = (1.0 - weight) * corr
-    np.fill_diagonal(shrunk, 1.0)
-    return shrunk * np.outer(sd, sd)
-
-
-def summing_matrix(nodes: list[tuple[str, int, list[str]]], leaf_level: int) -> np.ndarray:
-    leaves = [above for _, level, above in nodes if level == leaf_level]
-    return np.array([[float(i in above) for above in leaves] for i, _, _ in nodes])
+
+    def product(part: pa.RecordBatch) -> dict[str, np.ndarray]:
+        u = _lists(part, "u")
+        sd = u.std(axis=1, ddof=1)
+        z = np.where(sd[:, None] > 0, (u - u.mean(axis=1, keepdims=True)) / np.where(sd > 0, sd, 1.0)[:, None], 0.0)
+        square = (u / np.where(sd > 0, sd, 1.0)[:, None]) ** 2
+        rest = np.array([[len(u), (sd > 0).sum(), (sd**2).sum()]])
+        return {"gram": z.T @ z, "square": square.sum(0)[None, :], "fourth": (square**2).sum(0)[None, :], "rest": rest}
+
+    sums = _sums_of(vectors, product, {"gram": (weeks, weeks), "square": (1, weeks), "fourth": (1, weeks), "rest": (1, 3)})
+    m, live, variance = sums["rest"][0]
+    n = weeks
+    correlations = (sums["gram"] ** 2).sum() / (n - 1) ** 2 - live
+    spread = n / (n - 1) ** 3 * ((sums["square"] ** 2 - sums["fourth"]).sum() - n * ((n - 1) / n) ** 2 * correlations)
+    weight = float(np.clip(spread / correlations, 0.0, 1.0)) if correlations > 1e-12 else 1.0
+    return weight, variance / m, int(m)
+
+
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solution of a symmetric positive definite system by elimination, row by row.
+
+    As large as the calendar. Plain array steps: a threaded LAPACK was seen to stand still next to the driver's JVM.
+    """
+    work = np.hstack([a, b])
+    n = len(a)
+    for k in range(n):
+        work[k] /= work[k, k]
+        work[k + 1 :] -= np.multiply.outer(work[k + 1 :, k], work[k])
+    for k in range(n - 1, 0, -1):
+        work[:k, n:] -= np.multiply.outer(work[:k, k], work[k, n:])
+    return work[:, n:]
 
 
 def min_trace(base: DataFrame, residuals: DataFrame, leaf_level: int, value: str = "yhat", out: str = "rec") -> DataFrame:
-    """Minimum-trace reconciliation with shrunk covariance.
+    """Minimum-trace reconciliation with shrunk covariance, for any number of series.
 
-    The covariance is a dense m x m matrix, so m is checked; larger two-level
-    trees have the exact diagonal form in ``wls_two_level``.
+    The shrunk covariance is a diagonal plus the weeks' residuals: W = D + U U'. Reconciling under D alone is
+    ``wls_tree``, two passes over the edges; done to the forecasts and to each week's residuals alike, it leaves
+    one weeks x weeks system (the Woodbury identity), which is all that the driver solves. Missing residuals
+    read as zero. The calendar is held whole, the series never.
     """
-    listed = base.select("unique_id", "level", "ancestors").distinct().limit(MAX_DENSE_SERIES + 1).collect()
-    if len(listed) > MAX_DENSE_SERIES:
-        raise ValueError(f"more than {MAX_DENSE_SERIES} series: use wls_two_level")
-    nodes = sorted(tuple(r) for r in listed)
-    ids = [i for i, _, _ in nodes]
-    cov = shrunk_covariance(residuals, ids)
-    cov[np.diag_indices_from(cov)] += 1e-8 * max(np.trace(cov) / len(ids), 1e-12)
-    s = summing_matrix(nodes, leaf_level)
-    weight = np.linalg.solve(cov, s).T
-    projection = s @ np.linalg.solve(weight @ s, weight)
-
-    def reconcile(batches):
-        for pdf in batches:
-            values = np.vstack(pdf["_a"].to_numpy())
-            yield pd.DataFrame({"ds": pdf["ds"], "_r": list(values @ projection.T)})
-
-    order = F.array(*[F.lit(i) for i in ids])
-    dense = (
-        base.groupBy("ds")
-        .agg(F.map_from_entries(F.collect_list(F.struct("unique_id", value))).alias("_m"))
-        .select("ds", F.transform(order, lambda k: F.coalesce(F.try_element_at("_m", k), F.lit(0.0))).alias("_a"))
+    spark = base.sparkSession
+    weeks = [r[0] for r in residuals.select("ds").distinct().orderBy("ds").collect()]
+    dates = [r[0] for r in base.select("ds").distinct().orderBy("ds").collect()]
+    if len(weeks) < 2 or not dates:
+        raise ValueError("two weeks of residuals and a forecast are needed")
+    vectors = reliable_checkpoint(_vectors(residuals, weeks, "residual", "u"))
+    weight, variance, _ = shrinkage(vectors, len(weeks))
+    floor = 1e-8 * max(variance, 1e-12)
+    nodes = base.select("unique_id", "level", "parent_id").distinct()
+    n = len(weeks)
+    mean = F.aggregate("u", F.lit(0.0), lambda a, x: a + x) / n
+    centred = vectors.withColumn("mean", mean).withColumn("u", F.transform("u", lambda x: x - F.col("mean")))
+    squares = F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x) / (n - 1)
+    scale = float(np.sqrt((1 - weight) / (n - 1)))
+    known = nodes.join(centred, "unique_id", "left").select(
+        "unique_id", "level", "parent_id",
+        (F.coalesce(squares, F.lit(0.0)) * weight + floor).alias("variance"),
+        F.coalesce(F.transform("u", lambda x: x * scale), F.array_repeat(F.lit(0.0), n)).alias("u"),
+    )
+    known = reliable_checkpoint(known)
+    past = known.select("unique_id", "level", "parent_id", F.posexplode("u").alias("at", "v")).withColumn("ds", F.col("at"))
+    ahead = base.select("unique_id", "level", "parent_id", (F.array_position(F.lit(dates), F.col("ds")).cast("int") + (n - 1)).alias("ds"), F.col(value).alias("v"))
+    both = past.drop("at").unionByName(ahead)
+    plain = reliable_checkpoint(wls_tree(both, known.select("unique_id", "variance"), leaf_level, "v", "r").select("unique_id", "ds", "v", "r"))
+    places = list(range(n + len(dates)))
+    rows = (
+        _vectors(plain, places, "v", "v").join(_vectors(plain, places, "r", "r"), "unique_id")
+        .join(known.select("unique_id", "variance"), "unique_id")
     )
-    fixed = dense.mapInPandas(reconcile, "ds date, _r array<double>")
-    rows = fixed.select("ds", F.inline(F.arrays_zip(order.alias("unique_id"), F.col("_r").alias(out))))
-    return base.join(rows.toDF("ds", "unique_id", out), ["unique_id", "ds"])
+    rows = reliable_checkpoint(rows)
+
+    def product(part: pa.RecordBatch) -> dict[str, np.ndarray]:
+        v, r, d = _lists(part, "v"), _lists(part, "r"), part.column("variance").to_numpy()
+        return {"system": (v[:, :n] / d[:, None]).T @ (v - r)}
+
+    system = _sums_of(rows, product, {"system": (n, len(places))})["system"]
+    z = spark.sparkContext.broadcast(_solved(np.eye(n) + system[:, :n], system[:, n:]))
+
+    def settle(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            r = _lists(part, "r")
+            fixed = r[:, n:] - r[:, :n] @ z.value
+            k = len(dates)
+            ids = part.column("unique_id").take(pa.array(np.repeat(np.arange(part.num_rows), k)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.tile(np.arange(k), part.num_rows), pa.int32()), pa.array(fixed.ravel())], names=["unique_id", "at", out])
+
+    kind = base.schema["unique_id"].dataType.simpleString()
+    fixed = rows.select("unique_id", "r").mapInArrow(settle, f"unique_id {kind}, at int, {out} double")
+    dated = fixed.select("unique_id", F.get(F.lit(dates), F.col("at")).alias("ds"), out)
+    return base.join(dated, ["unique_id", "ds"])

@@ -135,8 +135,6 @@ def level_mape(df: DataFrame, models: list[str], level: str = "level") -> DataFr
     long = df.unpivot([level, "unique_id", "ds", "y"], models, "model", "yhat")
     err = F.abs(F.col("y") - F.col("yhat")) / F.when(F.col("y") != 0, F.abs(F.col("y")))
     per_series = long.groupBy(level, "unique_id", "model").agg(F.avg(err).alias("_m"))
-    by_level = per_series.groupBy(F.col(level).cast("string").alias(level), "model").agg(F.avg("_m").alias("mape"))
-    overall = per_series.groupBy("model").agg(F.avg("_m").alias("mape")).select(
-        F.lit("overall").alias(level), "model", "mape"
-    )
-    return by_level.unionByName(overall)
+    name = F.when(F.grouping(level) == 1, F.lit("overall")).otherwise(F.col(level).cast("string"))
+    sets = per_series.groupingSets([[level, "model"], ["model"]], level, "model").agg(name.alias("_name"), F.avg("_m").alias("mape"))
+    return sets.select(F.col("_name").alias(level), "model", "mape")
