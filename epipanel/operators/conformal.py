@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epipanel.operators.ranks import constant_level, quantiles, value_counts
@@ -31,15 +31,16 @@ def pool_horizons(counts: DataFrame, horizon: str = "horizon", min_scores: int =
     """Scores each horizon may use: its own, and those of all later horizons too
     when it has fewer than ``min_scores``.
 
-    ``counts`` holds distinct (horizon, score) with ``n``. A score of horizon k
-    is offered to horizons 1..k; the horizon sizes (one row per horizon, at most
-    the forecast length) decide which offers stand.
+    ``counts`` holds distinct (horizon, score) with ``n``. The short horizons are
+    found first (one array, at most as long as the forecast), and a score is
+    offered to its own horizon and the short ones before it.
     """
-    sizes = counts.groupBy(horizon).agg(F.sum("n").alias("_size")).withColumnRenamed(horizon, "_h")
-    offers = counts.withColumn("_h", F.explode(F.sequence(F.lit(1), F.col(horizon).cast("int"))))
-    stands = (F.col("_h") == F.col(horizon)) | (F.col("_size") < min_scores)
-    pooled = offers.join(sizes, "_h").filter(stands)
-    return pooled.groupBy(F.col("_h").alias(horizon), "score").agg(F.sum("n").alias("n"))
+    sizes = counts.groupBy(horizon).agg(F.sum("n").alias("_size"))
+    short = sizes.agg(F.sort_array(F.collect_list(F.when(F.col("_size") < min_scores, F.col(horizon).cast("int"))))).scalar()
+    own = F.col(horizon).cast("int")
+    placed = counts.select(own.alias("_own"), "score", "n", short.alias("_short"))
+    offers = F.explode(F.concat(F.array("_own"), F.filter("_short", lambda h: h < F.col("_own"))))
+    return placed.select(offers.alias(horizon), "score", "n").groupBy(horizon, "score").agg(F.sum("n").alias("n"))
 
 
 def calibrate(
@@ -123,22 +124,50 @@ def load_calibration(spark: SparkSession, path: str) -> DataFrame | None:
     return rows.withColumn("horizon", F.col("horizon").cast("int"))
 
 
+OCTAVE = 32
+
+
+def _bucket(score: Column) -> Column:
+    """Place of a score on a fixed scale of ``OCTAVE`` steps for each doubling; it never falls as scores rise."""
+    return F.when(score <= 0, F.lit(-(2**31))).otherwise(F.floor(F.log2(score) * OCTAVE)).cast("long")
+
+
 def rolling_calibration(df: DataFrame, weeks_back: int, alpha: float = 0.10, epsilon: float = 0.10, week: str = "epi_sunday") -> DataFrame:
     """Quantile recomputed each week from the ``weeks_back`` weeks before it.
 
-    Scores are counted per week first; each count is then offered to the weeks
-    it can serve, a fixed fan-out of ``weeks_back``.
+    Scores are counted per week and bucket of a fixed scale. A bucket's count goes up the week after and down
+    when it leaves the window, so running sums give every week's bucket sizes whatever the window's width.
+    They tell which one or two buckets hold the quantile's ranks; only the scores in those are looked at.
     """
-    scored = df.dropna(subset=["cases", "prediction"]).select(
-        week, nonconformity(epsilon).alias("score")
+    scored = df.dropna(subset=["cases", "prediction"]).select(week, nonconformity(epsilon).alias("score"))
+    counts = reliable_checkpoint(value_counts(scored, [week], "score").withColumn("_b", _bucket(F.col("score"))))
+    weeks = df.select(week).distinct()
+    sizes = counts.groupBy(week, "_b").agg(F.sum("n").alias("n"))
+    marks = sizes.select(
+        "_b", F.inline(F.array(F.struct(F.date_add(week, 7).alias(week), F.col("n").alias("d")), F.struct(F.date_add(week, 7 * (weeks_back + 1)).alias(week), (-F.col("n")).alias("d"))))
+    ).groupBy("_b", week).agg(F.sum("d").alias("d"))
+    buckets = sizes.select("_b").distinct()
+    grid = weeks.withColumn("_b", F.explode(buckets.agg(F.collect_list("_b")).scalar()))  # calendar x scale
+    along = Window.partitionBy("_b").orderBy(week).rowsBetween(Window.unboundedPreceding, 0)
+    held = (
+        grid.withColumn("d", F.lit(0.0)).unionByName(marks.select(week, "_b", "d")).groupBy(week, "_b").agg(F.sum("d").alias("d"))
+        .withColumn("n", F.sum("d").over(along)).join(weeks, week, "left_semi").where("n > 0")
     )
-    counts = value_counts(scored, [week], "score")
-    steps = F.explode(F.sequence(F.lit(1), F.lit(weeks_back)))
-    offered = counts.select("score", "n", week, steps.alias("_s")).select(
-        F.date_add(week, F.col("_s") * 7).alias(week), "score", "n"
+    held = reliable_checkpoint(held.select(week, "_b", "n"))
+    below = Window.partitionBy(week).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("n").over(Window.partitionBy(week))
+    placed = held.withColumns({"_total": total, "_below": F.coalesce(F.sum("n").over(below), F.lit(0.0))})
+    level = conformal_level(alpha)
+    position = (F.col("_total") - 1) * level(F.col("_total"))
+    ranks = F.array(F.floor(position) + 1, F.ceil(position) + 1)
+    wanted = placed.withColumn("_ranks", F.array_distinct(F.filter(ranks, lambda r: (r > F.col("_below")) & (r <= F.col("_below") + F.col("n"))))).where(F.size("_ranks") > 0)
+    wanted = wanted.select(F.col(week).alias("_week"), F.col("_b").alias("_wb"), "_below", "_total", F.transform("_ranks", lambda r: r.cast("double")).alias("_ranks"))
+    inside = (F.col("_b") == F.col("_wb")) & F.col(week).between(F.date_sub("_week", 7 * weeks_back), F.date_sub("_week", 7))
+    near = counts.join(wanted, inside).groupBy("_week", "_wb", "_below", "_total", "_ranks", "score").agg(F.sum("n").alias("n"))
+    upto = F.col("_below") + F.sum("n").over(Window.partitionBy("_week", "_wb").orderBy("score"))
+    found = near.withColumn("_upto", upto).withColumn("_rank", F.explode("_ranks")).where((F.col("_upto") - F.col("n") < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
+    picked = found.groupBy(F.col("_week").alias(week)).agg(
+        F.max("_total").alias("_total"), F.min_by("score", "_rank").alias("_lo"), F.max_by("score", "_rank").alias("_hi")
     )
-    served = offered.join(df.select(week).distinct(), week, "left_semi")
-    windowed = served.groupBy(week, "score").agg(F.sum("n").alias("n"))
-    return quantiles(windowed, [week], "score", {"q": conformal_level(alpha)})
-
-
+    share = position - F.floor(position)
+    return picked.select(week, F.col("_total").cast("long").alias("n"), (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share).alias("q"))

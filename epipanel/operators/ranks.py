@@ -1,9 +1,9 @@
 """Exact ranks, distribution functions and quantiles without a one-task sort.
 
 Every operator here starts from a table of distinct values with counts, so a
-value shared by a third of all rows is one row. The ordered pass is cut into value
-buckets at the key's approximate percentiles: each (key, bucket) is sorted on
-its own, and only the bucket totals are accumulated in order.
+value shared by a third of all rows is one row. It is dealt by range of (key,
+value) once and written: each (key, range) is sorted on its own, and only the
+ranges' totals are accumulated in order.
 """
 
 from __future__ import annotations
@@ -15,24 +15,17 @@ from pyspark.sql import functions as F
 
 from epipanel.session import reliable_checkpoint
 
-LEAST_BUCKETS = 16
 
+def indexed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``counts`` written by ranges of (keys, value), with the number of each row's range as ``_bucket``.
 
-def bucketed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``counts`` with ``_bucket``, its value's place among the key's approximate percentiles.
-
-    The edges come from the distinct values themselves, so buckets hold about
-    equally many of them wherever they lie. Their number follows the number of
-    shuffle partitions. Edges only decide where the ordered pass is cut, so
-    results do not depend on how exact they are.
+    Ranges only decide where the ordered pass is cut, so results do not depend on how even they are; what
+    lies in a range is read from the written table, never dealt anew.
     """
-    n = max(LEAST_BUCKETS, 4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = F.lit([k / n for k in range(1, n)])
-    edges = counts.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), shares, 20 * n).alias("_edges"))
-    placed = counts.join(edges, list(keys)) if keys else counts.withColumn("_edges", edges.scalar())
-    v = F.col(value).cast("double")
-    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e < v)), F.lit(0))
-    return placed.withColumn("_bucket", bucket).drop("_edges")
+    if "_bucket" in counts.columns:
+        return counts
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reliable_checkpoint(counts.repartitionByRange(n, *keys, value).withColumn("_bucket", F.spark_partition_id()))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, **sums: Column) -> DataFrame:
@@ -48,7 +41,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, **sums: Column)
 def running_totals(counts: DataFrame, keys: Sequence[str], value: str, cols: Sequence[str]) -> DataFrame:
     """Add ``<col>_below``: the sum of ``col`` over strictly smaller values of the key."""
     keys = list(keys)
-    cut = bucketed(counts, keys, value)
+    cut = indexed(counts, keys, value)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -64,7 +57,7 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str, cols: Seq
     )
     joined = local.join(offsets, [*keys, "_bucket"])
     return joined.select(
-        *counts.columns,
+        *[c for c in counts.columns if c != "_bucket"],
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{c}_below") for c in cols],
     )
 
@@ -81,6 +74,7 @@ def quantiles(
     level in [0, 1]. Output: keys, ``n`` and one column per name.
     """
     keys = list(keys)
+    counts = indexed(counts, keys, value)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     ranked = running_totals(counts, keys, value, ["n"])
     ranked = (
@@ -180,6 +174,7 @@ def ks_distance(samples: DataFrame, keys: Sequence[str], value: str, is_second:
     counts = value_counts(
         samples, keys, value, b=is_second.cast("int"), a=(~is_second).cast("int")
     )
+    counts = indexed(counts, keys, value)
     sizes = counts.groupBy(*keys).agg(F.sum("a").alias("_na"), F.sum("b").alias("_nb"))
     ranked = running_totals(counts, keys, value, ["a", "b"])
     ranked = (
