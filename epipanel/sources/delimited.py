@@ -3,53 +3,47 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.functions.calendar import parse_day, week_start
 from epipanel.functions.text import norm_key
+from epipanel.session import reliable_checkpoint
+from epipanel.sources.records import read_quoted, text_lines
 
 # Columns of a case line list and of a notification file.
 CASE_COLUMNS = ("i_class_final", "i_desc_classificacao", "i_desc_uf_res", "i_desc_radf_res", "i_data_prim_sintomas")
 NOTIFICATION_COLUMNS = ("SG_UF", "SG_UF_NOT", "CLASSI_FIN", "DT_SIN_PRI")
 
 
-def scan_files(spark: SparkSession, folder: str, columns: tuple[str, ...], sep: str) -> dict[tuple[str, str], list[str]]:
-    """(header, encoding) -> files, from one aggregate with a row per file.
+def read_columns(spark: SparkSession, folder: str, columns: tuple[str, ...], sep: str = ";") -> DataFrame:
+    """Named columns of every CSV file in a folder, tagged with the file name.
 
-    A file with bytes that are not UTF-8 is read as Latin-1 instead. Files may order their columns differently.
+    Files may order their columns differently; one with bytes that are not UTF-8 is Latin-1. Header and
+    encoding of a file are a row of a table that its lines are joined with, so no file has a plan or a driver
+    row of its own however many there are.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
-        F.col("_metadata.file_path").alias("path"), "value"
-    )
-    names = F.split(F.regexp_replace("value", '[﻿"\r]', ""), re.escape(sep))
-    is_header = F.size(F.array_intersect(names, F.array(*[F.lit(c) for c in columns]))) == len(columns)
+    lines = text_lines(spark, folder, "*.csv")
+    raw = F.col("value").cast("string")
+    names = F.split(F.regexp_replace(raw, '[\ufeff"\r]', ""), re.escape(sep))
+    is_header = (F.col("block") == 0) & (F.size(F.array_intersect(names, F.array(*[F.lit(c) for c in columns]))) == len(columns))
     files = lines.groupBy("path").agg(
-        F.max(F.when(is_header, F.col("value"))).alias("header"),
-        F.bool_or(~F.is_valid_utf8("value")).alias("bad"),
+        F.min_by(F.when(is_header, names), F.when(is_header, F.col("at"))).alias("names"),
+        F.bool_or(~F.is_valid_utf8(raw)).alias("latin"),
     )
-    groups = defaultdict(list)
-    for row in files.collect():
-        if row.header is None:
-            raise ValueError(f"{row.path} lacks columns {columns}")
-        groups[(row.header, "ISO-8859-1" if row.bad else "UTF-8")].append(row.path)
-    if not groups:
+    files = reliable_checkpoint(files)
+    widest, lacking = files.agg(F.max(F.size("names")), F.min(F.when(F.col("names").isNull(), F.col("path")))).first()
+    if lacking is not None:
+        raise ValueError(f"{lacking} lacks columns {columns}")
+    if widest is None:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    return groups
-
-
-def read_columns(spark: SparkSession, folder: str, columns: tuple[str, ...], sep: str = ";") -> DataFrame:
-    """Named columns of every CSV file in a folder, tagged with the file name."""
-    parts = []
-    for (header, encoding), paths in sorted(scan_files(spark, folder, columns, sep).items()):
-        names = header.replace("﻿", "").replace('"', "").strip("\r").split(sep)
-        schema = ", ".join(f"`{n}` string" for n in names)
-        reader = spark.read.schema(schema).options(sep=sep, header=True, encoding=encoding)
-        parts.append(reader.csv(sorted(paths)).select(*columns, F.col("_metadata.file_name").alias("source_file")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    body = lines.where(~is_header & (F.length(F.trim(raw)) > 0)).join(files, "path")
+    text = F.regexp_replace(F.when(F.col("latin"), F.decode("value", "ISO-8859-1")).otherwise(raw), "\r$", "")
+    fields = F.from_csv(text, ", ".join(f"c{k} string" for k in range(widest)), {"sep": sep})
+    cells = body.select("file_name", "names", fields.alias("f")).select("file_name", "names", F.array(*(F.col(f"f.c{k}") for k in range(widest))).alias("cells"))
+    place = lambda c: F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")).alias(c)
+    return cells.select(*map(place, columns), F.col("file_name").alias("source_file"))
 
 
 def read_line_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,6 +87,6 @@ def read_national_series(spark: SparkSession, path: str, before: str) -> DataFra
 
 
 def read_labelled_text(spark: SparkSession, path: str, labels: list[str], key: str = "id", column: str = "comment_text") -> DataFrame:
-    """Text rows with integer labels; quoted fields may span lines."""
-    raw = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+    """Text rows with integer labels; quoted fields may span lines, and a large file is read by many tasks."""
+    raw = read_quoted(spark, path)
     return raw.select(key, column, *[F.expr(f"try_cast({c} as int)").alias(c) for c in labels if c in raw.columns])

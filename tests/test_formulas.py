@@ -66,8 +66,8 @@ def test_model_factory(spark):
     rf = learners.make_regressor("RF")
     assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getFeatureSubsetStrategy()) == (150, 15, "all")
     assert learners.make_regressor("RF", {"max_depth": None}).getMaxDepth() == 30
-    gbt = learners.make_regressor("XGB", {"learning_rate": 0.1})
-    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()) == (200, 4, 0.1)
+    gbt = learners.make_regressor("XGB", {"learning_rate": 0.1, "colsample_bytree": 0.8})
+    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.params_.columns) == (200, 4, 0.1, 0.8)
 
 
 def test_interpolation_matches_pandas(spark):
@@ -285,8 +285,8 @@ def test_stations_of_regions(spark):
 
 def test_close_values_get_many_buckets(spark):
     counts = spark.range(20000).select((F.lit(1.7e9) + F.col("id") / 20).alias("v"), F.lit(1.0).alias("n"))
-    sizes = ranks.bucketed(counts, [], "v").groupBy("_bucket").count().agg(F.count("*"), F.max("count")).first()
-    assert sizes[0] >= 16 and sizes[1] <= 4 * 20000 / sizes[0]
+    sizes = ranks.indexed(counts, [], "v").groupBy("_bucket").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] >= 8 and sizes[1] <= 4 * 20000 / sizes[0]
 
 
 def test_null_score_never_wins(spark):
@@ -359,20 +359,165 @@ def test_reconciliation_is_coherent(spark):
             assert pdf[(pdf.unique_id == p) & (pdf.ds == d)].rec.iloc[0] == pytest.approx(total)
 
 
-def test_shrunk_covariance_matches_numpy(spark):
-    rng = np.random.default_rng(7)
-    r = rng.normal(size=(60, 4)) @ rng.normal(size=(4, 4))
-    days = pd.date_range("2020-01-05", periods=60, freq="7D")
-    rows = [(f"s{j}", d.date(), float(r[i, j])) for i, d in enumerate(days) for j in range(4)]
-    got = hierarchy.shrunk_covariance(spark.createDataFrame(rows, "unique_id string, ds date, residual double"), [f"s{j}" for j in range(4)])
-    n = 60
-    corr, sd = np.corrcoef(r.T), r.std(0, ddof=1)
-    z = r / sd
-    w = np.einsum("ki,kj->kij", z, z)
-    off = ~np.eye(4, dtype=bool)
-    mean_w = corr * (n - 1) / n
-    spread = n / (n - 1) ** 3 * ((w**2).sum(0) - n * mean_w**2)
+def dense_min_trace(residuals, yhat, parents):
+    """Reconciled forecasts by the whole covariance: residuals weeks x series, yhat dates x series, parents by place."""
+    n, m = residuals.shape
+    sd = residuals.std(0, ddof=1)
+    live = sd > 0
+    z = np.where(live, (residuals - residuals.mean(0)) / np.where(live, sd, 1), 0)
+    corr = z.T @ z / (n - 1)
+    np.fill_diagonal(corr, 1)
+    x = residuals / np.where(live, sd, 1)
+    cross = (x**2).T @ x**2
+    off = ~np.eye(m, dtype=bool)
+    spread = n / (n - 1) ** 3 * (cross - n * (corr * (n - 1) / n) ** 2)
     lam = np.clip(spread[off].sum() / (corr[off] ** 2).sum(), 0, 1)
-    want = (1 - lam) * corr
-    np.fill_diagonal(want, 1)
-    assert np.allclose(got, want * np.outer(sd, sd))
+    shrunk = (1 - lam) * corr
+    np.fill_diagonal(shrunk, 1)
+    w = shrunk * np.outer(sd, sd) + np.eye(m) * 1e-8 * max((sd**2).mean(), 1e-12)
+    leaves = [k for k in range(m) if k not in parents.values()]
+    above = {k: [k] for k in range(m)}
+    for k in leaves:
+        at = k
+        while at in parents:
+            at = parents[at]
+            above[k].append(at)
+    s = np.array([[float(i in above[k]) for k in leaves] for i in range(m)])
+    g = np.linalg.solve(s.T @ np.linalg.solve(w, s), s.T @ np.linalg.inv(w))
+    return (s @ g @ yhat.T).T
+
+
+def test_min_trace_matches_the_dense_form(spark):
+    rng = np.random.default_rng(7)
+    ids = ["T"] + [f"T/{p}" for p in "abcdef"] + [f"T/{p}/{i}" for p in "abcdef" for i in range(7)]
+    parents = {k: ids.index(i.rsplit("/", 1)[0]) for k, i in enumerate(ids) if "/" in i}
+    m, n, ahead = len(ids), 30, 3
+    resid = rng.normal(size=(n, 4)) @ rng.normal(size=(4, m)) + rng.normal(size=(n, m)) * rng.uniform(0.2, 2, m)
+    yhat = rng.uniform(1, 10, (ahead, m))
+    days = [d.date() for d in pd.date_range("2020-01-05", periods=n + ahead, freq="7D")]
+    level = [i.count("/") + 1 for i in ids]
+    base = spark.createDataFrame(
+        [(i, level[k], ids[parents[k]] if k in parents else None, days[n + t], float(yhat[t, k])) for k, i in enumerate(ids) for t in range(ahead)],
+        "unique_id string, level int, parent_id string, ds date, yhat double",
+    )
+    past = spark.createDataFrame([(i, days[t], float(resid[t, k])) for k, i in enumerate(ids) for t in range(n)], "unique_id string, ds date, residual double")
+    got = {(r.unique_id, r.ds): r.rec for r in hierarchy.min_trace(base, past, 3).collect()}
+    want = dense_min_trace(resid, yhat, parents)
+    assert len(got) == m * ahead
+    assert all(got[i, days[n + t]] == pytest.approx(want[t, k], abs=1e-6) for k, i in enumerate(ids) for t in range(ahead))
+
+
+def test_min_trace_of_unrelated_residuals_is_the_diagonal_form(spark):
+    """Weeks in which one series errs at a time: the covariance off the diagonal is all shrunk away."""
+    ids = ["T", "T/a", "T/b"]
+    days = [d.date() for d in pd.date_range("2020-01-05", periods=25, freq="7D")]
+    signs = {(t, k): (1.0 if t // 3 % 2 else -1.0) * (k + 1) if t % 3 == k else 0.0 for t in range(24) for k in range(3)}
+    past = spark.createDataFrame([(ids[k], days[t], v) for (t, k), v in signs.items()], "unique_id string, ds date, residual double")
+    base = spark.createDataFrame([(i, 1 + (k > 0), "T" if k else None, days[24], 10.0 - 3 * k) for k, i in enumerate(ids)], "unique_id string, level int, parent_id string, ds date, yhat double")
+    spread = past.groupBy("unique_id").agg(F.var_samp("residual").alias("variance"))
+    want = {r.unique_id: r.rec for r in hierarchy.wls_tree(base, spread, 2).collect()}
+    got = {r.unique_id: r.rec for r in hierarchy.min_trace(base, past, 2).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-5) for k, v in want.items()}
+
+
+def test_gamma_derivatives(spark):
+    from epipanel.functions.scalars import digamma, trigamma
+
+    xs = [1e-3, 0.1, 0.5, 1.0, 2.0, 7.25, 100.0, 1e6]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", digamma(F.col("x")).alias("d"), trigamma(F.col("x")).alias("t")).collect()
+    got = {r.x: (r.d, r.t) for r in rows}
+    assert got[1.0] == (pytest.approx(-0.5772156649015329, abs=1e-12), pytest.approx(math.pi**2 / 6, abs=1e-12))
+    assert got[0.5] == (pytest.approx(-0.5772156649015329 - 2 * math.log(2), abs=1e-12), pytest.approx(math.pi**2 / 2, abs=1e-12))
+    for x in xs:  # difference quotients of the log gamma function, and the recurrence
+        h = 1e-4 * x
+        assert got[x][0] == pytest.approx((math.lgamma(x + h) - math.lgamma(x - h)) / (2 * h), rel=1e-5, abs=1e-6)
+    assert got[2.0] == (pytest.approx(got[1.0][0] + 1, abs=1e-12), pytest.approx(got[1.0][1] - 1, abs=1e-12))
+
+
+def test_rolling_quantiles_brute_force(spark):
+    rng = np.random.default_rng(11)
+    weeks = [dt.date(2023, 1, 1) + dt.timedelta(7 * k) for k in range(40)]
+    rows = [(w, float(y), float(p)) for w in weeks if w.month != 5 for y, p in zip(rng.integers(0, 9, 5), rng.uniform(0, 8, 5))]
+    rows += [(weeks[3], 2.0, 2.0)] * 30
+    got = {r.epi_sunday: r for r in conformal.rolling_calibration(spark.createDataFrame(rows, "epi_sunday date, cases double, prediction double"), 6).collect()}
+    for w in {r[0] for r in rows}:
+        own = [abs(y - p) / (p + 0.1) for v, y, p in rows if w - dt.timedelta(42) <= v <= w - dt.timedelta(7)]
+        if not own:
+            assert w not in got
+            continue
+        level = min(1.0, math.ceil((len(own) + 1) * 0.9) / len(own))
+        assert got[w].n == len(own) and got[w].q == pytest.approx(np.quantile(own, level))
+
+
+def plain_boosting(x, y, rounds, rate, depth, penalty, own=None):
+    """Second-order boosting with every value a cut, node by node."""
+    out = np.full(len(y), y.mean())
+    models = []
+    for _ in range(rounds):
+        g = out - y
+
+        def grow(rows, left_depth):
+            value = -rate * g[rows].sum() / (len(rows) + penalty)
+            best = (1e-6, None)
+            for f in own if own is not None else range(x.shape[1]):
+                for cut in np.unique(x[rows, f])[:-1]:
+                    a, b = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                    gain = g[a].sum() ** 2 / (len(a) + penalty) + g[b].sum() ** 2 / (len(b) + penalty) - g[rows].sum() ** 2 / (len(rows) + penalty)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (f, cut, a, b))
+            if left_depth == 0 or best[1] is None:
+                return value
+            f, cut, a, b = best[1]
+            return (f, cut, grow(a, left_depth - 1), grow(b, left_depth - 1))
+
+        tree = grow(np.arange(len(y)), depth)
+        models.append(tree)
+        out = out + np.array([walk_tree(tree, row) for row in x])
+    return lambda rows: y.mean() + sum(np.array([walk_tree(t, r) for r in rows]) for t in models)
+
+
+def walk_tree(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+def test_boosting_matches_plain_trees(spark, monkeypatch):
+    from epipanel.operators import boosting
+
+    monkeypatch.setattr(boosting, "CUT_EVERY", 2)
+    monkeypatch.setattr(boosting, "ROWS_A_TASK", 60)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 9, 200), rng.normal(size=200).round(1), rng.integers(0, 2, 200)]).astype(float)
+    y = x[:, 0] * (x[:, 2] > 0) + np.abs(x[:, 1]) + rng.normal(size=200) * 0.1
+    df = spark.createDataFrame([(k, r.tolist(), float(v)) for k, (r, v) in enumerate(zip(x, y))], "k int, x array<double>, y double").repartition(3)
+    settings = boosting.Boosting(rounds=5, rate=0.3, depth=3, penalty=1.0)
+    half = F.col("k") < 120
+    jobs = [
+        boosting.Job(F.col("y"), F.lit(True), settings), boosting.Job(F.col("y"), half, settings), boosting.Job(F.col("y"), half, boosting.Boosting(rounds=3, rate=0.5, depth=2, penalty=2.0), (0, 2)),
+        boosting.Job(F.col("y"), F.lit(False), settings),
+    ]
+    got = boosting.fit_many(df, jobs)
+    assert np.allclose(got[0].predict(x), plain_boosting(x, y, 5, 0.3, 3, 1.0)(x), atol=1e-9)
+    assert np.allclose(got[1].predict(x), plain_boosting(x[:120], y[:120], 5, 0.3, 3, 1.0)(x), atol=1e-9)
+    assert np.allclose(got[2].predict(x), plain_boosting(x[:120], y[:120], 3, 0.5, 2, 2.0, (0, 2))(x), atol=1e-9)
+    assert np.isnan(got[3].predict(x)).all()
+    drawn = boosting.fit_many(df, [boosting.Job(F.col("y"), F.lit(True), boosting.Boosting(rounds=4, rate=0.3, depth=2, columns=0.4, rows=0.5))] * 2)
+    assert all(len(set(t[t > 0].tolist()) | {0}) <= 3 for t in drawn[0].feature) and not np.allclose(drawn[0].predict(x), drawn[1].predict(x))
+
+
+def test_soft_targets_of_calibration(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from epipanel.operators import textmodels
+
+    rng = np.random.default_rng(2)
+    rows = [(k, float(m), int(m + rng.normal() > 0.3)) for k, m in enumerate(rng.normal(size=400))]
+    df = spark.createDataFrame(rows, "k int, m double, l int").withColumn("_m", array_to_vector(F.array("m")))
+    t = textmodels.calibration_targets(df.withColumn("_fold", F.lit(0)), "l").first()
+    model = textmodels.sigmoid(df, "l", (t.target_pos, t.target_neg))
+    a, b = float(model.coefficients[0]), float(model.intercept)
+    m, label = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    want = np.where(label == 1, t.target_pos, t.target_neg)
+    p = 1 / (1 + np.exp(-(a * m + b)))
+    assert abs(((p - want) * m).sum()) < 1e-2 and abs((p - want).sum()) < 1e-2  # the gradient of the likelihood is zero

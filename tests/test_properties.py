@@ -1,6 +1,7 @@
 """Properties over the bound tables and streams."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -92,9 +93,64 @@ def test_smoothing_forecasts(spark):
 
 def test_filters_follow_a_level(spark):
     last = filters.trend_season_climate(series(spark, [5.0] * 80).withColumn("x", F.lit(0.0)), "x").orderBy(F.desc("ds")).first()
-    assert last.expected == pytest.approx(5.0, abs=0.2)
-    jump = filters.alarm_monitor(series(spark, [2, 3] * 30 + [40]))
-    assert [r.alarm for r in jump.orderBy("ds").collect()][-1]
+    assert last.forecast == pytest.approx(5.0, abs=0.2)
+    level = filters.local_level(series(spark, [2, 3] * 30 + [40]), m0=2.5)
+    assert [r.alarm for r in filters.alarm_monitor(level).orderBy("ds").collect()][-1]
+
+
+def test_local_level_by_hand(spark):
+    values = [1.0, 2.0, None, 4.0]
+    rows = filters.local_level(series(spark, [0.0] * 4).withColumn("y", F.get(F.array(*map(F.lit, values)), (F.datediff("ds", F.lit("2020-01-05")) / 7).cast("int"))), 0.5, 1.0, 0.3, 0.1).orderBy("ds").collect()
+    m, c, kept = 0.5, 1.0, []
+    for y in values:
+        a, r = m, c + 0.1
+        q = r + 0.3
+        m, c = (a, r) if y is None else (a + r / q * (y - a), r - (r / q) ** 2 * q)
+        kept.append((a, r, q, m, c))
+    sm, sv = kept[-1][3:]
+    smooth = [(sm, sv)]
+    for (_, _, _, m, c), (a1, r1, *_) in zip(kept[-2::-1], kept[:0:-1]):
+        sm, sv = m + c / r1 * (sm - a1), c + (c / r1) ** 2 * (sv - r1)
+        smooth.append((sm, sv))
+    for row, (a, _, q, m, c), (sm, sv) in zip(rows, kept, reversed(smooth)):
+        assert (row.forecast, row.forecast_var, row.level, row.level_var, row.smoothed, row.smoothed_var) == pytest.approx((a, q, m, c, sm, sv))
+
+
+def test_filters_do_not_look_ahead(spark):
+    """A later value changes nothing before it, but for the smoothed moments."""
+    one, other = [3.0, 5, 2, 6, 4, 3], [3.0, 5, 2, 6, 4, 90]
+    for run in (
+        lambda df: filters.local_level(df).drop("smoothed", "smoothed_var"),
+        lambda df: filters.trend_season_climate(df.withColumn("x", F.lit(1.0)), "x"),
+        filters.poisson_filter,
+        lambda df: filters.alarm_monitor(filters.local_level(df)),
+    ):
+        a, b = (run(series(spark, v)).orderBy("ds").collect() for v in (one, other))
+        assert a[:5] == b[:5] and a[5] != b[5]
+
+
+def test_monitor_restarts_where_it_stopped(spark, tmp_path):
+    """Windows in any order, over several starts of the stream: what one pass over all in order gives."""
+    from epipanel.streaming import monitor
+
+    day = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(k)
+    schema = "series string, day timestamp, y double"
+    values = {(s, k): float((7 * k + len(s) * k * k) % 9 + (60 if k == 11 else 0)) for s in ("a", "bb") for k in range(14)}
+    batches = [[("a", 0), ("bb", 1), ("a", 2), ("a", 1), ("bb", 0)], [(s, k) for s in ("bb", "a") for k in (4, 3, 2) if (s, k) != ("a", 2)], [(s, k) for s in ("a", "bb") for k in range(13, 4, -1)]]
+
+    def run(name, groups):
+        for n, group in enumerate(groups):
+            spark.createDataFrame([(s, day(k), values[s, k]) for s, k in group], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}/in")
+            with runner.stream_conf(spark, spark__sql__streaming__stateStore__providerClass=monitor.STORE):
+                out = runner.append_to_table(monitor.outbreak_monitor(monitor.count_stream(spark, f"{tmp_path}/{name}/in"), late="2 days"), f"{tmp_path}/{name}/out", f"{tmp_path}/{name}/progress")
+        return out.orderBy("series", "day").collect()
+
+    parts, whole = run("parts", batches), run("whole", [sum(batches, [])])
+    assert parts == whole and len(whole) >= 22 and any(r.alarm for r in whole)
+    frame = series(spark, [math.log1p(values["a", k]) for k in range(14)])
+    want = filters.alarm_monitor(filters.local_level(frame)).orderBy("ds").collect()
+    own = [r for r in whole if r.series == "a"]
+    assert [(r.forecast, r.factor, r.cumulative, r.alarm) for r in own] == [(pytest.approx(w.forecast), pytest.approx(w.factor), pytest.approx(w.cumulative), w.alarm) for w in want[: len(own)]]
 
 
 EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"

@@ -91,3 +91,47 @@ def test_submission(spark, tmp_path):
     wide = submission(scores, "id", ["toxic", "quality"])
     results.write_submission(wide, str(tmp_path / "s"))
     assert spark.read.csv(str(tmp_path / "s"), header=True).first().asDict() == {"id": "x", "toxic": "0.1", "quality": "0.7"}
+
+
+def test_quoted_records_are_split(spark, tmp_path):
+    """Small splits of files whose fields hold line breaks: the rows of a reader that takes whole files."""
+    import csv
+    import random
+
+    rng = random.Random(4)
+    for name, eol in (("a", "\n"), ("b", "\r\n")):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=eol)
+            out.writerow(["id", "comment_text", "toxic"])
+            for k in range(300):
+                text = "".join(rng.choice(["x", "é ", '"', "\n", ",", "\n\n", "word "]) for _ in range(rng.choice([0, 3, 40, 400 if k % 50 == 0 else 10])))
+                out.writerow([f"{name}{k}", text, k % 2])
+    with open(tmp_path / "a.csv", newline="", encoding="utf-8") as f:
+        want = {r[0]: r[1] for r in csv.reader(f)}
+    with open(tmp_path / "b.csv", newline="", encoding="utf-8") as f:
+        want |= {r[0]: r[1] for r in csv.reader(f)}
+    want.pop("id")
+    settings = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "40"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = delimited.read_labelled_text(spark, str(tmp_path), ["toxic"])
+        got = {r.id: r.comment_text for r in df.collect()}
+        from epipanel.sources.records import text_lines
+
+        assert text_lines(spark, str(tmp_path)).select("path", "block").distinct().count() > 10
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert {k: v or "" for k, v in got.items()} == {k: v for k, v in want.items()}
+
+
+def test_line_lists_of_many_files(spark, tmp_path):
+    head = ["i_class_final", "i_desc_classificacao", "i_desc_uf_res", "i_desc_radf_res", "i_data_prim_sintomas"]
+    for k in range(60):
+        names = head[k % 5 :] + ["extra"] + head[: k % 5]
+        row = {**{h: f"{h}{k}" for h in head}, "extra": '"a;b"', "i_desc_radf_res": "Ceilândia"}
+        (tmp_path / f"f {k}.csv").write_text(";".join(names) + "\n" + ";".join(row[n] for n in names) + "\n", encoding="latin-1" if k % 3 else "utf-8")
+    rows = delimited.read_columns(spark, str(tmp_path), delimited.CASE_COLUMNS).collect()
+    assert len(rows) == 60 and {r.i_desc_radf_res for r in rows} == {"Ceilândia"}
+    assert {(r.source_file, r.i_class_final) for r in rows} == {(f"f {k}.csv", f"i_class_final{k}") for k in range(60)}
