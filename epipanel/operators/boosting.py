@@ -35,6 +35,7 @@ from epipanel.session import scratch
 BINS = 256
 CUT_EVERY = 10
 ROWS_A_TASK = 50_000
+BYTES_A_TASK = 1 << 25
 LEAST_CHANGE = 1e-6
 
 
@@ -122,9 +123,9 @@ CUT = "model int, node int, feature int, code int, gain double, g double, h doub
 class Level:
     """What the tasks of a level's job need."""
 
-    def __init__(self, params: list[Boosting], done: list[list[Tree]], open_: list[Tree], level: int, round_: int, offsets: np.ndarray, total: int):
+    def __init__(self, params: list[Boosting], done: list[list[Tree]], open_: list[Tree], level: int, round_: int, offsets: np.ndarray, total: int, parts: int):
         self.params, self.done, self.open, self.level, self.round = params, done, open_, level, round_
-        self.offsets, self.total = offsets, total
+        self.offsets, self.total, self.parts = offsets, total, parts
 
     def read(self, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         models, width = len(self.params), len(self.offsets)
@@ -209,11 +210,11 @@ def fit_many(rows: DataFrame, jobs: list[Job]) -> list[Forest]:
             return [constant(float("nan"))] * len(jobs)
         cuts = cut_values(used, width)
         start = np.array([np.nan if v is None else v for v in means])
-        forests = grow(used.repartition(-(-n // ROWS_A_TASK)), folder, cuts, params, [j.inputs for j in jobs], start)
+        forests = grow(used, -(-n // ROWS_A_TASK), folder, cuts, params, [j.inputs for j in jobs], start)
     return forests
 
 
-def grow(used: DataFrame, folder: str, cuts: list[np.ndarray], params: list[Boosting], inputs: list[tuple[int, ...] | None], start: np.ndarray) -> list[Forest]:
+def grow(used: DataFrame, parts: int, folder: str, cuts: list[np.ndarray], params: list[Boosting], inputs: list[tuple[int, ...] | None], start: np.ndarray) -> list[Forest]:
     spark, width = used.sparkSession, len(cuts)
     sizes = np.array([len(c) + 1 for c in cuts])
     offsets, total = np.cumsum(sizes) - sizes, int(sizes.sum())
@@ -231,7 +232,7 @@ def grow(used: DataFrame, folder: str, cuts: list[np.ndarray], params: list[Boos
         frame.write.parquet(f"{folder}/{name}")
         return spark.read.schema(STATE).parquet(f"{folder}/{name}")
 
-    state = written(used.withColumn("rid", F.xxhash64("x", "y")).mapInArrow(prepared, STATE), 0)
+    state = written(used.repartition(parts).withColumn("rid", F.xxhash64("x", "y")).mapInArrow(prepared, STATE), 0)
     trees: list[list[Tree]] = [[] for _ in models]
     since: list[list[Tree]] = [[] for _ in models]
     draws = [np.random.default_rng((p.seed, m)) for m, p in enumerate(params)]
@@ -241,14 +242,14 @@ def grow(used: DataFrame, folder: str, cuts: list[np.ndarray], params: list[Boos
         open_ = [Tree.empty(p.depth) for p in params]
         for level in range(max((params[m].depth for m in live), default=0)):
             shown = [p if m in allowed else Boosting(depth=0) for m, p in enumerate(params)]
-            now = Level(shown, since, open_, level, round_, offsets, total)
+            now = Level(shown, since, open_, level, round_, offsets, total, parts)
             if not settle(now, best_cuts(state, now, allowed, sizes)):
                 break
         for m in live:
             trees[m].append(open_[m])
             since[m].append(open_[m])
         if (round_ + 1) % CUT_EVERY == 0:
-            state = written(moved(state, Level(params, since, open_, 0, round_, offsets, total)), round_ + 1)
+            state = written(moved(state, Level(params, since, open_, 0, round_, offsets, total, parts)), round_ + 1)
             since = [[] for _ in models]
     return [forest_of(start[m], trees[m], cuts, params[m].depth) for m in models]
 
@@ -285,7 +286,8 @@ def best_cuts(state: DataFrame, level: Level, allowed: dict[int, np.ndarray], si
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names=names)
 
     summed = state.mapInArrow(level.sums, HISTOGRAM)
-    tasks = min(len(level.params) * 2**level.level, int(state.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    nodes = len(allowed) * 2**level.level
+    tasks = max(1, min(nodes, nodes * level.total * 16 * level.parts // BYTES_A_TASK))
     return summed.repartition(tasks, "model", "node").sortWithinPartitions("model", "node").mapInArrow(settled, CUT).collect()
 
 
