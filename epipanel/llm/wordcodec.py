@@ -1,19 +1,20 @@
 """Encoding of whole texts with a word-BPE file, by tokenizing each distinct piece of text once.
 
 White space never joins what stands on its two sides: the file's normalizer turns it to a space and the
-pre-tokenizer drops it. So a text may be cut there and the ids of its pieces joined. Texts in ASCII and
-the accented Latin letters, already composed, are cut further, at the file's own pre-token borders
-after lower-casing. Other texts, and those holding a special token's string, are cut at spaces only.
+pre-tokenizer drops it. So a text may be cut there and the ids of its pieces joined. In ASCII and the
+accented Latin letters, already composed, a word not met before is cut further, at the file's own pre-token
+borders after lower-casing. Other texts, and those holding a special token's string, are cut at spaces only.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-#: Entries that a worker remembers before it starts anew: bounds its memory.
+#: Entries of each kind that a worker remembers: bounds its memory.
 MEMO = 600_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: Contraction endings and character classes of the public tokenizer file's split pattern.
@@ -22,6 +23,35 @@ COARSE = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 SPECIAL = "<|"
 
 
+class Memo:
+    """ids of pieces. When half of ``MEMO`` is new, what was older is dropped and the rest kept as old, so pieces
+    that come again stay."""
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes]]):
+        self.learn = learn
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def prepare(self, pieces: set[str]) -> None:
+        """Have the ids of all pieces at hand."""
+        missing = pieces.difference(self.new)
+        if not missing:
+            return
+        if self.new and len(self.new) + len(missing) > MEMO // 2:
+            self.old, self.new, missing = self.new, {}, pieces
+        unknown = []
+        for piece in missing:
+            ids = self.old.get(piece)
+            if ids is None:
+                unknown.append(piece)
+            else:
+                self.new[piece] = ids
+        self.new.update(zip(unknown, self.learn(unknown), strict=True))
+
+    def joined(self, pieces: list[str]) -> bytes:
+        return b"".join(map(self.new.__getitem__, pieces))
+
+
 class WordCodec:
     """ids of a text as little-endian unsigned 32-bit integers, and their decoding."""
 
@@ -37,58 +67,49 @@ class WordCodec:
         for token, number in vocab.items():
             self.tokens[number] = token.encode()
             self.last[number] = token.endswith("</w>")
-        self.fine: dict[str, bytes] = {}
-        self.coarse: dict[str, bytes] = {}
+        self.words, self.fine, self.coarse = Memo(self.learn_words), Memo(self.learn_fine), Memo(self.learn_coarse)
 
-    def pieces(self, text: str) -> tuple[list[str], dict[str, bytes]]:
+    def cut(self, text: str) -> tuple[list[str], Memo]:
         if SPECIAL not in text and PLAIN.fullmatch(text):
-            return FINE.findall(text.lower()), self.fine
+            return text.lower().split(), self.words
         return COARSE.findall(text), self.coarse
 
     def encode(self, text: str) -> bytes:
         """ids of the whole text, four bytes each."""
-        words, memo = self.pieces(text)
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            pass
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        self.learn(new, memo)
-        return b"".join(map(memo.__getitem__, words))
+        pieces, memo = self.cut(text)
+        memo.prepare(set(pieces))
+        return memo.joined(pieces)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """As ``encode``, with the unknown pieces of all texts tokenized in one go."""
-        cut = [self.pieces(t) for t in texts]
-        for memo in (self.fine, self.coarse):
-            if len(memo) > MEMO:
-                memo.clear()
-            new: dict[str, None] = {}
-            for words, own in cut:
-                if own is memo:
-                    new.update(dict.fromkeys(set(words).difference(memo)))
-            self.learn(list(new), memo)
-        return [b"".join(map(memo.__getitem__, words)) for words, memo in cut]
-
-    def learn(self, words: list[str], memo: dict[str, bytes]) -> None:
+        cut = [self.cut(t) for t in texts]
+        for memo in (self.words, self.coarse):
+            memo.prepare(set().union(*(pieces for pieces, own in cut if own is memo)))
+        return [memo.joined(pieces) for pieces, memo in cut]
+
+    def learn_words(self, words: list[str]) -> list[bytes]:
+        cut = [FINE.findall(w) for w in words]
+        self.fine.prepare({piece for pieces in cut for piece in pieces})
+        return [self.fine.joined(pieces) for pieces in cut]
+
+    def learn_coarse(self, words: list[str]) -> list[bytes]:
+        return [np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes() for word in words]
+
+    def learn_fine(self, words: list[str]) -> list[bytes]:
         """Tokenize new pieces in lines of 500 words; every plain word ends with one end-of-word token."""
-        if memo is self.coarse:
-            for word in words:
-                memo[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            return
-        lines = [words[k : k + 500] for k in range(0, len(words), 500)]
-        for line in lines:
+        out: list[bytes] = []
+        for k in range(0, len(words), 500):
+            line = words[k : k + 500]
             ids = np.array(self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(line):  # a piece of another shape: one at a time
-                for word in line:
-                    memo[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                out += self.learn_coarse(line)
                 continue
             raw, start = ids.tobytes(), 0
-            for word, end in zip(line, (4 * ends).tolist(), strict=True):
-                memo[word] = raw[start:end]
+            for end in (4 * ends).tolist():
+                out.append(raw[start:end])
                 start = end
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text: the file names no decoder, so tokens are joined by spaces."""
