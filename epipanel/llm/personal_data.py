@@ -18,18 +18,22 @@ corpus the model is fitted on generated rows alone; other columns are ignored or
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import hash_sample, sha256_hex, stored, texts, with_texts
+from epipanel.llm.common import sha256_hex, stored, texts, with_texts
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 8_000
+#: Candidates of a text that are held and scored at a time.
+SLICE = 4_096
 PRECISION = 0.99
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -100,33 +104,53 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def candidates(text: str, taken: list[Span]) -> list[Span]:
-    """Everything that could be personal data and does not touch a base span."""
+def proposals(text: str, taken: list[Span]) -> Iterator[list[Span]]:
+    """Everything that could be personal data and does not touch a base span, ``SLICE`` or a few more at a time."""
+    marks = marked(bytearray(len(text)), taken) if taken else None
     found: list[Span] = []
+
+    def free(spans: list[Span]) -> list[Span]:
+        return spans if marks is None else [s for s in spans if marks.find(1, s[1], s[2]) < 0]
+
     if MAIL_CORE.search(text):
-        for m in MAIL.finditer(text):
-            found.append(("email", *m.span()))
+        found += [("email", *m.span()) for m in MAIL.finditer(text)]
     for m in NUMBER.finditer(text):
-        groups = [g.span() for g in GROUP.finditer(text, *m.span())]
-        for k, (a, _) in enumerate(groups):
+        ahead: deque[tuple[int, int]] = deque()  # the groups that a run from the next one may reach: 19 digits
+        groups, n_ahead, done = GROUP.finditer(text, *m.span()), 0, False
+        while True:
+            while not done and n_ahead <= 19:
+                group = next(groups, None)
+                if group is None:
+                    done = True
+                else:
+                    ahead.append(group.span())
+                    n_ahead += group.end() - group.start()
+            if not ahead:
+                break
+            a = first = ahead[0][0]
             while a > m.start() and text[a - 1] in "+(":
                 a -= 1
             n = 0
-            for j in range(k, len(groups)):
-                b = groups[j][1]
-                n += b - groups[j][0]
+            for j, (start, b) in enumerate(ahead):
+                n += b - start
                 if n > 19:
                     break
-                if j == k + 3 and n <= 12 and (n >= 7 or text.count(".", a, b) + text.count("dot", a, b) >= 3):
+                if j == 3 and n <= 12 and (n >= 7 or text.count(".", a, b) + text.count("dot", a, b) >= 3):
                     found.append(("ip", a, b))
                 if 7 <= n <= 15:
                     found.append(("phone", a, b))
                 if n >= 12:
                     found.append(("card", a, b))
-    if taken and found:
-        marks = marked(bytearray(len(text)), taken)
-        found = [s for s in found if marks.find(1, s[1], s[2]) < 0]
-    return in_order(list(dict.fromkeys(found)))
+            n_ahead -= ahead.popleft()[1] - first
+            if len(found) >= SLICE:
+                yield in_order(free(found))
+                found = []
+    yield in_order(free(found))
+
+
+def candidates(text: str, taken: list[Span]) -> list[Span]:
+    """All proposals for a short text."""
+    return in_order([s for some in proposals(text, taken) for s in some])
 
 
 def marked(marks: bytearray, spans: list[Span]) -> bytearray:
@@ -317,29 +341,55 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b[0] for b in blocks]), np.array([b[1] for b in blocks])
 
 
+class Sample:
+    """Of all rows it is shown, the ``size`` distinct ones of the smallest hashes."""
+
+    def __init__(self, size: int):
+        self.size, self.limit = size, 1 << 64
+        self.rows: dict[tuple, int] = {}
+
+    def show(self, row: tuple) -> None:
+        h = xxhash.xxh64_intdigest("\0".join(row))
+        if h < self.limit:
+            self.rows[row] = h
+            if len(self.rows) >= 2 * self.size:
+                self.settle()
+
+    def settle(self) -> dict[tuple, int]:
+        if len(self.rows) > self.size:
+            kept = sorted(self.rows.items(), key=lambda r: (r[1], r[0]))[: self.size]
+            self.rows, self.limit = dict(kept), kept[-1][1]
+        return self.rows
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
+    """Every task sends the rows of the smallest hashes of each label, at most ``sample_rows`` / 2, so what is
+    sampled does not depend on how rows are dealt out, and what leaves a task is bounded."""
+    size = max(1, sample_rows // 2)
+
     def propose(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = (Sample(size), Sample(size))  # half of each label: a chain has many more parts that fail than numbers
         for part in parts:
-            out: list[tuple] = []
             for text in part.column("text").to_pylist():
                 if not NUMBER_HINT.search(text) and not MAIL_CORE.search(text):
                     continue
                 base = base_spans(text)
                 for kind, a, b in base:
-                    out.append((kind, text[max(0, a - 24) : a], text[a:b], text[b : b + 12], 1))
-                for kind, a, b in candidates(text, base):
-                    if provably_not(kind, text[a:b]):
-                        out.append((kind, text[max(0, a - 24) : a], text[a:b], text[b : b + 12], 0))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string() if k < 4 else pa.int32()) for k, c in enumerate(columns)], names=["kind", "lead", "own", "tail", "label"]
-            )
-
-    found = texts(docs).select("text").mapInArrow(propose, "kind string, lead string, own string, tail string, label int")
-    found = stored(found.groupBy("kind", "lead", "own", "tail").agg(F.max("label").alias("label")))
-    key = ("kind", "lead", "own", "tail")  # half of each label: a chain has many more parts that fail than numbers
-    halves = [hash_sample(found.where(F.col("label") == label), sample_rows // 2, *key) for label in (0, 1)]
-    rows = halves[0].unionByName(halves[1]).toPandas().sort_values(["kind", "lead", "own", "tail"])
+                    samples[1].show((kind, text[max(0, a - 24) : a], text[a:b], text[b : b + 12]))
+                for some in proposals(text, base):
+                    for kind, a, b in some:
+                        if provably_not(kind, text[a:b]):
+                            samples[0].show((kind, text[max(0, a - 24) : a], text[a:b], text[b : b + 12]))
+        for label, sample in enumerate(samples):
+            rows = [(*row, label, h - (1 << 63)) for row, h in sample.settle().items()]
+            if rows:
+                kinds = (pa.string(),) * 4 + (pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "lead", "own", "tail", "label", "place"])
+
+    shown = texts(docs).select("text").mapInArrow(propose, "kind string, lead string, own string, tail string, label int, place long")
+    shown = stored(shown.groupBy("kind", "lead", "own", "tail").agg(F.max("label").alias("label"), F.max("place").alias("place")))
+    halves = [shown.where(F.col("label") == label).orderBy("place", "kind", "lead", "own", "tail").limit(size) for label in (0, 1)]
+    rows = halves[0].unionByName(halves[1]).drop("place").toPandas().sort_values(["kind", "lead", "own", "tail"])
     rng = np.random.default_rng(7)
     good, good_text, bad, bad_text = generated(rng)
     x = [described(k, t, a, b) for (k, a, b), t in zip(good + bad, good_text + bad_text, strict=True)]
@@ -369,17 +419,18 @@ def added_spans(text: str, base: list[Span], model: Trees) -> list[Span]:
     """Candidates whose calibrated probability reaches their kind's threshold; of overlapping ones the likeliest."""
     if not NUMBER_HINT.search(text) and not MAIL_CORE.search(text):
         return []
-    proposed = [s for s in candidates(text, base) if not provably_not(s[0], text[s[1] : s[2]])]
-    if not proposed:
-        return []
-    p = model.probability(np.array([described(k, text, a, b) for k, a, b in proposed], float))
+    likely: list[tuple[float, int, int, int]] = []
+    for some in proposals(text, base):
+        some = [s for s in some if not provably_not(s[0], text[s[1] : s[2]])]
+        if some:
+            p = model.probability(np.array([described(k, text, a, b) for k, a, b in some], float)).tolist()
+            likely += [(-x, a, KINDS.index(k), b) for x, (k, a, b) in zip(p, some, strict=True) if x >= model.cuts[k]]
     chosen: list[Span] = []
-    marks = bytearray(len(text))
-    for k in np.argsort(-p, kind="stable").tolist():
-        span = proposed[k]
-        if p[k] >= model.cuts[span[0]] and marks.find(1, span[1], span[2]) < 0:
-            chosen.append(span)
-            marked(marks, [span])
+    marks = bytearray(len(text)) if likely else b""
+    for _, a, k, b in sorted(likely):
+        if marks.find(1, a, b) < 0:
+            chosen.append((KINDS[k], a, b))
+            marked(marks, chosen[-1:])
     return chosen
 
 
