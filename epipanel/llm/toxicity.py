@@ -2,8 +2,9 @@
 
 Words written with digits and signs for letters, with letters set apart or repeated become lattices of
 what each sign may stand for. A Viterbi search picks the reading that is likeliest under a character
-4-gram model, counted over the whole corpus, and the cost of each substitution. Words without such
-signs have one reading only and are not searched.
+4-gram model, counted over the whole corpus, and the cost of each substitution. Of the states at a sign the
+``BEAM`` likeliest are followed, fewer than there are only behind two blanked letters. Words without such
+signs, with letters doubled only, or with an exclamation mark behind them stay as they are written.
 
 A logistic model scores the restored words: whole words and word beginnings. It is fitted on a bounded
 sample of labelled rows (about ``SAMPLE_ROWS``, the smallest hashes of doc_id) with at most ``FEATURES``
@@ -49,7 +50,7 @@ APART = " ._-·'~"
 SUSPECT = re.compile(
     r"(?<![^\s\"(])(?=\S*[^\W\d_])[0-9@$!|+€£¡*#]+[^\W\d_]\S*"  # a sign, then letters
     r"|[^\W\d_]+[0-9@$!|+€£¡*#]+[^\W\d_]\S*"  # a sign between letters
-    r"|[^\W\d_]+[0-9@$]{2,}(?!\S)"  # signs at the end
+    r"|[^\W\d_]+(?:[0-9@$!|+€£¡*#]+[0-9@$|+€£*#]|[0-9@$|+€£*#])(?=[.,;:?)\"']*(?!\S))"  # signs at the end
     r"|[^\W_]*([^\W\d_])\1\1[^\W_]*"  # a letter three times
     r"|(?<!\w)[^\W\d_](?:[ ._·'~-]{1,2}[^\W_]){3,}(?!\w)"  # letters set apart
     r"|[^\W\d_]{1,3}(?:[._·~-][^\W\d_]{1,3}){2,}"
@@ -68,11 +69,14 @@ def _sign_table() -> np.ndarray:
 
 @cache
 def tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: letter class; 1 for a sign written for letters, 2 for a mark between letters, 4 for white space."""
+    """By code point: letter class; 1 for a sign written for letters, 2 for a mark between letters, 4 for white space,
+    8 for a sign that may end a word, 16 for a digit."""
     kind = np.zeros(0x10000, np.uint8)
     kind[[ord(c) for c in LEET]] = 1
     kind[[ord(c) for c in APART]] |= 2
     kind[[k for k in range(0x10000) if chr(k).isspace()]] |= 4
+    kind[[ord(c) for c in LEET if c not in "!¡"]] |= 8
+    kind[[k for k in range(0x10000) if chr(k).isdigit()]] |= 16
     return _sign_table(), kind
 
 
@@ -94,11 +98,14 @@ def suspects(text: str) -> list[tuple[int, int]]:
     at = at[(at > 0) & (at < len(codes) - 2)]
     sign, mark = kind[at] & 1 > 0, (kind[at] & 2 > 0) & (kind[at] & 4 == 0)
     before, after = letter[at - 1], letter[at + 1]
-    hits = [at[(sign & after) | (sign & before & (kind[at + 1] & 1 > 0)) | (mark & before & after)]]
+    ends = kind[at] & 8 > 0
+    hits = [at[(sign & after) | (ends & before) | (sign & before & (kind[at + 1] & 1 > 0)) | (mark & before & after)]]
     same = np.flatnonzero((codes[1:-1] == codes[:-2]) & (codes[1:-1] == codes[2:]) & letter[1:-1])
     hits.append(same + 1)
-    wide = np.flatnonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:]) + 1
-    close = np.flatnonzero(wide[3:] - wide[:-3] <= 9) if len(wide) > 3 else np.zeros(0, int)
+    alone = letter | (kind & 16 > 0)
+    wide = np.flatnonzero(alone[1:-1] & ~alone[:-2] & ~alone[2:]) + 1
+    known = letter[wide]
+    close = np.flatnonzero((wide[3:] - wide[:-3] <= 9) & (known[3:] | known[2:-1] | known[1:-2] | known[:-3])) if len(wide) > 3 else np.zeros(0, int)
     spans: list[tuple[int, int]] = []
     if not len(close) and not any(map(len, hits)):
         return spans
@@ -144,14 +151,14 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
-def arcs(run: str) -> list[tuple[str, float]]:
-    """Readings of a run of one sign, with their log costs."""
+def arcs(run: str, last: bool = False) -> list[tuple[str, float]]:
+    """Readings of a run of one sign, with their log costs; a word's last one may well be no letter."""
     char, times = run[0], len(run)
     if char.isalpha():
         if times == 1:
             return [(char, 0.0)]
         return [(char * 2, 0.0), (char, -2.0)] if times == 2 else [(char, -0.5), (char * 2, -0.7)]
-    out = [("", -0.3), (" ", -0.7)] if char in APART else [("", -5.0), (" ", -6.0)]
+    out = [("", -0.3), (" ", -0.7)] if char in APART else [("", -3.0 if last and char in "*#|+" else -5.0), (" ", -6.0)]
     for letter in LEET.get(char, ""):
         price = -1.0 if len(LEET[char]) < 4 else -4.0
         out.append((letter, price))
@@ -168,9 +175,9 @@ def restore(token: str, model: np.ndarray) -> str:
     runs = [m[0] for m in re.finditer(r"(.)\1*", token.lower(), re.DOTALL)]
     if any(len(LEET.get(r[0], "")) > 4 and len(r) > 1 for r in runs):
         runs = [c for r in runs for c in (r if len(LEET.get(r[0], "")) > 4 else [r])]
-    for run in [*runs, None]:
+    for k, run in enumerate([*runs, None]):
         after: dict[tuple[int, int, int], tuple[float, str]] = {}
-        for reading, price in arcs(run) if run else [(" ", 0.0)]:
+        for reading, price in arcs(run, k == len(runs) - 1) if run else [(" ", 0.0)]:
             classes = signs(reading).tolist()
             for state, (score, text) in states.items():
                 a, b, c = state

@@ -107,8 +107,20 @@ def test_obfuscated_words_are_restored(grams):
     assert model.clean("plain words, nothing else") == "plain words, nothing else"
 
 
+def test_signs_at_the_end_and_among_set_apart_letters(grams):
+    model = toxicity.Model(grams, -3.0)
+    for written, meant in (("idio7", "idiot"), ("idio+", "idiot"), ("idio7,", "idiot"), ("moro#", "moron"), ("clow*.", "clown"), ("i d 1 0 t", "idiot"), ("m 0 r o n", "moron")):
+        assert meant in toxicity.WORDS.findall(model.clean(f"the {written} and")), written
+    for plain in ("stupid!", "the idiot! and", "trash?", "1 2 3 4 5", "12 b 34"):
+        assert model.clean(plain) == plain
+
+
 def test_windows_find_all_that_the_pattern_finds(grams, sf):
     model = toxicity.Model(grams, -3.0)
+    rng = np.random.default_rng(8)
+    for _ in range(4000):
+        text = "".join(rng.choice(list("aabcc1$*!.- \n,#7"), rng.integers(1, 16)))
+        assert model.clean(text) == toxicity.SUSPECT.sub(model.restored, text), text
     for _, text in texts(sf):
         assert model.clean(text) == toxicity.SUSPECT.sub(model.restored, text)
 
