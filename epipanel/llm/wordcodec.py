@@ -21,6 +21,10 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 FINE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 COARSE = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 SPECIAL = "<|"
+MARKS = ".,;:!?"
+#: Bytes that are no printable Latin-1 character are written as characters from 256 on, in their order.
+UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_CHARS = {b: 256 + k for k, b in enumerate(UNPRINTED)}
 
 
 class Memo:
@@ -39,13 +43,9 @@ class Memo:
             return
         if self.new and len(self.new) + len(missing) > MEMO // 2:
             self.old, self.new, missing = self.new, {}, pieces
-        unknown = []
-        for piece in missing:
-            ids = self.old.get(piece)
-            if ids is None:
-                unknown.append(piece)
-            else:
-                self.new[piece] = ids
+        again = missing & self.old.keys()
+        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        unknown = list(missing - again)
         self.new.update(zip(unknown, self.learn(unknown), strict=True))
 
     def joined(self, pieces: list[str]) -> bytes:
@@ -63,10 +63,10 @@ class WordCodec:
         self.tokenizer.no_padding()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.tokens = [b""] * (max(vocab.values()) + 1)
-        self.last = np.zeros(len(self.tokens), bool)
         for token, number in vocab.items():
             self.tokens[number] = token.encode()
-            self.last[number] = token.endswith("</w>")
+        raw = np.arange(len(self.tokens), dtype="<u4").tobytes()
+        self.four_bytes = [raw[k : k + 4] for k in range(0, len(raw), 4)]
         self.words, self.fine, self.coarse = Memo(self.learn_words), Memo(self.learn_fine), Memo(self.learn_coarse)
 
     def cut(self, text: str) -> tuple[list[str], Memo]:
@@ -88,28 +88,24 @@ class WordCodec:
         return [memo.joined(pieces) for pieces, memo in cut]
 
     def learn_words(self, words: list[str]) -> list[bytes]:
-        cut = [FINE.findall(w) for w in words]
-        self.fine.prepare({piece for pieces in cut for piece in pieces})
-        return [self.fine.joined(pieces) for pieces in cut]
+        """A word of letters alone, or with one mark behind them, is one piece or two; others are cut."""
+        cut = {w: FINE.findall(w) for w in words if not w.isalpha() and not (w[-1] in MARKS and w[:-1].isalpha())}
+        pieces = {p for own in cut.values() for p in own}
+        pieces.update(w if w[-1] not in MARKS else w[:-1] for w in words if w not in cut)
+        pieces.update(MARKS)
+        self.fine.prepare(pieces)
+        ids = self.fine.new
+        return [ids[w] if w.isalpha() else ids[w[:-1]] + ids[w[-1]] if w not in cut else self.fine.joined(cut[w]) for w in words]
 
     def learn_coarse(self, words: list[str]) -> list[bytes]:
         return [np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes() for word in words]
 
     def learn_fine(self, words: list[str]) -> list[bytes]:
-        """Tokenize new pieces in lines of 500 words; every plain word ends with one end-of-word token."""
-        out: list[bytes] = []
-        for k in range(0, len(words), 500):
-            line = words[k : k + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(line):  # a piece of another shape: one at a time
-                out += self.learn_coarse(line)
-                continue
-            raw, start = ids.tobytes(), 0
-            for end in (4 * ends).tolist():
-                out.append(raw[start:end])
-                start = end
-        return out
+        """Tokenize new pre-tokens: they are what the file's own splitting gives, so its model alone is asked, on
+        their bytes written as the file writes them."""
+        model, ids = self.tokenizer.model, self.four_bytes
+        spelled = (w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARS) for w in words)
+        return [b"".join([ids[t.id] for t in model.tokenize(w)]) for w in spelled]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text: the file names no decoder, so tokens are joined by spaces."""
