@@ -4,7 +4,7 @@ Words written with digits and signs for letters, with letters set apart or repea
 what each sign may stand for. A Viterbi search picks the reading that is likeliest under a character
 4-gram model, counted over the whole corpus, and the cost of each substitution. Of the states at a sign the
 ``BEAM`` likeliest are followed, fewer than there are only behind two blanked letters. Words without such
-signs, with letters doubled only, or with an exclamation mark behind them stay as they are written.
+signs, with letters doubled only, or with an exclamation mark or three blanks behind them stay as they are written.
 
 A logistic model scores the restored words: whole words and word beginnings. It is fitted on a bounded
 sample of labelled rows (about ``SAMPLE_ROWS``, the smallest hashes of doc_id) with at most ``FEATURES``
@@ -50,7 +50,7 @@ APART = " ._-·'~"
 SUSPECT = re.compile(
     r"(?<![^\s\"(])(?=\S*[^\W\d_])[0-9@$!|+€£¡*#]+[^\W\d_]\S*"  # a sign, then letters
     r"|[^\W\d_]+[0-9@$!|+€£¡*#]+[^\W\d_]\S*"  # a sign between letters
-    r"|[^\W\d_]+(?:[0-9@$!|+€£¡*#]+[0-9@$|+€£*#]|[0-9@$|+€£*#])(?=[.,;:?)\"']*(?!\S))"  # signs at the end
+    r"|[^\W\d_]+(?:[0-9@$!|+€£¡]*[0-9@$|+€£]|[*#]{1,2})(?=[.,;:?)\"']*(?!\S))"  # signs at the end
     r"|[^\W_]*([^\W\d_])\1\1[^\W_]*"  # a letter three times
     r"|(?<!\w)[^\W\d_](?:[ ._·'~-]{1,2}[^\W_]){3,}(?!\w)"  # letters set apart
     r"|[^\W\d_]{1,3}(?:[._·~-][^\W\d_]{1,3}){2,}"
