@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from epipanel.catalog.forecasts import _split
 from epipanel.catalog.registry import define, query, r6, rounded, s6, with_ctes
 from epipanel.operators import experiments, learners, recursion
+from epipanel.operators.metrics import rmse
 from epipanel.plans import bindings as b
 from epipanel.plans.features import FeatureSet, feature_set
 from epipanel.session import reliable_checkpoint
@@ -213,12 +214,50 @@ def q_m8(spark, sf):
     return experiments.tune(b.full_panel(spark, sf), "lag-only", grids, YEAR)[0]
 
 
+@query(
+    "m9_ablation_stumps",
+    with_ctes("onelag", "onerate", tr="""select 0 as grp, x, y from onelag where epi_sunday < date '2000-01-01' union all select 1, x, y from onerate where epi_sunday < date '2000-01-01'""", **stumps_sql("tr"))
+    + f"""select 'one-lag' as config, 'XGB' as modelo, ra, epi_sunday, {s6(cases_sql('x'), 'prediction')} from onelag join second on grp = 0 where year(epi_sunday) = 2000
+      union all select 'one-rate', 'XGB', ra, epi_sunday, {s6(cases_sql('x') + ' * populacao / 100000.0::double')} from onerate join second on grp = 1 where year(epi_sunday) = 2000""",
+)
+def q_m9_stumps(spark, sf):
+    """Two configurations of different targets, grown in one batch."""
+    out = experiments.ablation(b.full_panel(spark, sf), YEAR, {"XGB": STUMPS}, [ONE_LAG, ONE_RATE])["predictions"]
+    return out.select("config", "modelo", "ra", "epi_sunday", r6("prediction").alias("prediction"))
+
+
 @query("m9_ablation")
 def q_m9(spark, sf):
     out = experiments.ablation(b.full_panel(spark, sf), YEAR, {"RF": RF, "XGB": BOOST})
     return out["summary"]
 
 
+@query(
+    "m10_rolling_stumps",
+    with_ctes(
+        "onelag", hw="select distinct epi_sunday from lagged where epi_sunday < date '2000-01-01' order by 1 desc limit 26",
+        tr="select 1 as grp, x, y from onelag where epi_sunday < (select min(epi_sunday) from hw)", **stumps_sql("tr"),
+        held=f"select ra, cases, least(row_number() over (partition by ra order by epi_sunday), 4) as k, {cases_sql('x')} as p from onelag join hw using (epi_sunday), second",
+        eps="select greatest(0.1::double, quantile_cont(p, 0.1)) as e from held",
+        sc="select k, abs(cases - p) / (p + e) as v from held, eps",
+        sz="select k, count(*) as n from sc group by k",
+        pool="select sz.k, list_sort(list(v)) as l from sz join sc on sc.k = sz.k or (sz.n < 30 and sc.k >= sz.k) group by sz.k",
+        lv="select k, l, (len(l) - 1) * least(1.0::double, ceil((len(l) + 1) * 0.9::double) / len(l)) as place from pool",
+        q="select k, l[cast(floor(place) as bigint) + 1] + (l[cast(ceil(place) as bigint) + 1] - l[cast(floor(place) as bigint) + 1]) * (place - floor(place)) as q from lv",
+        h="select ra, arg_max(cases, epi_sunday) as last from rated where epi_sunday < date '2000-01-01' group by ra",
+        t="select ra, epi_sunday, row_number() over (partition by ra order by epi_sunday) as i from rated where year(epi_sunday) = 2000",
+        r=f"select ra, 0::bigint as i, last as p from h union all select r.ra, r.i + 1, {cases_sql('r.p')} from r join t on t.ra = r.ra and t.i = r.i + 1, second",
+        modes=f"""select 'nowcasting_rolling' as modo, ra, epi_sunday, 1 as k, {cases_sql('x')} as p from onelag, second where year(epi_sunday) = 2000
+          union all select 'forecast_fechado_recursivo', ra, epi_sunday, least(i, 4), p from t join r using (ra, i)""",
+    ).replace("with ", "with recursive ", 1).replace("\nsecond as (", "\nsecond as materialized (").replace("\nlagged as (", "\nlagged as materialized (")
+    + f"""select modo, ra, epi_sunday, {s6('p', 'prediction')}, {s6('greatest(p - q * (p + e), 0)', 'lower_ci')}, {s6('p + q * (p + e)', 'upper_ci')} from modes join q using (k), eps""",
+)
+def q_m10_stumps(spark, sf):
+    """One-step and closed forecasts with bands from held-out weeks."""
+    out = experiments.rolling_validation(b.full_panel(spark, sf), YEAR, ONE_LAG, "XGB", STUMPS)["predictions"]
+    return rounded(out.select("modo", "ra", "epi_sunday", "prediction", "lower_ci", "upper_ci"), "prediction", "lower_ci", "upper_ci")
+
+
 @query("m10_rolling_validation")
 def q_m10(spark, sf):
     """At full size: 150 trees of depth 15."""
@@ -287,6 +326,55 @@ def q_m18_stumps(spark, sf):
     return rounded(experiments.legacy_evaluation(b.full_panel(spark, sf), YEAR, {"XGB": STUMPS}, ONE_LAG), "r2", "mae", "rmse")
 
 
+@query(
+    "m4_model_factory",
+    with_ctes("onelag", tr="select 1 as grp, * from onelag where epi_sunday < date '2000-01-01'", **stumps_sql("tr"), w="select regr_intercept(y, x) as a, regr_slope(y, x) as b from tr")
+    + f"""select 'LIN' as modelo, count(*) as n, {s6(f'sqrt(avg(pow(cases - {BACK}, 2)))', 'rmse')} from onelag, w where year(epi_sunday) = 2000
+      union all select 'XGB', count(*), {s6(f"sqrt(avg(pow(cases - {cases_sql('x')}, 2)))")} from onelag, second where year(epi_sunday) = 2000""",
+)
+def q_m4(spark, sf):
+    """Models by name, with overrides, through one call."""
+    panel, rows = _panel(spark, sf), []
+    for name, params in (("LIN", None), ("XGB", STUMPS)):
+        out = learners.fit_and_predict(panel, ONE_LAG, name, params, YEAR).predictions
+        rows.append(out.groupBy(F.lit(name).alias("modelo")).agg(F.count("*").alias("n"), r6(rmse()).alias("rmse")))
+    return rows[0].unionByName(rows[1])
+
+
+define("waves", "select unique_id, ds, y, lag(y) over (partition by unique_id order by ds) as x0, cast(week(ds) as double) as x1, cast(month(ds) as double) as x2 from train", "train")
+
+
+def _three_sql(margin: str, trees: str, name: str) -> dict[str, str]:
+    """The best cut among three inputs (lowest input, then lowest value on ties), penalty 1, rate 0.5."""
+    return {
+        f"{name}v": f"select f, [x0, x1, x2][f + 1] as x, sum({margin} - y) as g, count(*)::double as h from waves, {trees}, (select unnest([0, 1, 2]) as f) where x0 is not null group by all",
+        f"{name}k": f"select f, x, sum(g) over w as lg, sum(h) over w as lh, sum(g) over (partition by f) as tg, sum(h) over (partition by f) as th from {name}v window w as (partition by f order by x)",
+        f"{name}b": f"""select f as {name}f, x as {name}c, -0.5::double * lg / (lh + 1) as {name}l, -0.5::double * (tg - lg) / (th - lh + 1) as {name}r from {name}k where th > lh
+            order by lg * lg / (lh + 1) + pow(tg - lg, 2) / (th - lh + 1) - tg * tg / (th + 1) desc, f, x limit 1""",
+        name: f"select * from {trees}, {name}b",
+    }
+
+
+def _leaf_sql(name: str, lag: str, ds: str) -> str:
+    return f"case when [{lag}, cast(week({ds}) as double), cast(month({ds}) as double)][{name}f + 1] <= {name}c then {name}l else {name}r end"
+
+
+@query(
+    "m14_global_stumps",
+    with_ctes(
+        "waves", start="select avg(y) as s from waves where x0 is not null",
+        **_three_sql("s", "start", "one"), **_three_sql(f"(s + {_leaf_sql('one', 'x0', 'ds')})", "one", "two"),
+    ).replace("with ", "with recursive ", 1).replace("\ntrain as (", "\ntrain as materialized (").replace("\ntwo as (", "\ntwo as materialized (")
+    + f""", r as (select unique_id, max(ds) as ds, 0 as h, arg_max(y, ds)::double as prediction from train group by 1 union all
+      select unique_id, ds + 7, h + 1, s + {_leaf_sql('one', 'prediction', '(ds + 7)')} + {_leaf_sql('two', 'prediction', '(ds + 7)')} from r, two where h < 52)
+      select unique_id, ds, h, {s6('prediction', 'prediction')} from r where h > 0""",
+)
+def q_m14_stumps(spark, sf):
+    """Two rounds over all series; every step's lag is the step before's own prediction."""
+    train = reliable_checkpoint(_split(spark, sf)[0].select("unique_id", "ds", "y"))
+    return rounded(recursion.global_model(train, 52, STUMPS, (1,))[1], "prediction")
+
+
 @query("m18_legacy_evaluation")
 def q_m18(spark, sf):
     return experiments.legacy_evaluation(b.full_panel(spark, sf), YEAR, {"RF": None, "XGB": BOOST})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from epipanel.catalog.bands import calibration_rows
@@ -13,14 +11,14 @@ from epipanel.operators import conformal, learners
 from epipanel.operators.textmodels import submission
 from epipanel.plans import bindings as b
 from epipanel.plans.features import FeatureSet
-from epipanel.session import shared_dir
+from epipanel.session import temporary
 from epipanel.sources import climate, delimited, results
 
 LATIN = "ISO-8859-1"
 
 
 def _folder(spark) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/readers-{uuid.uuid4().hex}"
+    return temporary(spark, "readers")
 
 
 def _csv(df, path: str, sep: str = ",", encoding: str = "UTF-8") -> str:

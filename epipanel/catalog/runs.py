@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from epipanel.catalog.registry import CTE, define, query, rounded, s6, with_ctes
 from epipanel.plans import bindings as b
 from epipanel.plans import runs
-from epipanel.session import shared_dir
+from epipanel.session import temporary
 
 
 def _root(spark) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    return temporary(spark, "run")
 
 
 def _on_run(name: str) -> str:

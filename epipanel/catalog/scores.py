@@ -69,6 +69,24 @@ def q_e7(spark, sf):
     return _banded(spark, sf).groupBy("ra").agg(r6(metrics.coverage()).alias("coverage"))
 
 
+@query(
+    "p14_schema_contract",
+    with_ctes("band52") + f"""select 'bands' as given, false as refused, {s6(COVER, 'coverage')} from band52 union all
+      select 'no bands', true, null from (select count(*) as n from band52) where n >= 0""",
+)
+def q_p14(spark, sf):
+    """Coverage where the columns are there; without them the strict form refuses and the lenient one is null."""
+    banded = _banded(spark, sf)
+    plain = banded.drop("lower_ci", "upper_ci")
+    try:
+        refused = metrics.interval_coverage(plain) is None
+    except ValueError:
+        refused = True
+    whole = metrics.interval_coverage(banded).select(F.lit("bands").alias("given"), F.lit(False).alias("refused"), r6("coverage").alias("coverage"))
+    without = metrics.interval_coverage(plain, strict=False).select(F.lit("no bands").alias("given"), F.lit(refused).alias("refused"), F.col("coverage").cast("double").alias("coverage"))
+    return whole.unionByName(without)
+
+
 @query("e8_wis", with_ctes("band52") + f"select ra, {s6(WIS, 'wis')} from band52 group by ra")
 def q_e8(spark, sf):
     return _banded(spark, sf).groupBy("ra").agg(r6(metrics.interval_score(0.1)).alias("wis"))

@@ -24,6 +24,10 @@ from epipanel.plans.features import FEATURE_SETS, FeatureSet, feature_set
 from epipanel.session import reliable_checkpoint
 
 
+def _named(config: str | FeatureSet) -> FeatureSet:
+    return feature_set(config) if isinstance(config, str) else config
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -118,7 +122,7 @@ def tune(
 
     Returns (tuning table ordered by model and score, test-year predictions).
     """
-    features = feature_set(config) if isinstance(config, str) else config
+    features = _named(config)
     panel = reliable_checkpoint(panel)
     train, _ = year_split(panel, test_year)
     rows = []
@@ -138,32 +142,32 @@ def tune(
     return tuning.orderBy("modelo", F.asc_nulls_last("cv_rmse"), "params"), _union(finals)
 
 
-def ablation(panel: DataFrame, test_year: int, models: dict[str, dict | None], configs: list[str] | None = None) -> dict[str, DataFrame]:
+def ablation(panel: DataFrame, test_year: int, models: dict[str, dict | None], configs: list[str | FeatureSet] | None = None) -> dict[str, DataFrame]:
     """Every configuration with every model: predictions, steps and winner."""
-    configs = configs or list(FEATURE_SETS)
+    sets = [_named(c) for c in configs or FEATURE_SETS]
     panel = reliable_checkpoint(panel)
     parts = []
     for model, params in models.items():
         if model == "XGB":
             before, inside = year_conditions(test_year)
-            batch = boosted_batch(panel, [Model(feature_set(c), params, before, inside) for c in configs])
-            named = F.element_at(F.array(*(F.lit(c) for c in configs)), F.col("job") + 1)
+            batch = boosted_batch(panel, [Model(f, params, before, inside) for f in sets])
+            named = F.element_at(F.array(*(F.lit(f.name) for f in sets)), F.col("job") + 1)
             parts.append(batch.select(*learners.PREDICTION_COLS, named.alias("config"), F.lit(model).alias("modelo"), F.col("job").alias("config_ord")))
             continue
-        for i, config in enumerate(configs):
-            result = learners.fit_and_predict(panel, feature_set(config), model, params, test_year)
-            parts.append(result.predictions.withColumns({"config": F.lit(config), "modelo": F.lit(model), "config_ord": F.lit(i)}))
+        for i, features in enumerate(sets):
+            result = learners.fit_and_predict(panel, features, model, params, test_year)
+            parts.append(result.predictions.withColumns({"config": F.lit(features.name), "modelo": F.lit(model), "config_ord": F.lit(i)}))
     predictions = reliable_checkpoint(_union(parts))
-    sizes = F.create_map(*[x for c in configs for x in (F.lit(c), F.lit(len(feature_set(c).input_columns())))])
+    sizes = F.create_map(*[x for f in sets for x in (F.lit(f.name), F.lit(len(f.input_columns())))])
     return {
         "predictions": predictions,
         "summary": decisions.config_steps(predictions).withColumn("n_features", sizes[F.col("config")]),
-        "winner": decisions.winner(predictions, baseline=configs[0]),
+        "winner": decisions.winner(predictions, baseline=sets[0].name),
     }
 
 
 def rolling_validation(
-    panel: DataFrame, test_year: int, config: str = "lag+clima+RA", model: str = "RF", params: dict | None = None,
+    panel: DataFrame, test_year: int, config: str | FeatureSet = "lag+clima+RA", model: str = "RF", params: dict | None = None,
     calibration_weeks: int = 26, max_horizon: int = 4, alpha: float = 0.10,
 ) -> dict[str, DataFrame]:
     """One-step nowcast against the closed recursive forecast, both with bands.
@@ -171,7 +175,7 @@ def rolling_validation(
     The last weeks before the test year are held out of the fit and calibrate
     the bands, so scores are out of sample; metrics are taken after banding.
     """
-    features = feature_set(config)
+    features = _named(config)
     panel = reliable_checkpoint(panel)
     train, test = year_split(panel, test_year)
     held = last_weeks(train, calibration_weeks)
@@ -196,7 +200,7 @@ def direct_multihorizon(
     Training rows whose target would fall inside the test year are left out. Boosted models of all horizons
     are one batch; ``models`` holds the fitted pipelines of other ones.
     """
-    features = feature_set(config) if isinstance(config, str) else config
+    features = _named(config)
     panel = reliable_checkpoint(panel)
     ahead = Window.partitionBy("ra").orderBy("epi_sunday")
     wide = panel.withColumns(

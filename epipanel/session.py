@@ -35,6 +35,17 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def temporary(spark: SparkSession, name: str) -> str:
+    """A new shared folder that goes when the session's JVM ends: results that are still read lie there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """A shared folder for what is needed inside a ``with`` block only, deleted behind it."""

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.operators.series import best_row
-from epipanel.session import shared_dir
+from epipanel.session import temporary
 
 
 @contextmanager
@@ -27,7 +26,7 @@ def stream_conf(spark: SparkSession, **settings: str):
 
 
 def folders(spark: SparkSession) -> tuple[str, str]:
-    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    root = temporary(spark, "stream")
     return f"{root}/table", f"{root}/progress"
 
 
