@@ -3,7 +3,7 @@
 All steps from zero lie in the span of the training rows, so a model is kept as one number for each row, ``a``: its term
 weights are X'a, its margins XX'a. The matrix X lies in the shared folder in parts by term; a pass over it turns such numbers
 into margins, each task summing its parts, and everything else is arithmetic on vectors as long as the rows. Nothing as long
-as the terms comes to the driver.
+as the terms comes to the driver. A sketch of XX', made in a few passes ahead, saves most of those of the fit.
 """
 
 from __future__ import annotations
@@ -23,8 +23,12 @@ from epipanel.session import scratch, shuffles_removed, temporary
 
 #: Entries of the matrix in a part of it, and in the rows that are dealt to the parts at once.
 PART_ENTRIES, DEALT_ENTRIES = 200_000, 1_000_000
-#: Parts of the matrix in a file.
-FILE_PARTS = 16
+#: Parts of the matrix in a file: so few that no split of a file is without them.
+FILE_PARTS = 4
+#: Rows whose sums are added at once.
+PIECE_ROWS = 1 << 14
+#: What is known of XX' ahead of the fit: columns, bytes of them at most, and how many are asked for in a pass.
+SKETCH_COLUMNS, SKETCH_BYTES, SKETCH_ASKED = 32, 64_000_000, 16
 ENTRIES = ("row", "term", "value")
 
 
@@ -32,7 +36,7 @@ ENTRIES = ("row", "term", "value")
 class Matrix:
     """Rows dealt out by term: the folder's ``cells`` are their entries by ``block`` of terms, ``rows`` their other columns.
 
-    A row is known by its ``chunk`` and its place ``pos`` in it.
+    A row is known by its ``chunk`` and its place ``pos`` in it; ``square`` is its length squared.
     """
 
     cells: DataFrame
@@ -58,15 +62,15 @@ def _dealt(n_blocks: int, others: list[str]) -> Callable:
                 packed = [[x[order[i:j]].tobytes() for i, j in zip(at, ends, strict=True)] for x in (row, (term // n_blocks).astype(np.int32), value)]
                 n = len(at)
                 yield pa.record_batch(
-                    [pa.array(["cells"] * n), pa.array(block[order[at]].astype(np.int32)), pa.array(np.full(n, chunk)), pa.nulls(n, pa.int32()),
+                    [pa.array(["cells"] * n), pa.array(block[order[at]].astype(np.int32)), pa.array(np.full(n, chunk)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()),
                      *(pa.array(x, pa.binary()) for x in packed), *(pa.nulls(n, part.schema.field(c).type) for c in others)],
-                    ["kind", "block", "chunk", "pos", *ENTRIES, *others],
+                    ["kind", "block", "chunk", "pos", "square", *ENTRIES, *others],
                 )
-                n = len(part)
+                n, square = len(part), np.bincount(row, value * value, len(part))
                 yield pa.record_batch(
-                    [pa.array(["rows"] * n), pa.array(np.full(n, chunk % n_blocks, np.int32)), pa.array(np.full(n, chunk)), pa.array(np.arange(n, dtype=np.int32)),
+                    [pa.array(["rows"] * n), pa.array(np.full(n, chunk % n_blocks, np.int32)), pa.array(np.full(n, chunk)), pa.array(np.arange(n, dtype=np.int32)), pa.array(square),
                      *(pa.nulls(n, pa.binary()) for _ in ENTRIES), *(part.column(c) for c in others)],
-                    ["kind", "block", "chunk", "pos", *ENTRIES, *others],
+                    ["kind", "block", "chunk", "pos", "square", *ENTRIES, *others],
                 )
                 chunk += 1
         released()
@@ -82,14 +86,14 @@ def _joined(others: list[str]) -> Callable:
             cells = rows.filter(pc.equal(rows["kind"], "cells"))
             plain = rows.filter(pc.equal(rows["kind"], "rows"))
             none = pa.nulls(plain.num_rows, pa.list_(pa.int64()))
-            plain = plain.append_column("chunks", none).append_column("sizes", none).select(["kind", "block", "chunks", "sizes", "chunk", "pos", *ENTRIES, *others])
+            plain = plain.append_column("chunks", none).append_column("sizes", none).select(["kind", "block", "chunks", "sizes", "chunk", "pos", "square", *ENTRIES, *others])
             yield from plain.combine_chunks().to_batches()
             if not cells.num_rows:
                 continue
             packed = [cells[c].to_pylist() for c in ENTRIES]
             yield pa.record_batch(
                 [pa.array(["cells"]), pa.array([block], pa.int32()), pa.array([cells["chunk"].to_pylist()], pa.list_(pa.int64())),
-                 pa.array([[len(x) // 4 for x in packed[0]]], pa.list_(pa.int64())), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
+                 pa.array([[len(x) // 4 for x in packed[0]]], pa.list_(pa.int64())), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.float64()),
                  *(pa.array([b"".join(x)], pa.binary()) for x in packed), *(pa.nulls(1, cells.schema.field(c).type) for c in others)],
                 plain.schema.names,
             )
@@ -119,7 +123,7 @@ def matrix(df: DataFrame, n_blocks: int, others: list[str], joined: bool, folder
     names = [f"_c{i}" for i in range(len(others))]
     rows = df.select(indices.alias("indices"), vector["values"].alias("values"), *(F.col(c).alias(n) for c, n in zip(others, names, strict=True)))
     kinds = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for c, n in zip(others, names, strict=True))
-    entries = f"chunk long, pos int, row binary, term binary, value binary, {kinds}"
+    entries = f"chunk long, pos int, square double, row binary, term binary, value binary, {kinds}"
     dealt = rows.mapInArrow(_dealt(n_blocks, names), f"kind string, block int, {entries}")
     if joined:
         dealt = by_block(dealt, n_blocks).mapInArrow(_joined(names), f"kind string, block int, chunks array<long>, sizes array<long>, {entries}")
@@ -127,7 +131,7 @@ def matrix(df: DataFrame, n_blocks: int, others: list[str], joined: bool, folder
     read = df.sparkSession.read.schema(dealt.schema).parquet(folder)
     kept = ["block", *(["chunks", "sizes"] if joined else ["chunk"]), *ENTRIES]
     own = [F.col(n).alias(c) for c, n in zip(others, names, strict=True)]
-    return Matrix(read.filter("kind = 'cells'").select(*kept), read.filter("kind = 'rows'").select("chunk", "pos", *own))
+    return Matrix(read.filter("kind = 'cells'").select(*kept), read.filter("kind = 'rows'").select("chunk", "pos", "square", *own))
 
 
 def _entries(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,84 +163,138 @@ def _term_sums(row: dict, numbers: Rows, vectors: list[np.ndarray]) -> tuple[np.
 
 
 def product(cells: DataFrame, numbers: Rows, vectors: list[np.ndarray]) -> list[np.ndarray]:
-    """XX'v of each v: a task sums the parts of the matrix that it reads."""
+    """XX'v of each v: a task sums the parts of the matrix that it reads, then the tasks' sums are added piece by piece."""
     context = cells.sparkSession.sparkContext
     sent = context.broadcast((numbers, vectors))
-    names = [f"v{i}" for i in range(len(vectors))]
+    pieces = 1 + (numbers.n - 1) // PIECE_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, vectors = sent.value
-        sums = [np.zeros(numbers.n) for _ in vectors]
+        sums = None
         for batch in batches:
             for row in _each(batch):
                 at, term, value, found = _term_sums(row, numbers, vectors)
+                sums = [np.zeros(numbers.n) for _ in vectors] if sums is None else sums
                 for s, z in zip(sums, found, strict=True):
                     s += np.bincount(at, value * z[term], numbers.n)
-        yield pa.record_batch([pa.array(np.arange(numbers.n)), *map(pa.array, sums)], ["n", *names])
-
-    parts = cells.coalesce(_tasks(cells)).mapInArrow(run, "n long, " + ", ".join(f"{v} double" for v in names))
-    found = parts.groupBy("n").agg(*(F.sum(v).alias(v) for v in names)).toArrow()
+        task = TaskContext.get().partitionId()
+        for i in range(pieces if sums is not None else 0):
+            part = np.stack([s[i * PIECE_ROWS : (i + 1) * PIECE_ROWS] for s in sums])
+            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([task], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "task", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, rows in blocks(batches):
+            total = sum(np.frombuffer(x.as_buffer()) for x in rows["sums"])
+            yield pa.record_batch([pa.array([piece], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "sums"])
+
+    parts = cells.coalesce(_tasks(cells)).mapInArrow(run, "block int, task int, sums binary")
+    # in order of task, so that the sums are the same each time
+    added = parts.repartitionById(min(pieces, _tasks(cells)), F.col("block") % min(pieces, _tasks(cells))).sortWithinPartitions("block", "task")
+    found = added.mapInArrow(add, "block int, sums binary").toArrow()
     sent.destroy()
-    out, place = [np.zeros(numbers.n) for _ in vectors], found["n"].to_numpy()
-    for s, v in zip(out, names, strict=True):
-        s[place] = found[v].to_numpy()
+    out = [np.zeros(numbers.n) for _ in vectors]
+    for piece, sums in zip(found["block"].to_pylist(), found["sums"], strict=True):
+        for s, v in zip(out, np.frombuffer(sums.as_buffer()).reshape(len(vectors), -1), strict=True):
+            s[piece * PIECE_ROWS : (piece + 1) * PIECE_ROWS] = v
     return out
 
 
-def newton(y: np.ndarray, weight: np.ndarray, ridge: float, max_iter: int, tol: float = 1e-7) -> Generator[np.ndarray, np.ndarray, tuple[np.ndarray, float]]:
+def sketch(ask: Callable[[list[np.ndarray]], list[np.ndarray]], n: int) -> np.ndarray:
+    """B of a few columns with BB' close to XX' on the latter's large eigenvalues (Nystroem's, one step of the power method ahead)."""
+    columns = max(1, min(SKETCH_COLUMNS, n, SKETCH_BYTES // (8 * n)))
+    asked = np.random.default_rng(0).choice((-1.0, 1.0), (n, columns))
+
+    def answers(vectors: np.ndarray) -> np.ndarray:
+        found = []
+        for i in range(0, columns, SKETCH_ASKED):
+            found += ask(list(vectors.T[i : i + SKETCH_ASKED]))
+        return np.stack(found, 1)
+
+    asked = np.linalg.qr(answers(asked))[0]
+    found = answers(asked)
+    inner = asked.T @ found
+    size, turn = np.linalg.eigh((inner + inner.T) / 2)
+    kept = size > 1e-8 * size.max(initial=0.0)
+    return found @ (turn[:, kept] / np.sqrt(size[kept]))
+
+
+def newton(
+    y: np.ndarray, weight: np.ndarray, ridge: float, max_iter: int, near: np.ndarray, square: np.ndarray, tol: float = 1e-7
+) -> Generator[np.ndarray, np.ndarray, tuple[np.ndarray, float]]:
     """(a, intercept) that minimise sum(weight * logistic loss) + ridge / 2 * |X'a|^2; the intercept is not penalised.
 
-    Newton's steps are solved by conjugate gradients in the space of term weights, every vector X'c held as its c. Yielded are
-    vectors c, to be answered with XX'c. It ends when the gradient has shrunk to ``tol`` of the first one.
+    Newton's step from (a, b) is (K + ridge / curve) c + sb = -g / curve with sum(c) = 0, where K = XX' and g / curve is the
+    gradient by row over the loss's curvature. Conjugate gradients solve it, both sides scaled by the root of the curvature,
+    with K taken as ``near`` near' and a diagonal ahead of them; ``square`` is K's diagonal. Yielded are vectors c, to be answered
+    with Kc. It ends when the gradient has shrunk to ``tol`` of the first one; on the way there its size is estimated.
     """
-    one = 1.0 / np.sqrt(len(y))  # the intercept's column, about as long as a row
-    a, xa, b = np.zeros(len(y)), np.zeros(len(y)), 0.0
-    first = None
+    rest = np.maximum(square - (near * near).sum(1), 1e-6 * square.max())
+    a, ka, b = np.zeros(len(y)), np.zeros(len(y)), 0.0
+    first, trust = None, 1.0
+
+    def estimate(v: np.ndarray) -> float:
+        return trust * (((near.T @ v) ** 2).sum() + v @ (rest * v))
+
     for _ in range(max_iter):
-        margin = xa + one * b
+        margin = ka + b
         p = np.exp(-np.logaddexp(0.0, -margin))
         slope = weight * (p - y)
-        g, gb = slope + ridge * a, one * slope.sum()
-        xg = yield g
-        size = max(g @ xg, 0.0) + gb * gb
-        first = size if first is None else first
-        if size <= tol * tol * first:
-            break
-        curve = weight * p * (1.0 - p)
+        g, gb = slope + ridge * a, slope.sum() / np.sqrt(len(y))  # the intercept's column, about as long as a row
+        size = estimate(g) + gb * gb
+        if first is None or size <= tol * tol * first:
+            kg = yield g
+            trust *= max(1.0, (g @ kg) / max(estimate(g), 1e-300))
+            size = max(g @ kg, 0.0) + gb * gb
+            first = size if first is None else first
+            if size <= tol * tol * first:
+                break
+        h = np.sqrt(weight * np.maximum(p * (1.0 - p), 1e-10))
+        diagonal = ridge + h * h * rest
+        inner = np.linalg.cholesky(np.eye(near.shape[1]) + (near * (h * h / diagonal)[:, None]).T @ near)
+
+        def solved(r: np.ndarray) -> np.ndarray:
+            v = r / diagonal
+            return v - h * (near @ np.linalg.solve(inner.T, np.linalg.solve(inner, near.T @ (h * v)))) / diagonal
+
+        ones = solved(h)
+
+        def ahead(r: np.ndarray) -> tuple[np.ndarray, float]:
+            """(``r`` through the approximate inverse among vectors whose c sums to 0, the intercept's step)."""
+            v = solved(r)
+            return v - (h @ v) / (h @ ones) * ones, (h @ v) / (h @ ones)
+
         enough = max(min(0.1, (size / first) ** 0.25) ** 2 * size, 0.25 * tol * tol * first)
-        r, xr, rb, left = -g, -xg, -gb, size
-        d, xd, db = r, xr, rb
-        s, xs, sb = np.zeros(len(y)), np.zeros(len(y)), 0.0
+        c, kc, r = np.zeros(len(y)), np.zeros(len(y)), -g / h
+        z, sb = ahead(r)
+        d, left = z, r @ z
         for _ in range(len(y) + 1):
-            q = xd + one * db
-            cq = curve * q
-            step = left / (cq @ q + ridge * (d @ xd))
-            s, xs, sb = s + step * d, xs + step * xd, sb + step * db
-            r, rb = r - step * (cq + ridge * d), rb - step * one * cq.sum()
-            xr = yield r
-            now = max(r @ xr, 0.0) + rb * rb
-            if now <= enough:
+            if left <= 0 or estimate(h * (r - h * sb)) <= enough:
                 break
-            d, xd, db, left = r + now / left * d, xr + now / left * xd, rb + now / left * db, now
+            kd = yield h * d
+            q = h * kd + ridge * d
+            step = left / (d @ q)
+            c, kc, r = c + step * h * d, kc + step * kd, r - step * q
+            z, sb = ahead(r)
+            d, left = z + (r @ z) / left * d, r @ z
 
         def loss(t: float) -> float:
-            m = margin + t * (xs + one * sb)
-            return weight @ (np.logaddexp(0.0, m) - y * m) + ridge / 2 * ((a + t * s) @ (xa + t * xs))
+            m = margin + t * (kc + sb)
+            return weight @ (np.logaddexp(0.0, m) - y * m) + ridge / 2 * ((a + t * c) @ (ka + t * kc))
 
-        t, base, fall = 1.0, loss(0.0), g @ xs + gb * sb
+        t, base, fall = 1.0, loss(0.0), g @ kc + slope.sum() * sb
         while loss(t) > base + 1e-4 * t * fall + 1e-12 * abs(base) and t > 1e-9:
             t /= 2
-        a, xa, b = a + t * s, xa + t * xs, b + t * sb
-    return a, one * b
+        a, ka, b = a + t * c, ka + t * kc, b + t * sb
+    return a, b
 
 
 def fit(x: Matrix, labels: list[str], ridge: float, max_iter: int) -> tuple[Rows, list[tuple[np.ndarray, float]]]:
     """A balanced model of each label; all share the passes over the matrix."""
     names = [f"y{i}" for i in range(len(labels))]
-    known = x.rows.select("chunk", "pos", *(F.col(c).cast("double").alias(n) for c, n in zip(labels, names, strict=True))).toArrow()
+    known = x.rows.select("chunk", "pos", "square", *(F.col(c).cast("double").alias(n) for c, n in zip(labels, names, strict=True))).toArrow()
     known = known.sort_by([("chunk", "ascending"), ("pos", "ascending")])
     numbers = Rows(known["chunk"].to_numpy())
-    asked, steps, models = {}, {}, {}
+    asked, steps, models, near = {}, {}, {}, None
     for i, (name, label) in enumerate(zip(names, labels, strict=True)):
         y = known[name].to_numpy()
         if not len(y) or known[name].null_count or not np.isin(y, (0.0, 1.0)).all():
@@ -246,7 +304,8 @@ def fit(x: Matrix, labels: list[str], ridge: float, max_iter: int) -> tuple[Rows
             models[i] = np.zeros(len(y)), np.inf if pos else -np.inf
             continue
         weight = np.where(y == 1, len(y) / (2 * pos), len(y) / (2 * (len(y) - pos)))
-        steps[i] = newton(y, weight, ridge, max_iter)
+        near = sketch(lambda vectors: product(x.cells, numbers, vectors), len(y)) if near is None else near
+        steps[i] = newton(y, weight, ridge, max_iter, near, known["square"].to_numpy())
         asked[i] = next(steps[i])
     while asked:
         for i, answer in zip(list(asked), product(x.cells, numbers, list(asked.values())), strict=True):

@@ -68,3 +68,12 @@ def test_labels_of_one_class_and_missing_ones(spark):
     assert {(r.label, r.score) for r in got.collect()} == {("a", 1.0), ("b", 0.0)}
     with pytest.raises(ValueError, match="a: every training row needs a label"):
         textmodels.logistic_scores(train.withColumn("a", F.when(F.col("k") > 0, F.col("a"))), train, "k", ["a"])
+
+
+def test_the_fit_takes_few_passes(spark, monkeypatch):
+    """Each pass reads the whole matrix; without a sketch of it this fit took 52 of them."""
+    asked, product = [], dual.product
+    monkeypatch.setattr(dual, "product", lambda cells, numbers, vectors: asked.append(len(vectors)) or product(cells, numbers, vectors))
+    train = spark.createDataFrame(rows(600, 5000, 3), SCHEMA)
+    textmodels.logistic_scores(train, train.limit(5), "k", ["a", "b"]).count()
+    assert len(asked) <= 30
